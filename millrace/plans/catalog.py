@@ -222,3 +222,154 @@ def q_dup_rate(spark, sf):
     emb, pairs = _near_dups(spark, sf)
     marked = emb.select("vec_id").join(pairs.select("vec_id", F.lit(True).alias("hit")), "vec_id", "left")
     return flag_rate(marked.select(F.coalesce("hit", F.lit(False)).alias("hit")), "hit")
+
+
+# ---------------------------------------------------------------------------
+# record preparation and chat templates
+# ---------------------------------------------------------------------------
+
+from millrace import constants as C  # noqa: E402
+
+_GENERAL_HEAD, _, _GENERAL_TAIL = C.USER_PROMPT.partition("{{content}}")
+
+
+@register("instruct_records", f"""
+WITH ft AS (
+  SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS q, max(CASE WHEN turn = 1 THEN text END) AS a
+  FROM conversations WHERE turn < 2 GROUP BY conv_id)
+SELECT conv_id,
+       {sql_str(C.SYSTEM_PROMPT)} || {sql_str(_GENERAL_HEAD)} || q || {sql_str(_GENERAL_TAIL)} AS instruction,
+       '' AS input,
+       replace(replace(a, '<think>', '<think>' || chr(10)), '</answer>', chr(10) || '</answer>') || '<|im_end|>' AS output
+FROM ft WHERE q IS NOT NULL AND a IS NOT NULL
+""")
+def q_instruct_records(spark, sf):
+    from millrace.plans.prepare import instruct_records
+    from millrace.sources.chats import first_turns
+    ft = first_turns(table(spark, sf, "conversations"), n=2)
+    ok, _rejected = instruct_records(ft.select("conv_id", F.col("turn0_text").alias("question"),
+                                               F.col("turn1_text").alias("answer")))
+    return ok.select("conv_id", "instruction", "input", "output")
+
+
+def _render_sql(gen: bool) -> str:
+    gen_tail = " || '<|im_start|>assistant' || chr(10)" if gen else ""
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos
+  FROM conversations),
+head AS (
+  SELECT conv_id, '<|im_start|>system' || chr(10) ||
+         CASE WHEN role = 'system' THEN text ELSE {sql_str(C.CHAT_DEFAULT_SYSTEM)} END
+         || '<|im_end|>' || chr(10) AS head
+  FROM t WHERE pos = 1),
+pieces AS (
+  SELECT conv_id, turn,
+    CASE
+      WHEN role = 'user' OR (role = 'system' AND pos > 1) OR role = 'assistant'
+        THEN '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
+      WHEN role = 'tool' THEN
+        CASE WHEN prev_role IS NULL OR prev_role <> 'tool' THEN '<|im_start|>user' ELSE '' END
+        || chr(10) || '<tool_response>' || chr(10) || text || chr(10) || '</tool_response>'
+        || CASE WHEN next_role IS NULL OR next_role <> 'tool' THEN '<|im_end|>' || chr(10) ELSE '' END
+      ELSE '' END AS piece
+  FROM t)
+SELECT h.conv_id, h.head || string_agg(p.piece, '' ORDER BY p.turn){gen_tail} AS rendered
+FROM head h JOIN pieces p USING (conv_id) GROUP BY h.conv_id, h.head
+"""
+
+
+def _render(spark, sf, gen):
+    from millrace.functions.chat import render_chat
+    from millrace.sources.chats import assemble_chats
+    chats = assemble_chats(table(spark, sf, "conversations"))
+    return chats.select("conv_id", render_chat("messages", add_generation_prompt=gen).alias("rendered"))
+
+
+@register("chat_render", _render_sql(False))
+def q_chat_render(spark, sf):
+    return _render(spark, sf, False)
+
+
+@register("chat_render_genprompt", _render_sql(True))
+def q_chat_render_genprompt(spark, sf):
+    return _render(spark, sf, True)
+
+
+# ---------------------------------------------------------------------------
+# pre-token counts, length split, histogram, clip stats
+# ---------------------------------------------------------------------------
+
+# DuckDB's RE2 has no look-ahead: the oracle drops the "\s+(?!\S)" branch.
+# That changes where whitespace runs are cut but not how many pre-tokens a
+# text has on these tables, so it is an oracle for counts only.
+_RE2_PRETOKEN = r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+"
+LENGTH_LIMIT = 512        # the 32,768 boundary scaled to the test tables
+PACK_LENGTH = 2048
+
+
+def _ntok_sql(col: str) -> str:
+    return f"len(regexp_extract_all({col}, {sql_str(_RE2_PRETOKEN)}))"
+
+
+@register("pretokens", f"""
+SELECT conv_id, turn, {_ntok_sql('text')} AS n_pretokens FROM conversations
+""")
+def q_pretokens(spark, sf):
+    from millrace.operators.tokenize import pretoken_counts
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return pretoken_counts(conv, "text").select("conv_id", "turn", "n_pretokens")
+
+
+@register("token_counts", f"""
+SELECT doc_id, n_chars, {_ntok_sql('text')} AS n_tokens FROM documents
+""")
+def q_token_counts(spark, sf):
+    from millrace.operators.tokenize import pretoken_counts
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    return pretoken_counts(docs, "text", "n_tokens").select("doc_id", "n_chars", "n_tokens")
+
+
+def _doc_lengths(spark, sf):
+    from millrace.operators.tokenize import pretoken_counts
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pretoken_counts(docs, "text", "n_tokens").select("doc_id", "n_tokens")
+
+
+_LEN_SQL = f"WITH l AS (SELECT doc_id, {_ntok_sql('text')} AS n_tokens FROM documents)\n"
+
+
+@register("length_split", _LEN_SQL + f"""
+SELECT doc_id, n_tokens, n_tokens >= {LENGTH_LIMIT} AS is_long FROM l
+""")
+def q_length_split(spark, sf):
+    from millrace.functions.text import is_long
+    d = _doc_lengths(spark, sf)
+    return d.select("doc_id", "n_tokens", is_long("n_tokens", LENGTH_LIMIT).alias("is_long"))
+
+
+@register("length_hist", _LEN_SQL + f"""
+, s AS (SELECT min(n_tokens) AS mn, max(n_tokens) AS mx FROM l),
+b AS (SELECT CASE WHEN s.mx > s.mn THEN least((100 * (l.n_tokens - s.mn)) // (s.mx - s.mn), 99) ELSE 50 END AS bin
+      FROM l, s),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(r.bin AS INTEGER) AS bin,
+       CASE WHEN s.mx > s.mn THEN s.mn + r.bin * ((s.mx - s.mn) / 100.0) ELSE s.mn - 0.5 + r.bin * 0.01 END AS lo,
+       CASE WHEN s.mx > s.mn THEN s.mn + (r.bin + 1) * ((s.mx - s.mn) / 100.0) ELSE s.mn - 0.5 + (r.bin + 1) * 0.01 END AS hi,
+       coalesce(c.n, 0) AS n
+FROM (SELECT range AS bin FROM range(100)) r CROSS JOIN s LEFT JOIN c USING (bin)
+""")
+def q_length_hist(spark, sf):
+    from millrace.operators.reports import length_histogram
+    return length_histogram(_doc_lengths(spark, sf), "n_tokens")
+
+
+@register("clip_count", _LEN_SQL + f"""
+SELECT count(*) AS n_total, max(n_tokens) AS max_len, count_if(n_tokens > {LENGTH_LIMIT}) AS n_clipped FROM l
+""")
+def q_clip_count(spark, sf):
+    from millrace.operators.reports import clip_stats
+    return clip_stats(_doc_lengths(spark, sf), "n_tokens", LENGTH_LIMIT)
