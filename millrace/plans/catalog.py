@@ -368,8 +368,321 @@ def q_length_hist(spark, sf):
 
 
 @register("clip_count", _LEN_SQL + f"""
-SELECT count(*) AS n_total, max(n_tokens) AS max_len, count_if(n_tokens > {LENGTH_LIMIT}) AS n_clipped FROM l
+SELECT count(*) AS n_total, max(n_tokens) AS max_len, CAST(count_if(n_tokens > {LENGTH_LIMIT}) AS BIGINT) AS n_clipped FROM l
 """)
 def q_clip_count(spark, sf):
     from millrace.operators.reports import clip_stats
     return clip_stats(_doc_lengths(spark, sf), "n_tokens", LENGTH_LIMIT)
+
+
+# ---------------------------------------------------------------------------
+# vocabulary lookups (word vocabulary learned from the benchmark)
+# ---------------------------------------------------------------------------
+
+_WORD_RE = r"[\p{L}\p{N}]+"
+UNK_ID = -1
+
+_VOCAB_SQL = f"""
+WITH v AS (
+  SELECT token, CAST(dense_rank() OVER (ORDER BY token) - 1 AS INTEGER) AS id
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), {sql_str(_WORD_RE)})) AS token FROM benchmark)),
+e AS (SELECT conv_id, turn, regexp_extract_all(lower(text), {sql_str(_WORD_RE)}) AS toks FROM conversations),
+x AS (SELECT conv_id, turn, unnest(toks) AS token, unnest(generate_series(1, len(toks))) AS pos FROM e),
+enc AS (
+  SELECT e.conv_id, e.turn, CAST(len(e.toks) AS INTEGER) AS n_words,
+         CAST(count(x.pos) FILTER (WHERE v.id IS NULL) AS BIGINT) AS n_oov,
+         coalesce(string_agg(CAST(coalesce(v.id, {UNK_ID}) AS VARCHAR), ',' ORDER BY x.pos) FILTER (WHERE x.pos IS NOT NULL), '') AS ids,
+         coalesce(string_agg(v.token, ' ' ORDER BY x.pos) FILTER (WHERE v.token IS NOT NULL), '') AS decoded
+  FROM e LEFT JOIN x USING (conv_id, turn) LEFT JOIN v ON v.token = x.token
+  GROUP BY e.conv_id, e.turn, e.toks)
+"""
+
+
+def _encoded(spark, sf):
+    from millrace.functions.text import words
+    from millrace.operators.tokenize import encode_tokens, word_vocab
+    vocab = word_vocab(table(spark, sf, "benchmark"), "text")
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", words(F.col("text")).alias("toks"))
+    enc = encode_tokens(conv, ["conv_id", "turn"], "toks", vocab, unk_id=UNK_ID)
+    return vocab, conv, enc
+
+
+def _csv(col):
+    return F.array_join(F.transform(col, lambda x: x.cast("string")), ",")
+
+
+@register("vocab_encode", _VOCAB_SQL + "SELECT conv_id, turn, n_words, n_oov, ids FROM enc")
+def q_vocab_encode(spark, sf):
+    _, conv, enc = _encoded(spark, sf)
+    return enc.select("conv_id", "turn", F.size("ids").alias("n_words"), "n_oov", _csv(F.col("ids")).alias("ids"))
+
+
+@register("vocab_decode", _VOCAB_SQL + "SELECT conv_id, turn, decoded FROM enc")
+def q_vocab_decode(spark, sf):
+    from millrace.operators.tokenize import decode_ids
+    vocab, _, enc = _encoded(spark, sf)
+    dec = decode_ids(enc, ["conv_id", "turn"], "ids", vocab, skip_ids=[UNK_ID], out="decoded")
+    return dec.select("conv_id", "turn", "decoded")
+
+
+@register("oov_report", _VOCAB_SQL + """
+SELECT CAST(sum(n_words) AS BIGINT) AS n_tokens, CAST(sum(n_oov) AS BIGINT) AS n_oov,
+       round(100.0 * sum(n_oov) / sum(n_words), 2) AS oov_rate_pct FROM enc
+""")
+def q_oov_report(spark, sf):
+    _, _, enc = _encoded(spark, sf)
+    r = enc.agg(F.sum(F.size("ids")).cast("long").alias("n_tokens"), F.sum("n_oov").cast("long").alias("n_oov"))
+    return r.select("n_tokens", "n_oov",
+                    F.round(F.lit(100.0) * F.col("n_oov") / F.col("n_tokens"), 2).alias("oov_rate_pct"))
+
+
+# ---------------------------------------------------------------------------
+# training labels on chat token ids (toy ids: markers + one id per word)
+# ---------------------------------------------------------------------------
+
+TRUNC_LIMIT = 256
+# toy role ids; 77091 is the answer-role id the masking rule looks for
+ROLE_IDS = {"system": 8948, "user": 872, "assistant": C.ASSISTANT_ID}
+
+_IDS_SQL = f"""
+WITH tt AS (
+  SELECT conv_id, turn,
+         [151644, CASE role WHEN 'system' THEN {ROLE_IDS['system']} WHEN 'user' THEN {ROLE_IDS['user']}
+                            WHEN 'assistant' THEN {ROLE_IDS['assistant']} ELSE 0 END, 198]
+         || list_transform(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+'), lambda w: CAST(1000 + length(w) AS INTEGER))
+         || [151645, 198] AS ids
+  FROM conversations),
+c AS (SELECT conv_id, flatten(list(ids ORDER BY turn)) AS ids FROM tt GROUP BY conv_id),
+s AS (
+  SELECT conv_id, ids,
+         CASE WHEN len(list_filter(range(1, len(ids)), lambda i: ids[i] = 151644 AND ids[i + 1] = 77091)) > 0
+              THEN CAST(list_filter(range(1, len(ids)), lambda i: ids[i] = 151644 AND ids[i + 1] = 77091)[1] + 2 AS INTEGER)
+              ELSE 0 END AS answer_start
+  FROM c),
+t AS (
+  SELECT conv_id, ids, answer_start,
+         CASE WHEN len(ids) > {TRUNC_LIMIT} THEN list_slice(ids, 1, {TRUNC_LIMIT}) || list_slice(ids, len(ids) - 1, len(ids))
+              ELSE ids END AS tids
+  FROM s),
+lb AS (
+  SELECT conv_id, ids, answer_start, tids,
+         list_transform(range(answer_start), lambda x: -100)
+         || CASE WHEN answer_start < len(tids) THEN list_slice(tids, answer_start + 1, len(tids)) ELSE [] END AS labels
+  FROM t)
+"""
+
+
+def _chat_ids(spark, sf):
+    from millrace.plans.prepare import toy_chat_ids
+    return toy_chat_ids(table(spark, sf, "conversations"), ROLE_IDS)
+
+
+@register("answer_start", _IDS_SQL + "SELECT conv_id, CAST(len(ids) AS INTEGER) AS n_ids, answer_start FROM s")
+def q_answer_start(spark, sf):
+    from millrace.functions.arrays import answer_start
+    ids = _chat_ids(spark, sf)
+    return ids.select("conv_id", F.size("input_ids").alias("n_ids"), answer_start("input_ids").alias("answer_start"))
+
+
+@register("truncate_ids", _IDS_SQL + """
+SELECT conv_id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(len(tids) AS INTEGER) AS n_trunc,
+       array_to_string(tids, ',') AS ids FROM t
+""")
+def q_truncate_ids(spark, sf):
+    from millrace.operators.labels import build_labels
+    lab = build_labels(_chat_ids(spark, sf).withColumn("n_ids", F.size("input_ids")), limit=TRUNC_LIMIT)
+    return lab.select("conv_id", "n_ids", F.size("input_ids").alias("n_trunc"),
+                      _csv(F.col("input_ids")).alias("ids"))
+
+
+@register("label_mask", _IDS_SQL + """
+SELECT conv_id, CAST(len(labels) AS INTEGER) AS n_labels,
+       CAST(len(list_filter(labels, lambda x: x = -100)) AS INTEGER) AS n_masked,
+       answer_start > len(tids) AS mask_overflow, array_to_string(labels, ',') AS labels FROM lb
+""")
+def q_label_mask(spark, sf):
+    from millrace.operators.labels import build_labels
+    lab = build_labels(_chat_ids(spark, sf), limit=TRUNC_LIMIT)
+    return lab.select("conv_id", F.size("labels").alias("n_labels"),
+                      F.size(F.filter("labels", lambda x: x == C.IGNORE_ID)).alias("n_masked"),
+                      "mask_overflow", _csv(F.col("labels")).alias("labels"))
+
+
+# ---------------------------------------------------------------------------
+# packing (documents, pre-token length, pack length 2048)
+# ---------------------------------------------------------------------------
+
+_PACK_SQL = f"""
+WITH RECURSIVE l AS (SELECT doc_id, {_ntok_sql('text')} AS len FROM documents),
+s AS (
+  SELECT doc_id, len, substr(sha256(CAST(doc_id AS VARCHAR)), 1, 1) AS bucket,
+         row_number() OVER (PARTITION BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 1)
+                            ORDER BY sha256(CAST(doc_id AS VARCHAR))) AS rn
+  FROM l WHERE len <= {PACK_LENGTH}),
+r AS (
+  SELECT bucket, rn, doc_id, len, CAST(0 AS BIGINT) AS pack_no, 0 AS seg, CAST(0 AS BIGINT) AS offs FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.bucket, s.rn, s.doc_id, s.len,
+         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN r.pack_no + 1 ELSE r.pack_no END,
+         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN 0 ELSE r.seg + 1 END,
+         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN 0 ELSE r.offs + r.len END
+  FROM r JOIN s ON s.bucket = r.bucket AND s.rn = r.rn + 1),
+plan AS (SELECT doc_id, bucket, pack_no, CAST(seg AS INTEGER) AS seg, offs AS "offset", CAST(len AS BIGINT) AS len FROM r),
+packs AS (
+  SELECT bucket, pack_no, CAST(count(*) AS INTEGER) AS n_segments, CAST(sum(len) AS BIGINT) AS n_tokens,
+         CAST({PACK_LENGTH} - sum(len) AS BIGINT) AS n_pad,
+         string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY seg) AS ids,
+         string_agg(CAST("offset" + len AS VARCHAR), ',' ORDER BY seg) AS actual_seq_len
+  FROM plan GROUP BY bucket, pack_no)
+"""
+
+
+def _plan(spark, sf):
+    from millrace.operators.packing import pack_plan
+    d = _doc_lengths(spark, sf)
+    plan, _rej = pack_plan(d, "doc_id", "n_tokens", seq_length=PACK_LENGTH)
+    return plan
+
+
+@register("pack_plan", _PACK_SQL + "SELECT * FROM plan")
+def q_pack_plan(spark, sf):
+    return _plan(spark, sf).select("doc_id", "bucket", "pack_no", "seg", "offset", "len")
+
+
+@register("pack_rows", _PACK_SQL + "SELECT * FROM packs")
+def q_pack_rows(spark, sf):
+    from millrace.operators.packing import pack_summary
+    s = pack_summary(_plan(spark, sf), "doc_id", PACK_LENGTH)
+    return s.select("bucket", "pack_no", "n_segments", "n_tokens", "n_pad", _csv(F.col("ids")).alias("ids"),
+                    _csv(F.col("actual_seq_len")).alias("actual_seq_len"))
+
+
+@register("pack_report", _PACK_SQL + f"""
+SELECT CAST(count(*) AS BIGINT) AS n_packs, CAST(sum(n_segments) AS BIGINT) AS n_samples,
+       CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+       round(sum(n_tokens) / (count(*) * {PACK_LENGTH}.0), 6) AS efficiency,
+       round(sum(n_segments) / count(*), 6) AS mean_segments
+FROM packs
+""")
+def q_pack_report(spark, sf):
+    from millrace.operators.packing import pack_summary, packing_report
+    return packing_report(pack_summary(_plan(spark, sf), "doc_id", PACK_LENGTH), PACK_LENGTH)
+
+
+# ---------------------------------------------------------------------------
+# trainer feed: seeded order, shards, batches, dynamic padding
+# ---------------------------------------------------------------------------
+
+BATCH_SIZE = 4
+EPOCHS = 2
+
+_FEED_SQL = f"""
+WITH l AS (SELECT doc_id, {_ntok_sql('text')} AS n_tokens FROM documents),
+o AS (SELECT doc_id, n_tokens,
+             CAST(row_number() OVER (ORDER BY sha256('{C.SHUFFLE_SEED}:' || CAST(doc_id AS VARCHAR))) - 1 AS BIGINT) AS rank
+      FROM l),
+n AS (SELECT count(*) AS n FROM o)
+"""
+
+
+def _ranked(spark, sf):
+    from millrace.operators.feed import seeded_rank
+    return seeded_rank(_doc_lengths(spark, sf), "doc_id")
+
+
+@register("seeded_shuffle", _FEED_SQL + "SELECT doc_id, rank FROM o")
+def q_seeded_shuffle(spark, sf):
+    return _ranked(spark, sf).select("doc_id", "rank")
+
+
+@register("shards", _FEED_SQL + f"""
+SELECT doc_id, rank, CAST(rank % {C.DATA_PARALLEL} AS BIGINT) AS shard, CAST(rank // {C.DATA_PARALLEL} AS BIGINT) AS pos
+FROM o, n WHERE rank < n.n - n.n % {C.DATA_PARALLEL}
+""")
+def q_shards(spark, sf):
+    from millrace.operators.feed import shard
+    return shard(_ranked(spark, sf)).select("doc_id", "rank", "shard", "pos")
+
+
+@register("batches", _FEED_SQL + f"""
+SELECT CAST(e.epoch AS INTEGER) AS epoch, CAST(rank // {BATCH_SIZE} AS BIGINT) AS batch, doc_id
+FROM o, n, (SELECT range AS epoch FROM range({EPOCHS})) e
+WHERE rank // {BATCH_SIZE} < n.n // {BATCH_SIZE}
+""")
+def q_batches(spark, sf):
+    from millrace.operators.feed import batches
+    return batches(_ranked(spark, sf), BATCH_SIZE, EPOCHS).select("epoch", "batch", "doc_id")
+
+
+@register("dyn_pad", _FEED_SQL + f"""
+, b AS (SELECT rank // {BATCH_SIZE} AS batch, n_tokens FROM o, n WHERE rank // {BATCH_SIZE} < n.n // {BATCH_SIZE}),
+g AS (SELECT batch, max(n_tokens) AS max_len, sum(n_tokens) AS s, count(*) AS c FROM b GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, CAST(max_len AS INTEGER) AS max_len,
+       CAST(max_len + ((({C.BATCH_REMAINDER} - max_len) % {C.BATCH_DIVISOR}) + {C.BATCH_DIVISOR}) % {C.BATCH_DIVISOR} AS INTEGER) AS padded_len,
+       CAST((max_len + ((({C.BATCH_REMAINDER} - max_len) % {C.BATCH_DIVISOR}) + {C.BATCH_DIVISOR}) % {C.BATCH_DIVISOR}) * c - s AS BIGINT) AS n_pad
+FROM g
+""")
+def q_dyn_pad(spark, sf):
+    from millrace.operators.feed import batches, dynamic_padding
+    b = batches(_ranked(spark, sf), BATCH_SIZE, 1)
+    d = dynamic_padding(b, "n_tokens")
+    return d.select("batch", "max_len", "padded_len", F.col("n_pad").cast("long").alias("n_pad"))
+
+
+# ---------------------------------------------------------------------------
+# accuracy reports: labels (quality = correct) joined to documents
+# ---------------------------------------------------------------------------
+
+BUDGETS = [1000, 2000, 4000, 8000]
+
+_ACC_SQL = """
+WITH s AS (SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality AS correct
+           FROM labels l JOIN documents d USING (doc_id))
+"""
+
+
+def _samples(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("correct"))
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
+    return lab.join(docs, "doc_id")
+
+
+@register("avg_at_k", _ACC_SQL + """
+, q AS (SELECT source, avg(correct) AS acc, count(*) AS k FROM s GROUP BY source)
+SELECT round(avg(acc), 6) AS avg_at_k, count(*) AS n_questions, CAST(sum(k) AS BIGINT) AS n_samples FROM q
+""")
+def q_avg_at_k(spark, sf):
+    from millrace.operators.reports import avg_at_k
+    r = avg_at_k(_samples(spark, sf), "source", "correct")
+    return r.select(F.round("avg_at_k", 6).alias("avg_at_k"), "n_questions", F.col("n_samples").cast("long").alias("n_samples"))
+
+
+_BUDGET_VALUES = ", ".join(f"({b})" for b in BUDGETS)
+
+
+@register("budget_sweep", _ACC_SQL + f"""
+, b AS (SELECT * FROM (VALUES {_BUDGET_VALUES}) v(budget)),
+q AS (SELECT b.budget, s.source, avg(CASE WHEN s.correct = 1 AND s.n_chars <= b.budget THEN 1.0 ELSE 0.0 END) AS acc
+      FROM s, b GROUP BY b.budget, s.source)
+SELECT CAST(budget AS INTEGER) AS budget, round(avg(acc), 6) AS accuracy FROM q GROUP BY budget
+""")
+def q_budget_sweep(spark, sf):
+    from millrace.operators.reports import budget_sweep
+    r = budget_sweep(_samples(spark, sf), "source", "correct", "n_chars", BUDGETS)
+    return r.select("budget", F.round("accuracy", 6).alias("accuracy"))
+
+
+@register("score_pivot", _ACC_SQL + f"""
+, b AS (SELECT * FROM (VALUES {_BUDGET_VALUES}) v(budget)),
+q AS (SELECT s.lang, b.budget, s.source, avg(CASE WHEN s.correct = 1 AND s.n_chars <= b.budget THEN 1.0 ELSE 0.0 END) AS acc
+      FROM s, b GROUP BY s.lang, b.budget, s.source),
+m AS (SELECT lang, budget, round(avg(acc), 6) AS acc FROM q GROUP BY lang, budget)
+SELECT lang, {", ".join(f"max(CASE WHEN budget = {b} THEN acc END) AS b{b}" for b in BUDGETS)}
+FROM m GROUP BY lang
+""")
+def q_score_pivot(spark, sf):
+    from millrace.operators.reports import budget_sweep, score_table
+    per_lang = budget_sweep(_samples(spark, sf), ["lang", "source"], "correct", "n_chars", BUDGETS, by=["lang"])
+    per_lang = per_lang.select("lang", F.concat(F.lit("b"), F.col("budget").cast("string")).alias("col"),
+                               F.round("accuracy", 6).alias("acc"))
+    return score_table(per_lang, ["lang"], "col", "acc", [f"b{b}" for b in BUDGETS])

@@ -33,3 +33,23 @@ def instruct_records(pairs: DataFrame, question: str = "question", answer: str =
 
 def with_math_flag(df: DataFrame, instruction: str = "instruction") -> DataFrame:
     return df.withColumn("is_math", is_math(F.col(instruction)))
+
+
+def toy_chat_ids(conversations: DataFrame, role_ids: dict, conv_col: str = "conv_id") -> DataFrame:
+    """Chat token ids with real turn markers and one id per whitespace word.
+
+    Each turn is ``[im_start, role_id, newline] + [1000 + len(word) ...] +
+    [im_end, newline]``; a stand-in for a tokenizer that keeps the marker
+    layout the label mask relies on. Turn arrays are built narrow, then one
+    shuffle assembles each chat in turn order.
+    """
+    role = F.col("role")
+    rid = F.lit(0)
+    for name, v in role_ids.items():
+        rid = F.when(role == name, F.lit(v)).otherwise(rid)
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^ \t\r\n]+"), 0)
+    body = F.transform(words, lambda w: (F.lit(1000) + F.length(w)).cast("int"))
+    ids = F.concat(F.array(F.lit(C.IM_START_ID), rid, F.lit(198)), body, F.array(F.lit(151645), F.lit(198)))
+    per_turn = conversations.select(conv_col, "turn", ids.alias("ids"))
+    g = per_turn.groupBy(conv_col).agg(F.array_sort(F.collect_list(F.struct("turn", "ids"))).alias("_t"))
+    return g.select(conv_col, F.flatten(F.transform("_t", lambda t: t["ids"])).alias("input_ids"))
