@@ -25,9 +25,27 @@ def pretoken_counts(df: DataFrame, text_col: str, out: str = "n_pretokens") -> D
 
 
 def split_specials(text) -> F.Column:
-    """Text -> alternating plain / special-token pieces (specials kept whole)."""
+    """Text -> plain segments and special tokens, in order (specials kept whole).
+
+    Splits at zero-width boundaries before and after every special token,
+    so pre-tokens never straddle one.
+    """
     pat = special_token_pattern()
-    return F.regexp_extract_all(text, F.lit(f"({pat})|((?:(?!{pat})[\\s\\S])+)"), 0)
+    t = F.col(text) if isinstance(text, str) else text
+    return F.split(t, f"(?=(?:{pat}))|(?<=(?:{pat}))")
+
+
+def pretokens_with_specials(text) -> F.Column:
+    """Special tokens first (each one piece), then the pre-tokenizer on the text between them."""
+    specials = F.array(*[F.lit(tok) for tok, _ in C.SPECIAL_TOKENS])
+    segs = split_specials(text)
+    return F.flatten(F.transform(segs, lambda s: F.when(F.array_contains(specials, s), F.array(s)).otherwise(
+        pretokens(s))))
+
+
+def special_ids(spark) -> DataFrame:
+    """The special tokens and their fixed ids as a small table."""
+    return spark.createDataFrame(C.SPECIAL_TOKENS, "pretoken string, sid int")
 
 
 def word_vocab(df: DataFrame, text_col: str, id_offset: int = 0) -> DataFrame:
@@ -57,12 +75,14 @@ def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFr
     ``n_oov``.
     """
     v = _vocab_side(vocab.select("token", F.col("id").cast("int").alias("id")))
-    ex = df.select(*keys, F.posexplode(tokens_col).alias("pos", "token"))
+    # posexplode_outer keeps rows without tokens (they come back as empty arrays)
+    ex = df.select(*keys, F.posexplode_outer(tokens_col).alias("pos", "token"))
     j = ex.join(v, "token", "left")
     tid = F.coalesce(F.col("id"), F.lit(unk_id).cast("int")) if unk_id is not None else F.col("id")
+    present = F.col("pos").isNotNull()
     g = j.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("pos", tid.alias("id")))).alias("_e"),
-        F.count_if(F.col("id").isNull()).alias("n_oov"))
+        F.array_sort(F.collect_list(F.when(present, F.struct("pos", tid.alias("id"))))).alias("_e"),
+        F.count_if(present & F.col("id").isNull()).alias("n_oov"))
     return g.select(*keys, F.transform("_e", lambda e: e["id"]).alias(out), "n_oov")
 
 
@@ -70,11 +90,13 @@ def decode_ids(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame, s
                skip_ids: list[int] | None = None, out: str = "text") -> DataFrame:
     """Id arrays -> text through the inverse vocabulary; unknown ids are dropped."""
     v = _vocab_side(vocab.select(F.col("id").cast("int").alias("id"), "token"))
-    ex = df.select(*keys, F.posexplode(ids_col).alias("pos", "id"))
+    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("pos", "id"))
+    keep = F.col("pos").isNotNull()
     if skip_ids:
-        ex = ex.filter(~F.col("id").isin(*skip_ids))
+        keep = keep & ~F.col("id").isin(*skip_ids)
     j = ex.join(v, "id", "left")
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_e"))
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(keep & F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_e"))
     return g.select(*keys, F.array_join(F.transform("_e", lambda e: e["token"]), sep).alias(out))
 
 
@@ -137,8 +159,9 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
     Shuffles: one on the pre-token (distinct + join back), one on the row
     keys to restore order. Rows carry ``n_tokens`` and ``ids``.
     """
-    ex = df.select(*keys, F.posexplode(pretokens(F.col(text_col))).alias("pos", "pretoken"))
-    distinct = ex.select("pretoken").distinct()
+    ex = df.select(*keys, F.posexplode_outer(pretokens_with_specials(F.col(text_col))).alias("pos", "pretoken"))
+    spec = special_ids(df.sparkSession)
+    distinct = ex.select("pretoken").distinct().join(F.broadcast(spec), "pretoken", "left_anti")
     pieces = bpe_pieces(distinct, merges)
     v = _vocab_side(vocab.select("token", F.col("id").cast("int").alias("id")))
     # pieces -> ids once per distinct pre-token
@@ -147,8 +170,10 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
     tok_ids = pe.groupBy("pretoken").agg(
         F.array_sort(F.collect_list(F.struct("ppos", tid.alias("id")))).alias("_p"))
     tok_ids = tok_ids.select("pretoken", F.transform("_p", lambda e: e["id"]).alias("pids"))
-    j = ex.join(tok_ids, "pretoken")
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "pids"))).alias("_e"))
+    tok_ids = tok_ids.unionByName(spec.select("pretoken", F.array("sid").alias("pids")))
+    j = ex.join(tok_ids, "pretoken", "left")
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(F.col("pos").isNotNull(), F.struct("pos", "pids")))).alias("_e"))
     g = g.select(*keys, F.flatten(F.transform("_e", lambda e: e["pids"])).alias("ids"))
     return g.select(*keys, F.size("ids").alias("n_tokens"), "ids")
 
@@ -160,12 +185,12 @@ def token_counts_bpe(df: DataFrame, keys: list[str], text_col: str, merges: Data
     is hot within a row is one row; each distinct pre-token's piece count is
     joined and summed per row.
     """
-    ex = df.select(*keys, F.explode(pretokens(F.col(text_col))).alias("pretoken"))
-    per_row = ex.groupBy(*keys, "pretoken").agg(F.count(F.lit(1)).alias("n"))
-    pieces = bpe_pieces(per_row.select("pretoken").distinct(), merges)
+    ex = df.select(*keys, F.explode_outer(pretokens(F.col(text_col))).alias("pretoken"))
+    per_row = ex.groupBy(*keys, "pretoken").agg(F.count("pretoken").alias("n"))
+    pieces = bpe_pieces(per_row.select("pretoken").filter(F.col("pretoken").isNotNull()).distinct(), merges)
     sizes = pieces.select("pretoken", F.size("pieces").alias("n_pieces"))
-    j = per_row.join(sizes, "pretoken")
-    return j.groupBy(*keys).agg(F.sum(F.col("n") * F.col("n_pieces")).alias("n_tokens"))
+    j = per_row.join(sizes, "pretoken", "left")
+    return j.groupBy(*keys).agg(F.coalesce(F.sum(F.col("n") * F.col("n_pieces")), F.lit(0)).alias("n_tokens"))
 
 
 def learn_merges(df: DataFrame, text_col: str, n_merges: int) -> DataFrame:

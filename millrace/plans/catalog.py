@@ -686,3 +686,56 @@ def q_score_pivot(spark, sf):
     per_lang = per_lang.select("lang", F.concat(F.lit("b"), F.col("budget").cast("string")).alias("col"),
                                F.round("accuracy", 6).alias("acc"))
     return score_table(per_lang, ["lang"], "col", "acc", [f"b{b}" for b in BUDGETS])
+
+
+# ---------------------------------------------------------------------------
+# rows-only: byte-level BPE, approximate vector search
+# (checked against brute force / the exact path in tests)
+# ---------------------------------------------------------------------------
+
+N_MERGES = 300
+
+
+def bpe_model(spark, sf):
+    """Merge table learned from the benchmark texts, and its vocabulary."""
+    from millrace.operators.tokenize import learn_merges, vocab_from_merges
+    merges = learn_merges(table(spark, sf, "benchmark"), "text", N_MERGES)
+    return merges, vocab_from_merges(merges)
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf):
+    from millrace.operators.tokenize import bpe_encode
+    merges, vocab = bpe_model(spark, sf)
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    enc = bpe_encode(conv, ["conv_id", "turn"], "text", merges, vocab)
+    return enc.select("conv_id", "turn", "n_tokens", _csv(F.col("ids")).alias("ids"))
+
+
+@register("bpe_token_counts")
+def q_bpe_token_counts(spark, sf):
+    from millrace.operators.tokenize import token_counts_bpe
+    merges, _ = bpe_model(spark, sf)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts_bpe(docs, ["doc_id"], "text", merges)
+
+
+@register("lsh_candidates")
+def q_lsh_candidates(spark, sf):
+    from millrace.operators.similarity import lsh_pairs
+    emb = table(spark, sf, "embeddings")
+    return lsh_pairs(emb, NEAR_DUP_THRESHOLD, "vec_id").select(
+        "a", "b", F.round("score", 6).alias("score")).filter(F.col("score") > NEAR_DUP_THRESHOLD)
+
+
+@register("ivf_topk")
+def q_ivf_topk(spark, sf):
+    from millrace.operators.similarity import ivf_knn, ivf_sizes, with_rank
+    emb = table(spark, sf, "embeddings")
+    n = emb.count()
+    nlist, nprobe = ivf_sizes(n, dedup=True)
+    nn = ivf_knn(emb, emb, k=TOP_K, target_id="vec_id", index_id="vec_id", nlist=nlist, nprobe=nprobe,
+                 exclude_self=True)
+    r = with_rank(nn)
+    return r.select(F.col("tid").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"),
+                    F.col("iid").alias("match_id"), F.round("score", 6).alias("score"))
