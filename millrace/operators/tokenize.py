@@ -135,10 +135,10 @@ def bpe_pieces(distinct_tokens: DataFrame, merges: DataFrame, token_col: str = "
     the pre-tokens are spread over partitions and processed in Arrow batches.
     """
     spark = distinct_tokens.sparkSession
-    n = merges.count()
-    if n > BROADCAST_VOCAB_ROWS:
-        raise ValueError(f"merge table of {n} rows is larger than the broadcast bound")
-    mp = merges.select("left", "right", "rank").toPandas()
+    # one job collects at most bound + 1 rows: the size check and the fetch together
+    mp = merges.select("left", "right", "rank").limit(BROADCAST_VOCAB_ROWS + 1).toPandas()
+    if len(mp) > BROADCAST_VOCAB_ROWS:
+        raise ValueError("merge table is larger than the broadcast bound")
     ranks = {(a, b): int(r) for a, b, r in zip(mp["left"], mp["right"], mp["rank"])}
     bc = spark.sparkContext.broadcast(ranks)
     table = C.bytes_to_unicode_table()

@@ -97,19 +97,29 @@ flagged AS (
 
 
 def _decon_matches(spark, sf):
-    from millrace.operators.dedup import contamination_matches, exact_dedup, with_content_id
-    docs = with_content_id(table(spark, sf, "documents").select("doc_id", "text"), "text")
-    targets = exact_dedup(docs, "question_id", order_col="doc_id")
-    bench = table(spark, sf, "benchmark")
-    m = contamination_matches(targets, bench, "doc_id", "text", "item_id", "text", DECON_THRESHOLD)
-    return targets, m
+    """Flags per unique question without shuffling any text.
+
+    Every copy of a text scores the same, so scoring the raw scan and then
+    keeping the smallest doc_id per question id gives the same rows as
+    dedup-then-score; only ids and scores move between stages.
+    """
+    from millrace.functions.text import content_id
+    from millrace.operators.dedup import contamination_matches
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ids = docs.select("doc_id", content_id(F.col("text")).alias("question_id"))
+    bench = table(spark, sf, "benchmark", spread=False)
+    m = contamination_matches(docs, bench, "doc_id", "text", "item_id", "text", DECON_THRESHOLD)
+    first = F.min_by(F.struct("doc_id", "match_id", "score"), "doc_id")
+    flagged = m.join(ids, "doc_id").groupBy("question_id").agg(first.alias("_f")).select(
+        "question_id", "_f.doc_id", "_f.match_id", "_f.score")
+    targets = ids.groupBy("question_id").agg(F.min("doc_id").alias("doc_id"))
+    return targets, flagged
 
 
 @register("decontaminate_tf", _TF_SQL.replace("@THR@", str(DECON_THRESHOLD)) + "SELECT * FROM flagged")
 def q_decontaminate_tf(spark, sf):
-    targets, m = _decon_matches(spark, sf)
-    return m.join(targets.select("doc_id", "question_id"), "doc_id").select(
-        "question_id", "doc_id", "match_id", F.round("score", 6).alias("score"))
+    _, flagged = _decon_matches(spark, sf)
+    return flagged.select("question_id", "doc_id", "match_id", F.round("score", 6).alias("score"))
 
 
 @register("decontaminate_keep", _TF_SQL.replace("@THR@", str(DECON_THRESHOLD)) + """
@@ -117,8 +127,8 @@ SELECT question_id, doc_id FROM targets WHERE question_id NOT IN (SELECT questio
 """)
 def q_decontaminate_keep(spark, sf):
     from millrace.operators.dedup import drop_flagged
-    targets, m = _decon_matches(spark, sf)
-    return drop_flagged(targets.select("question_id", "doc_id"), m, "doc_id")
+    targets, flagged = _decon_matches(spark, sf)
+    return drop_flagged(targets, flagged, "question_id")
 
 
 @register("contamination_rate", _TF_SQL.replace("@THR@", str(DECON_THRESHOLD)) + """
@@ -128,9 +138,9 @@ FROM targets t LEFT JOIN flagged f USING (question_id)
 """)
 def q_contamination_rate(spark, sf):
     from millrace.operators.reports import flag_rate
-    targets, m = _decon_matches(spark, sf)
-    marked = targets.select("doc_id").join(
-        m.select("doc_id", F.lit(True).alias("hit")), "doc_id", "left")
+    targets, flagged = _decon_matches(spark, sf)
+    marked = targets.select("question_id").join(
+        flagged.select("question_id", F.lit(True).alias("hit")), "question_id", "left")
     return flag_rate(marked.select(F.coalesce("hit", F.lit(False)).alias("hit")), "hit")
 
 
@@ -538,9 +548,13 @@ packs AS (
 
 
 def _plan(spark, sf):
-    from millrace.operators.packing import pack_plan
+    from millrace.operators.packing import bucket_digits, pack_plan
     d = _doc_lengths(spark, sf)
-    plan, _rej = pack_plan(d, "doc_id", "n_tokens", seq_length=PACK_LENGTH)
+    # bucket size is a throughput knob: size it from a cheap column statistic
+    # (about 4 characters per token) instead of a pass over the token counts
+    chars = table(spark, sf, "documents", spread=False).agg(F.sum("n_chars")).first()[0] or 0
+    plan, _rej = pack_plan(d, "doc_id", "n_tokens", seq_length=PACK_LENGTH,
+                           digits=bucket_digits(chars // 4, PACK_LENGTH))
     return plan
 
 

@@ -79,6 +79,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster's cores when it has fewer splits than cores.
+
+    A large input already has more splits than cores and is returned as is
+    (no shuffle). A small file that is one row group would otherwise run
+    every per-row step (hashing, regex, sorting words) in a single task; it
+    is spread round-robin, which moves only that small input.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read one of the test tables (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
