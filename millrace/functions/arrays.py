@@ -16,17 +16,18 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def answer_start(ids, marker: int = C.IM_START_ID, role_id: int = C.ASSISTANT_ID) -> Column:
-    """0-based index where the answer begins: first ``(marker, role_id)`` pair + 3, else 0.
+def answer_start(ids, marker: int = C.IM_START_ID, role_id: int = C.ASSISTANT_ID, skip: int = 3) -> Column:
+    """0-based index where the answer begins: first ``(marker, role_id)`` pair + ``skip``, else 0.
 
-    The +3 skips the marker, the role word and the newline. Missing marker
-    gives 0 (nothing masked); a marker in the last position is not a match.
+    The default +3 skips the marker, the role word and the newline (one id
+    each in the production vocabulary). Missing marker gives 0 (nothing
+    masked); a marker in the last position is not a match.
     """
     a = _c(ids)
     n = F.size(a)
     hits = F.filter(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))),
                     lambda i: (F.get(a, i) == F.lit(marker)) & (F.get(a, i + 1) == F.lit(role_id)))
-    return F.when(F.size(hits) > 0, F.get(hits, 0) + 3).otherwise(F.lit(0))
+    return F.when(F.size(hits) > 0, F.get(hits, 0) + skip).otherwise(F.lit(0))
 
 
 def truncate_keep_tail(ids, limit: int = C.SEQ_LENGTH, tail: int = 2) -> Column:

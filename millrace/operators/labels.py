@@ -10,7 +10,8 @@ from millrace.functions.arrays import answer_start, mask_labels, mask_overflow,
 
 
 def build_labels(df: DataFrame, ids_col: str = "input_ids", limit: int = C.SEQ_LENGTH,
-                 ignore: int = C.IGNORE_ID) -> DataFrame:
+                 ignore: int = C.IGNORE_ID, marker: int = C.IM_START_ID, role_id: int = C.ASSISTANT_ID,
+                 skip: int = 3) -> DataFrame:
     """Add ``answer_start``, truncated ``input_ids``, ``labels``, ``clipped`` and ``mask_overflow``.
 
     The answer start is found on the untruncated ids; labels are taken from
@@ -22,7 +23,7 @@ def build_labels(df: DataFrame, ids_col: str = "input_ids", limit: int = C.SEQ_L
     """
     cols = [c for c in df.columns if c != ids_col]
     d = df.select(*cols, F.col(ids_col).alias("_ids"))
-    d = d.select(*cols, "_ids", answer_start("_ids").alias("answer_start"),
+    d = d.select(*cols, "_ids", answer_start("_ids", marker, role_id, skip).alias("answer_start"),
                  (F.size("_ids") > limit).alias("clipped"))
     d = d.select(*cols, "answer_start", "clipped", truncate_keep_tail("_ids", limit).alias(ids_col))
     return d.select(*cols, ids_col, "answer_start", "clipped",

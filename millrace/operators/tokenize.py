@@ -74,30 +74,30 @@ def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFr
     per row in order. OOV tokens get ``unk_id`` (null when none). Adds
     ``n_oov``.
     """
-    v = _vocab_side(vocab.select("token", F.col("id").cast("int").alias("id")))
+    v = _vocab_side(vocab.select(F.col("token").alias("_tok"), F.col("id").cast("int").alias("_tid")))
     # posexplode_outer keeps rows without tokens (they come back as empty arrays)
-    ex = df.select(*keys, F.posexplode_outer(tokens_col).alias("pos", "token"))
-    j = ex.join(v, "token", "left")
-    tid = F.coalesce(F.col("id"), F.lit(unk_id).cast("int")) if unk_id is not None else F.col("id")
-    present = F.col("pos").isNotNull()
+    ex = df.select(*keys, F.posexplode_outer(tokens_col).alias("_pos", "_tok"))
+    j = ex.join(v, "_tok", "left")
+    tid = F.coalesce(F.col("_tid"), F.lit(unk_id).cast("int")) if unk_id is not None else F.col("_tid")
+    present = F.col("_pos").isNotNull()
     g = j.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(present, F.struct("pos", tid.alias("id"))))).alias("_e"),
-        F.count_if(present & F.col("id").isNull()).alias("n_oov"))
-    return g.select(*keys, F.transform("_e", lambda e: e["id"]).alias(out), "n_oov")
+        F.array_sort(F.collect_list(F.when(present, F.struct(F.col("_pos"), tid.alias("_tid"))))).alias("_e"),
+        F.count_if(present & F.col("_tid").isNull()).alias("n_oov"))
+    return g.select(*keys, F.transform("_e", lambda e: e["_tid"]).alias(out), "n_oov")
 
 
 def decode_ids(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame, sep: str = " ",
                skip_ids: list[int] | None = None, out: str = "text") -> DataFrame:
     """Id arrays -> text through the inverse vocabulary; unknown ids are dropped."""
-    v = _vocab_side(vocab.select(F.col("id").cast("int").alias("id"), "token"))
-    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("pos", "id"))
-    keep = F.col("pos").isNotNull()
+    v = _vocab_side(vocab.select(F.col("id").cast("int").alias("_tid"), F.col("token").alias("_tok")))
+    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "_tid"))
+    keep = F.col("_pos").isNotNull()
     if skip_ids:
-        keep = keep & ~F.col("id").isin(*skip_ids)
-    j = ex.join(v, "id", "left")
+        keep = keep & ~F.col("_tid").isin(*skip_ids)
+    j = ex.join(v, "_tid", "left")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(keep & F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_e"))
-    return g.select(*keys, F.array_join(F.transform("_e", lambda e: e["token"]), sep).alias(out))
+        F.when(keep & F.col("_tok").isNotNull(), F.struct("_pos", "_tok")))).alias("_e"))
+    return g.select(*keys, F.array_join(F.transform("_e", lambda e: e["_tok"]), sep).alias(out))
 
 
 # ---------------------------------------------------------------------------
@@ -159,7 +159,7 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
     Shuffles: one on the pre-token (distinct + join back), one on the row
     keys to restore order. Rows carry ``n_tokens`` and ``ids``.
     """
-    ex = df.select(*keys, F.posexplode_outer(pretokens_with_specials(F.col(text_col))).alias("pos", "pretoken"))
+    ex = df.select(*keys, F.posexplode_outer(pretokens_with_specials(F.col(text_col))).alias("_pos", "pretoken"))
     spec = special_ids(df.sparkSession)
     distinct = ex.select("pretoken").distinct().join(F.broadcast(spec), "pretoken", "left_anti")
     pieces = bpe_pieces(distinct, merges)
@@ -173,7 +173,7 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
     tok_ids = tok_ids.unionByName(spec.select("pretoken", F.array("sid").alias("pids")))
     j = ex.join(tok_ids, "pretoken", "left")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(F.col("pos").isNotNull(), F.struct("pos", "pids")))).alias("_e"))
+        F.when(F.col("_pos").isNotNull(), F.struct("_pos", "pids")))).alias("_e"))
     g = g.select(*keys, F.flatten(F.transform("_e", lambda e: e["pids"])).alias("ids"))
     return g.select(*keys, F.size("ids").alias("n_tokens"), "ids")
 
@@ -227,3 +227,77 @@ def vocab_from_merges(merges: DataFrame) -> DataFrame:
     base = spark.createDataFrame([(table[b], b) for b in range(256)], "token string, id int")
     merged = merges.select(F.concat("left", "right").alias("token"), (F.col("rank") + 256).cast("int").alias("id"))
     return base.unionByName(merged).groupBy("token").agg(F.min("id").alias("id"))
+
+
+# ---------------------------------------------------------------------------
+# normalisation and decoding
+# ---------------------------------------------------------------------------
+
+@F.pandas_udf(T.StringType())
+def _nfc(texts: pd.Series) -> pd.Series:
+    import unicodedata
+    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+
+
+def nfc(text) -> F.Column:
+    """Unicode NFC normalisation (Spark has no built-in); ASCII rows pass through unchanged."""
+    return _nfc(F.col(text) if isinstance(text, str) else text)
+
+
+def pieces_to_text(pieces) -> F.Column:
+    """Byte-level pieces -> text: undo the byte->character map, decode UTF-8, replace invalid bytes."""
+    decoder = {ch: b for b, ch in C.bytes_to_unicode_table().items()}
+
+    @F.pandas_udf(T.StringType())
+    def undo(joined: pd.Series) -> pd.Series:
+        return joined.map(lambda s: None if s is None else bytes(decoder[c] for c in s).decode("utf-8", "replace"))
+
+    col = F.col(pieces) if isinstance(pieces, str) else pieces
+    return undo(F.array_join(col, ""))
+
+
+def decode_bpe(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame,
+               skip_special: bool = False, out: str = "text") -> DataFrame:
+    """BPE ids -> text: inverse vocabulary join, specials either kept as their text or dropped."""
+    spec_ids = [i for _, i in C.SPECIAL_TOKENS]
+    spec = special_ids(df.sparkSession).select(F.col("sid").alias("_tid"), F.col("pretoken").alias("_stok"))
+    inv = vocab.select(F.col("id").cast("int").alias("_tid"), F.col("token").alias("_tok"))
+    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "_tid"))
+    keep = F.col("_pos").isNotNull()
+    if skip_special:
+        keep = keep & ~F.col("_tid").isin(*spec_ids)
+    j = ex.join(_vocab_side(inv), "_tid", "left").join(F.broadcast(spec), "_tid", "left")
+    # a special id contributes its literal text; other ids go through the byte map
+    is_spec = F.col("_tid").isin(*spec_ids)
+    piece = F.when(is_spec, F.col("_stok")).otherwise(F.col("_tok"))
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(keep, F.struct(F.col("_pos"), is_spec.alias("sp"), piece.alias("p"))))).alias("_e"))
+    pieces = F.transform("_e", lambda e: e["p"])
+    flags = F.transform("_e", lambda e: e["sp"])
+    return g.select(*keys, _decode_pieces(pieces, flags).alias(out))
+
+
+def _decode_pieces(pieces, flags) -> F.Column:
+    """Consecutive byte pieces decode together (multi-byte characters); specials are literal text."""
+    decoder = {ch: b for b, ch in C.bytes_to_unicode_table().items()}
+
+    @F.pandas_udf(T.StringType())
+    def undo(ps: pd.Series, fs: pd.Series) -> pd.Series:
+        def one(p, f):
+            if p is None:
+                return None
+            out, buf = [], bytearray()
+            for piece, special in zip(p, f):
+                if piece is None:
+                    continue
+                if special:
+                    out.append(buf.decode("utf-8", "replace"))
+                    buf = bytearray()
+                    out.append(piece)
+                else:
+                    buf.extend(decoder[c] for c in piece)
+            out.append(buf.decode("utf-8", "replace"))
+            return "".join(out)
+        return pd.Series([one(p, f) for p, f in zip(ps, fs)])
+
+    return undo(pieces, flags)

@@ -753,3 +753,17 @@ def q_ivf_topk(spark, sf):
     r = with_rank(nn)
     return r.select(F.col("tid").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"),
                     F.col("iid").alias("match_id"), F.round("score", 6).alias("score"))
+
+
+@register("bpe_roundtrip")
+def q_bpe_roundtrip(spark, sf):
+    """Round-trip / OOV report per chat turn: decode(encode(x)) against NFC(x)."""
+    from millrace.operators.tokenize import bpe_encode, decode_bpe, nfc
+    merges, vocab = bpe_model(spark, sf)
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", nfc("text").alias("text"))
+    enc = bpe_encode(conv, ["conv_id", "turn"], "text", merges, vocab)
+    dec = decode_bpe(enc, ["conv_id", "turn"], "ids", vocab, out="decoded")
+    j = conv.join(enc, ["conv_id", "turn"]).join(dec, ["conv_id", "turn"])
+    return j.select("conv_id", "turn", "n_tokens",
+                    F.size(F.filter("ids", lambda x: x.isNull())).alias("n_oov"),
+                    (F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")).alias("roundtrip_ok"))

@@ -57,6 +57,11 @@ def _instruct_sft() -> Handler:
         enc = bpe_encode(df, [params.get("id_col", "id")], "message", params["merges"], params["vocab"],
                          params.get("unk_id"))
         enc = enc.withColumnRenamed("ids", "input_ids")
-        return build_labels(enc, "input_ids", params.get("seq_length", C.SEQ_LENGTH))
+        # the answer opens after "<|im_start|>assistant\n": take the role word's
+        # ids from the vocabulary in use (one constant row, encoded once)
+        probe = df.sparkSession.createDataFrame([(0, "assistant\n")], "k int, message string")
+        role = bpe_encode(probe, ["k"], "message", params["merges"], params["vocab"]).first()["ids"]
+        return build_labels(enc, "input_ids", params.get("seq_length", C.SEQ_LENGTH),
+                            role_id=role[0], skip=1 + len(role))
 
     return Handler("instruct_sft", fmt, tok)
