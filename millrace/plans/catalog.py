@@ -767,3 +767,59 @@ def q_bpe_roundtrip(spark, sf):
     return j.select("conv_id", "turn", "n_tokens",
                     F.size(F.filter("ids", lambda x: x.isNull())).alias("n_oov"),
                     (F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")).alias("roundtrip_ok"))
+
+
+# ---------------------------------------------------------------------------
+# near-duplicate texts (exact term-frequency cosine, prefix-filtered self-join)
+# ---------------------------------------------------------------------------
+
+TEXT_DUP_THRESHOLD = 0.9
+
+_TEXT_DUP_SQL = r"""
+WITH targets AS (
+  SELECT substr(sha256(text), 1, 16) AS question_id, min(doc_id) AS doc_id, arg_min(text, doc_id) AS text
+  FROM documents GROUP BY 1),
+tw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM targets),
+ttf AS (SELECT doc_id, term, count(*) AS tf FROM tw GROUP BY 1, 2),
+tn AS (SELECT doc_id, sum(tf * tf) AS n2 FROM ttf GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.tf * b.tf) AS dot
+          FROM ttf a JOIN ttf b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+scored AS (SELECT p.a, p.b, CAST(p.dot AS DOUBLE) / sqrt(CAST(x.n2 AS DOUBLE) * CAST(y.n2 AS DOUBLE)) AS s
+           FROM pairs p JOIN tn x ON x.doc_id = p.a JOIN tn y ON y.doc_id = p.b),
+best AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS r FROM scored WHERE s > @THR@),
+flagged AS (SELECT a AS doc_id, b AS match_id, s FROM best WHERE r = 1)
+""".replace("@THR@", str(TEXT_DUP_THRESHOLD))
+
+
+def _text_dups(spark, sf):
+    from millrace.operators.dedup import exact_dedup, text_near_duplicates, with_content_id
+    docs = with_content_id(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    targets = exact_dedup(docs, "question_id", order_col="doc_id")
+    return targets, text_near_duplicates(targets, "doc_id", "text", TEXT_DUP_THRESHOLD)
+
+
+@register("text_near_dup_pairs", _TEXT_DUP_SQL + "SELECT doc_id, match_id, round(s, 6) AS score FROM flagged")
+def q_text_near_dup_pairs(spark, sf):
+    _, pairs = _text_dups(spark, sf)
+    return pairs.select("doc_id", "match_id", F.round("score", 6).alias("score"))
+
+
+@register("text_near_dup_drop_all", _TEXT_DUP_SQL + """
+SELECT question_id, doc_id FROM targets WHERE doc_id NOT IN (SELECT doc_id FROM flagged)
+""")
+def q_text_near_dup_drop_all(spark, sf):
+    from millrace.operators.dedup import drop_all_duplicates
+    targets, pairs = _text_dups(spark, sf)
+    return drop_all_duplicates(targets.select("question_id", "doc_id"), pairs, "doc_id")
+
+
+@register("text_dup_rate", _TEXT_DUP_SQL + """
+SELECT count(*) AS n_total, count(f.doc_id) AS n_flagged,
+       round(100.0 * count(f.doc_id) / count(*), 2) AS rate_pct
+FROM targets t LEFT JOIN flagged f USING (doc_id)
+""")
+def q_text_dup_rate(spark, sf):
+    from millrace.operators.reports import flag_rate
+    targets, pairs = _text_dups(spark, sf)
+    marked = targets.select("doc_id").join(pairs.select("doc_id", F.lit(True).alias("hit")), "doc_id", "left")
+    return flag_rate(marked.select(F.coalesce("hit", F.lit(False)).alias("hit")), "hit")

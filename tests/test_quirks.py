@@ -269,3 +269,26 @@ def test_histogram_constant_lengths(spark):
     assert len(h) == 100 and sum(r["n"] for r in h) == 2
     mid = [r for r in h if r["n"] > 0][0]
     assert mid["bin"] == 50 and math.isclose(mid["lo"], 7.0) is True
+
+
+def test_text_near_duplicates_equal_brute_force(spark):
+    from itertools import permutations
+    from collections import Counter
+    import re as _re
+    from millrace.operators.dedup import text_near_duplicates
+    texts = ["the cat sat on the mat", "the cat sat on a mat", "a cat sat on the mat today",
+             "dogs bark loudly at night", "dogs bark loudly at noon", "completely different words here", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r["id"]: (r["match_id"], round(r["score"], 9))
+           for r in text_near_duplicates(df, "id", "text", 0.7).collect()}
+    vec = [Counter(_re.findall(r"\w+", t.lower())) for t in texts]
+    def cos(a, b):
+        d = sum(a[k] * b.get(k, 0) for k in a)
+        na, nb = sum(v * v for v in a.values()), sum(v * v for v in b.values())
+        return d / math.sqrt(na * nb) if na and nb else 0.0
+    want = {}
+    for i, j in permutations(range(len(texts)), 2):
+        s = cos(vec[i], vec[j])
+        if s > 0.7 and (i not in want or (s, -j) > (want[i][1], -want[i][0])):
+            want[i] = (j, round(s, 9))
+    assert got == want and len(want) >= 4
