@@ -67,3 +67,22 @@ def dynamic_padding(batched: DataFrame, len_col: str, batch_col: str = "batch",
     L = padded_length(F.col("max_len"), divisor, remainder)
     return g.select(batch_col, "max_len", L.alias("padded_len"),
                     (L * F.col("_n") - F.col("_sum")).alias("n_pad"))
+
+
+def global_rank(df: DataFrame, order_cols, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in ``order_cols`` order, without a single-task window.
+
+    Rows are range-partitioned on the order columns (balanced by sampling),
+    each partition is numbered on its own, and per-partition row counts (one
+    row per partition) give the offsets. Ties get distinct, adjacent ranks.
+    """
+    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    parts = df.repartitionByRange(n, *cols).withColumn("_p", F.spark_partition_id())
+    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_p").orderBy(*cols)
+    return (parts.join(F.broadcast(offsets), "_p")
+            .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
+            .drop("_p", "_off"))

@@ -51,13 +51,14 @@ def special_ids(spark) -> DataFrame:
 def word_vocab(df: DataFrame, text_col: str, id_offset: int = 0) -> DataFrame:
     """A vocabulary from the distinct lower-cased words of a table: ``(token, id)``.
 
-    ids are the 0-based dense rank of the word (plus ``id_offset``). The
-    distinct words are a partial aggregate; the rank is a single ordered
-    window over the distinct vocabulary (bounded by the vocabulary, not the
-    corpus).
+    ids are the 0-based rank of the word in sorted order (plus
+    ``id_offset``); words are distinct, so this is the dense rank. The
+    distinct words are a partial aggregate and the rank is computed over
+    range partitions, never in a single task.
     """
+    from millrace.operators.feed import global_rank
     w = df.select(F.explode(words(F.col(text_col))).alias("token")).distinct()
-    return w.select("token", (F.dense_rank().over(Window.orderBy("token")) - 1 + id_offset).alias("id"))
+    return global_rank(w, ["token"], "id").select("token", (F.col("id") + id_offset).alias("id"))
 
 
 def _vocab_side(vocab: DataFrame) -> DataFrame:
@@ -215,9 +216,9 @@ def learn_merges(df: DataFrame, text_col: str, n_merges: int) -> DataFrame:
     pairs = pairs.filter(F.col("p.right").isNotNull())
     freq = pairs.groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(
         F.sum("f").alias("freq"))
-    w = Window.orderBy(F.col("freq").desc(), "left", "right")
-    return freq.select("left", "right", (F.row_number().over(w) - 1).alias("rank")).filter(
-        F.col("rank") < n_merges)
+    from millrace.operators.feed import global_rank
+    ranked = global_rank(freq, [F.col("freq").desc(), F.col("left"), F.col("right")], "rank")
+    return ranked.select("left", "right", "rank").filter(F.col("rank") < n_merges)
 
 
 def vocab_from_merges(merges: DataFrame) -> DataFrame:

@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     A cluster names a shared folder there; it is only set here when the
     session has none (tests, local runs).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or (fallback or "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -87,10 +90,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     every per-row step (hashing, regex, sorting words) in a single task; it
     is spread round-robin, which moves only that small input.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:

@@ -87,10 +87,9 @@ def read_merges(spark: SparkSession, path: str, comment_mode: str = "any_hash")
         raise ValueError(f"unknown comment_mode {comment_mode!r}")
     parts = F.split(F.col("line"), " ")
     kept = lines.filter(keep).select("pos", F.get(parts, 0).alias("left"), F.get(parts, 1).alias("right"))
-    # rank = number of kept lines before this one; the merge file is a small
-    # table so a single ordered window over it is fine.
-    from pyspark.sql import Window
-    ranked = kept.withColumn("rank", F.row_number().over(Window.orderBy("pos")) - 1)
+    # rank = number of kept lines before this one
+    from millrace.operators.feed import global_rank
+    ranked = global_rank(kept, ["pos"], "rank")
     return ranked.groupBy("left", "right").agg(F.max("rank").alias("rank"))
 
 
