@@ -322,7 +322,7 @@ PACK_LENGTH = 2048
 
 
 def _ntok_sql(col: str) -> str:
-    return f"len(regexp_extract_all({col}, {sql_str(_RE2_PRETOKEN)}))"
+    return f"CAST(len(regexp_extract_all({col}, {sql_str(_RE2_PRETOKEN)})) AS INTEGER)"
 
 
 @register("pretokens", f"""
