@@ -69,16 +69,23 @@ def dynamic_padding(batched: DataFrame, len_col: str, batch_col: str = "batch",
                     (L * F.col("_n") - F.col("_sum")).alias("n_pad"))
 
 
-def global_rank(df: DataFrame, order_cols, out: str = "rank", partitions: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order_cols, out: str = "rank", partitions: int | None = None,
+                materialize: bool = True) -> DataFrame:
     """0-based position of every row in ``order_cols`` order, without a single-task window.
 
     Rows are range-partitioned on the order columns (balanced by sampling),
     each partition is numbered on its own, and per-partition row counts (one
     row per partition) give the offsets. Ties get distinct, adjacent ranks.
+    With ``materialize`` the input is written once to the shared checkpoint
+    folder first, so the range sample, the partition sizes and the numbering
+    read that copy instead of re-running the input's lineage three times;
+    pass ``False`` when the input is already a cheap read.
     """
+    from millrace.session import cut_lineage
     n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    parts = df.repartitionByRange(n, *cols).withColumn("_p", F.spark_partition_id())
+    src = cut_lineage(df, "rank-input") if materialize else df
+    parts = src.repartitionByRange(n, *cols).withColumn("_p", F.spark_partition_id())
     sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(
         Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))

@@ -172,6 +172,7 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
         F.array_sort(F.collect_list(F.struct("ppos", tid.alias("id")))).alias("_p"))
     tok_ids = tok_ids.select("pretoken", F.transform("_p", lambda e: e["id"]).alias("pids"))
     tok_ids = tok_ids.unionByName(spec.select("pretoken", F.array("sid").alias("pids")))
+    tok_ids = _small_side(tok_ids, "bpe-ids")
     j = ex.join(tok_ids, "pretoken", "left")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.when(F.col("_pos").isNotNull(), F.struct("_pos", "pids")))).alias("_e"))
@@ -179,19 +180,32 @@ def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame,
     return g.select(*keys, F.size("ids").alias("n_tokens"), "ids")
 
 
+def _small_side(df: DataFrame, name: str, bound: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+    """Write a per-distinct-pre-token table once to the shared folder; broadcast it if checked small.
+
+    The table is computed once (BPE runs once per distinct pre-token) and
+    both the size check and the join read the written copy.
+    """
+    from millrace.session import cut_lineage
+    t = cut_lineage(df, name)
+    return F.broadcast(t) if t.count() <= bound else t
+
+
 def token_counts_bpe(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame) -> DataFrame:
     """Token count per row without assembling id arrays.
 
-    ``(row, pretoken, n)`` is aggregated before the join, so a pre-token that
-    is hot within a row is one row; each distinct pre-token's piece count is
-    joined and summed per row.
+    Pre-tokens are exploded in place; the piece count of each *distinct*
+    pre-token is computed once and joined back map-side when the table is
+    small enough to broadcast, so the only shuffle of the corpus side is the
+    per-row sum, which combines map-side (a row's pre-tokens sit in one
+    partition).
     """
     ex = df.select(*keys, F.explode_outer(pretokens(F.col(text_col))).alias("pretoken"))
-    per_row = ex.groupBy(*keys, "pretoken").agg(F.count("pretoken").alias("n"))
-    pieces = bpe_pieces(per_row.select("pretoken").filter(F.col("pretoken").isNotNull()).distinct(), merges)
-    sizes = pieces.select("pretoken", F.size("pieces").alias("n_pieces"))
-    j = per_row.join(sizes, "pretoken", "left")
-    return j.groupBy(*keys).agg(F.coalesce(F.sum(F.col("n") * F.col("n_pieces")), F.lit(0)).alias("n_tokens"))
+    distinct = ex.select("pretoken").filter(F.col("pretoken").isNotNull()).distinct()
+    pieces = bpe_pieces(distinct, merges)
+    sizes = _small_side(pieces.select("pretoken", F.size("pieces").alias("n_pieces")), "bpe-sizes")
+    j = ex.join(sizes, "pretoken", "left")
+    return j.groupBy(*keys).agg(F.coalesce(F.sum("n_pieces"), F.lit(0)).cast("long").alias("n_tokens"))
 
 
 def learn_merges(df: DataFrame, text_col: str, n_merges: int) -> DataFrame:
@@ -217,7 +231,11 @@ def learn_merges(df: DataFrame, text_col: str, n_merges: int) -> DataFrame:
     freq = pairs.groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(
         F.sum("f").alias("freq"))
     from millrace.operators.feed import global_rank
-    ranked = global_rank(freq, [F.col("freq").desc(), F.col("left"), F.col("right")], "rank")
+    from millrace.session import cut_lineage
+    # the pair-frequency table is written once; the rank reads the written copy
+    freq = cut_lineage(freq, "pair-freq")
+    ranked = global_rank(freq, [F.col("freq").desc(), F.col("left"), F.col("right")], "rank",
+                         materialize=False)
     return ranked.select("left", "right", "rank").filter(F.col("rank") < n_merges)
 
 

@@ -89,7 +89,7 @@ def read_merges(spark: SparkSession, path: str, comment_mode: str = "any_hash")
     kept = lines.filter(keep).select("pos", F.get(parts, 0).alias("left"), F.get(parts, 1).alias("right"))
     # rank = number of kept lines before this one
     from millrace.operators.feed import global_rank
-    ranked = global_rank(kept, ["pos"], "rank")
+    ranked = global_rank(kept, ["pos"], "rank", materialize=False)  # re-reading the file is cheap
     return ranked.groupBy("left", "right").agg(F.max("rank").alias("rank"))
 
 
