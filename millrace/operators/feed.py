@@ -19,15 +19,21 @@ def shuffle_key(id_col: str, seed: int = C.SHUFFLE_SEED) -> F.Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")), 256)
 
 
-def seeded_rank(df: DataFrame, id_col: str, seed: int = C.SHUFFLE_SEED, prefix_digits: int = 3,
-                out: str = "rank") -> DataFrame:
+def seeded_rank(df: DataFrame, id_col: str, seed: int = C.SHUFFLE_SEED, prefix_digits: int | None = None,
+                out: str = "rank", rows_per_bucket: int = 200_000) -> DataFrame:
     """0-based position of every row in the seeded order.
 
     Hash prefixes are uniform, so the ``16**prefix_digits`` buckets are
     balanced whatever the ids look like. The offset table has one row per
     bucket; its running sum is the only unpartitioned window and it is
-    bounded by the bucket count.
+    bounded by the bucket count. Without ``prefix_digits`` the bucket count
+    grows with the row count (about ``rows_per_bucket`` rows per bucket,
+    at least 16**3 buckets).
     """
+    if prefix_digits is None:
+        import math
+        n = df.count()
+        prefix_digits = max(3, math.ceil(math.log(max(n / rows_per_bucket, 1.0), 16)))
     h = shuffle_key(id_col, seed)
     keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, prefix_digits))
     sizes = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))

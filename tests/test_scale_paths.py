@@ -89,3 +89,12 @@ def test_stream_decontamination_matches_batch(spark, tmp_path):
                                                            "item_id", "text", 0.8).collect()}
     assert flagged == want and len(want) == 2
     assert spark.read.parquet(str(tmp_path / "keep")).count() == 1
+
+
+def test_tf_top1_grid_path_equals_broadcast_path(spark, sf_small):
+    from millrace.operators.similarity import tf_top1
+    docs = table(spark, sf_small, "documents").select("doc_id", "text")
+    bench = table(spark, sf_small, "benchmark")
+    a = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5)
+    b = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5, broadcast_rows=0)
+    assert _pairs(a) == _pairs(b) and len(_pairs(a)) > 0
