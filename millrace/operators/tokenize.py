@@ -320,3 +320,41 @@ def _decode_pieces(pieces, flags) -> F.Column:
         return pd.Series([one(p, f) for p, f in zip(ps, fs)])
 
     return undo(pieces, flags)
+
+
+# ---------------------------------------------------------------------------
+# vocabulary tables: added tokens, size, export
+# ---------------------------------------------------------------------------
+
+def add_tokens(vocab: DataFrame, added: DataFrame) -> DataFrame:
+    """Vocabulary plus added tokens; an added token's id wins over the base entry."""
+    base = vocab.select("token", F.col("id").cast("int").alias("id"), F.lit(0).alias("_prio"))
+    extra = added.select("token", F.col("id").cast("int").alias("id"), F.lit(1).alias("_prio"))
+    return base.unionByName(extra).groupBy("token").agg(F.max_by("id", "_prio").alias("id"))
+
+
+def vocab_size(vocab: DataFrame) -> int:
+    return vocab.count()
+
+
+def merge_rank_gaps(merges: DataFrame) -> DataFrame:
+    """Ranks whose predecessor is missing (the export warns on these): an anti join, no ordered window."""
+    prev = merges.select((F.col("rank") + 1).alias("rank"))
+    return merges.filter(F.col("rank") > 0).select("rank").join(prev, "rank", "left_anti")
+
+
+def export_model(vocab: DataFrame, merges: DataFrame, path: str) -> dict[str, str]:
+    """Write ``vocab`` as one key-sorted JSON object and ``merges`` as a ranked text file.
+
+    Both are model-sized tables (bounded), each written as a single file:
+    ``<path>/vocab`` holds ``{"token": id, ...}`` sorted by token and
+    ``<path>/merges`` holds the version header then ``left right`` by rank.
+    """
+    v = vocab.select(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("token", F.col("id").cast("int")))))).alias("value"))
+    v.coalesce(1).write.mode("overwrite").text(f"{path}/vocab")
+    header = merges.sparkSession.createDataFrame([(-1, C.MERGES_VERSION_HEADER)], "rank long, value string")
+    lines = merges.select(F.col("rank").cast("long"), F.concat_ws(" ", "left", "right").alias("value"))
+    (header.unionByName(lines).repartition(1).sortWithinPartitions("rank").select("value")
+     .write.mode("overwrite").text(f"{path}/merges"))
+    return {"vocab": f"{path}/vocab", "merges": f"{path}/merges"}
