@@ -45,12 +45,12 @@ SELECT conv_id, text AS question, substr(sha256(text), 1, 16) AS question_id
 FROM conversations WHERE turn = 0
 """)
 def q_question_ids(spark, sf):
+    # the question is the turn at position 0: a pushed-down filter and a
+    # projection, no shuffle
     from millrace.functions.text import content_id
-    from millrace.sources.chats import first_turns
-    conv = table(spark, sf, "conversations")
-    ft = first_turns(conv, n=1)
-    return ft.select("conv_id", F.col("turn0_text").alias("question"),
-                     content_id(F.col("turn0_text")).alias("question_id"))
+    conv = table(spark, sf, "conversations", spread=False)
+    q = conv.filter(F.col("turn") == 0)
+    return q.select("conv_id", F.col("text").alias("question"), content_id(F.col("text")).alias("question_id"))
 
 
 @register("exact_dedup", """
