@@ -97,4 +97,5 @@ def test_tf_top1_grid_path_equals_broadcast_path(spark, sf_small):
     bench = table(spark, sf_small, "benchmark")
     a = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5)
     b = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5, broadcast_rows=0)
-    assert _pairs(a) == _pairs(b) and len(_pairs(a)) > 0
+    c = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5, method="join")
+    assert _pairs(a) == _pairs(b) == _pairs(c) and len(_pairs(a)) > 0
