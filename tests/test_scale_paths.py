@@ -99,3 +99,14 @@ def test_tf_top1_grid_path_equals_broadcast_path(spark, sf_small):
     b = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5, broadcast_rows=0)
     c = tf_top1(docs, bench, "doc_id", "text", "item_id", "text", threshold=0.5, method="join")
     assert _pairs(a) == _pairs(b) == _pairs(c) and len(_pairs(a)) > 0
+
+
+def test_string_ids_on_every_tf_path(spark):
+    from millrace.operators.similarity import tf_top1
+    t = spark.createDataFrame([("q-b", "the cat sat on the mat"), ("q-a", "dogs run far")], "qid string, text string")
+    b = spark.createDataFrame([("k2", "the cat sat on a mat"), ("k1", "the cat sat on a mat")], "kid string, text string")
+    res = [{r["tid"]: (r["iid"], round(r["score"], 9)) for r in
+            tf_top1(t, b, "qid", "text", "kid", "text", 0.5, broadcast_rows=bound, method=m).collect()}
+           for bound, m in [(10 ** 6, "matmul"), (10 ** 6, "join"), (0, "matmul")]]
+    assert res[0] == res[1] == res[2]
+    assert set(res[0]) == {"q-b"} and res[0]["q-b"][0] == "k1"  # tie goes to the smallest id
