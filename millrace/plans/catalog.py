@@ -823,3 +823,39 @@ def q_text_dup_rate(spark, sf):
     targets, pairs = _text_dups(spark, sf)
     marked = targets.select("doc_id").join(pairs.select("doc_id", F.lit(True).alias("hit")), "doc_id", "left")
     return flag_rate(marked.select(F.coalesce("hit", F.lit(False)).alias("hit")), "hit")
+
+
+# ---------------------------------------------------------------------------
+# split file names; packed training rows end to end
+# ---------------------------------------------------------------------------
+
+@register("split_names", _LEN_SQL.replace("SELECT doc_id,", "SELECT doc_id, source,") + f"""
+SELECT doc_id, n_tokens >= {LENGTH_LIMIT} AS is_long,
+       source || CASE WHEN n_tokens >= {LENGTH_LIMIT} THEN '_gt_32K.jsonl' ELSE '_lt_32K.jsonl' END AS split_file
+FROM l
+""")
+def q_split_names(spark, sf):
+    from millrace.functions.text import is_long, split_name
+    from millrace.operators.tokenize import pretoken_counts
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    d = pretoken_counts(docs, "text", "n_tokens").select(
+        "doc_id", F.concat("source", F.lit(".jsonl")).alias("file_name"),
+        is_long("n_tokens", LENGTH_LIMIT).alias("is_long"))
+    return d.select("doc_id", "is_long", split_name(F.col("file_name"), F.col("is_long")).alias("split_file"))
+
+
+@register("packed_samples")
+def q_packed_samples(spark, sf):
+    """Chat ids -> prompt-masked labels -> packs of 1024 with segment metadata."""
+    from millrace.operators.labels import build_labels, split_valid
+    from millrace.operators.packing import materialize_packs, pack_plan
+    lab = build_labels(_chat_ids(spark, sf), limit=1024)
+    ok, _rejected = split_valid(lab)
+    ok = ok.select(F.col("conv_id").alias("id"), "input_ids", "labels")
+    plan, _oversize = pack_plan(ok.select("id", F.size("input_ids").alias("len")), "id", "len",
+                                seq_length=1024 + 2, digits=1)
+    packed = materialize_packs(plan, ok, "id", seq_length=1024 + 2)
+    return packed.select("bucket", "pack_no", F.size("actual_seq_len").alias("n_segments"),
+                         F.element_at("actual_seq_len", -1).alias("n_tokens"),
+                         F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x).alias("n_loss"),
+                         F.size("input_ids").alias("length"))

@@ -110,3 +110,14 @@ def test_string_ids_on_every_tf_path(spark):
            for bound, m in [(10 ** 6, "matmul"), (10 ** 6, "join"), (0, "matmul")]]
     assert res[0] == res[1] == res[2]
     assert set(res[0]) == {"q-b"} and res[0]["q-b"][0] == "k1"  # tie goes to the smallest id
+
+
+def test_packed_samples_conserve_tokens(spark, sf_small):
+    import __spark_entry__ as E
+    from millrace.operators.labels import build_labels, split_valid
+    from millrace.plans.catalog import _chat_ids
+    packs = E.queries()["packed_samples"](spark, sf_small).collect()
+    assert packs and all(p["length"] == 1026 and p["n_tokens"] <= 1026 for p in packs)
+    ok, _ = split_valid(build_labels(_chat_ids(spark, sf_small), limit=1024))
+    total = ok.select(F.sum(F.size("input_ids"))).first()[0]
+    assert sum(p["n_tokens"] for p in packs) == total
