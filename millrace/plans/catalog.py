@@ -137,11 +137,13 @@ SELECT count(*) AS n_total, count(f.question_id) AS n_flagged,
 FROM targets t LEFT JOIN flagged f USING (question_id)
 """)
 def q_contamination_rate(spark, sf):
-    from millrace.operators.reports import flag_rate
+    # flagged ids are a subset of the target ids: two counts, no join back
     targets, flagged = _decon_matches(spark, sf)
-    marked = targets.select("question_id").join(
-        flagged.select("question_id", F.lit(True).alias("hit")), "question_id", "left")
-    return flag_rate(marked.select(F.coalesce("hit", F.lit(False)).alias("hit")), "hit")
+    n_flagged = flagged.agg(F.count(F.lit(1))).scalar()
+    r = targets.agg(F.count(F.lit(1)).alias("n_total")).select("n_total", n_flagged.alias("n_flagged"))
+    return r.select("n_total", "n_flagged",
+                    F.round(F.lit(100.0) * F.try_divide(F.col("n_flagged").cast("double"),
+                                                        F.col("n_total").cast("double")), 2).alias("rate_pct"))
 
 
 # ---------------------------------------------------------------------------
