@@ -121,3 +121,35 @@ def test_packed_samples_conserve_tokens(spark, sf_small):
     ok, _ = split_valid(build_labels(_chat_ids(spark, sf_small), limit=1024))
     total = ok.select(F.sum(F.size("input_ids"))).first()[0]
     assert sum(p["n_tokens"] for p in packs) == total
+
+
+def test_hot_list_is_split_into_blocks(spark, sf_small):
+    """Every vector in one list (a key holding all rows): tiny blocks must still give the exact answer."""
+    emb = table(spark, sf_small, "embeddings")
+    exact = _pairs(knn(emb, emb, 2, "vec_id", "vec_id", exclude_self=True))
+    hot = _pairs(ivf_knn(emb, emb, 2, "vec_id", "vec_id", nlist=1, nprobe=1, exclude_self=True, block_rows=60))
+    assert hot == exact
+
+
+def test_exact_dedup_with_a_hot_copy_group(spark):
+    from millrace.operators.dedup import exact_dedup, with_content_id
+    rows = [(i, "same text") for i in range(3000)] + [(5000 + i, f"text {i}") for i in range(100)]
+    df = with_content_id(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), "text")
+    out = {r["text"]: (r["doc_id"], r["n"]) for r in exact_dedup(df, "question_id", "doc_id", "n").collect()}
+    assert out["same text"] == (0, 3000) and len(out) == 101
+
+
+def test_stream_dedup_with_watermark_bounds_state(spark, tmp_path):
+    import json
+    from millrace.streaming.streams import dedup_stream, read_chat_stream, with_question
+    src = tmp_path / "in"
+    src.mkdir()
+    for i, qs in enumerate([["x", "y"], ["x", "z"], ["y", "w"]]):
+        (src / f"p{i}.jsonl").write_text("\n".join(
+            json.dumps({"conversations": [{"from": "h", "value": q}]}) for q in qs) + "\n")
+    stream = with_question(read_chat_stream(spark, str(src), max_files_per_trigger=1))
+    q = (dedup_stream(stream, event_time="ingest_ts", delay="1 hour").select("question")
+         .writeStream.format("memory").queryName("wm_out").outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination(120)
+    assert sorted(r["question"] for r in spark.sql("SELECT * FROM wm_out").collect()) == ["w", "x", "y", "z"]
