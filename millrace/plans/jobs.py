@@ -82,7 +82,7 @@ class PrepareSplitJob:
 
     def plan(self, spark: SparkSession) -> dict[str, DataFrame]:
         chats = read_chat_jsonl(spark, self.input_paths)
-        pairs = chats.select(F.col("source_pos").alias("record_id"), "source_path",
+        pairs = chats.select(F.xxhash64("source_pos").alias("record_id"), "source_path",
                              F.col("_metadata.file_name").alias("file_name"),
                              question_of("conversations").alias("question"),
                              answer_of("conversations").alias("answer"))

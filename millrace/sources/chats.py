@@ -36,9 +36,11 @@ def read_chat_jsonl(spark: SparkSession, paths, schema: T.StructType = CHAT_SCHE
     """JSONL chat scan with an explicit schema (no inference pass).
 
     Several paths are one job; ``source_path`` keeps the file each record
-    came from (used to choose the prompt) and ``source_pos`` keeps a stable
-    position for deterministic tie-breaks. Bad lines land in
-    ``_corrupt_record`` instead of failing the job.
+    came from (used to choose the prompt) and ``source_pos`` is the record's
+    position: (file path, start of its file block, id within the split),
+    which orders lines as they appear in each file whatever the split
+    layout, and files by path. Bad lines land in ``_corrupt_record``
+    instead of failing the job.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -50,7 +52,9 @@ def read_chat_jsonl(spark: SparkSession, paths, schema: T.StructType = CHAT_SCHE
         "*",
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_modification_time").alias("source_mtime"),
-        F.monotonically_increasing_id().alias("source_pos"),
+        F.struct(F.col("_metadata.file_path").alias("file"),
+                 F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("source_pos"),
     )
 
 

@@ -60,3 +60,14 @@ def test_handler_and_pack_job(spark, tmp_path, sf_small):
     assert all(len(p["input_ids"]) == 32 and len(p["position_ids"]) == 32 for p in packed)
     rep = spark.read.json(out["report"]).first()
     assert rep["n_samples"] == 2
+
+
+def test_first_line_wins_among_copies(spark, tmp_path):
+    from millrace.functions.text import content_id, question_of, answer_of
+    from millrace.operators.dedup import exact_dedup
+    from millrace.sources.chats import read_chat_jsonl
+    _chats(tmp_path / "a.jsonl", [("q", "first"), ("other", "x"), ("q", "second"), ("q", "third")])
+    c = read_chat_jsonl(spark, [str(tmp_path / "a.jsonl")])
+    q = c.select(content_id(question_of()).alias("question_id"), answer_of().alias("answer"), "source_pos")
+    got = {r["answer"] for r in exact_dedup(q, "question_id", order_col="source_pos").collect()}
+    assert got == {"first", "x"}
