@@ -71,3 +71,13 @@ def test_first_line_wins_among_copies(spark, tmp_path):
     q = c.select(content_id(question_of()).alias("question_id"), answer_of().alias("answer"), "source_pos")
     got = {r["answer"] for r in exact_dedup(q, "question_id", order_col="source_pos").collect()}
     assert got == {"first", "x"}
+
+
+def test_bad_line_is_kept_aside(spark, tmp_path):
+    from millrace.sources.chats import read_chat_jsonl
+    p = tmp_path / "c.jsonl"
+    p.write_text('{"conversations": [{"from": "h", "value": "ok"}]}\n{not json\n'
+                 '{"conversations": [{"from": "h", "value": "fine"}]}\n')
+    rows = read_chat_jsonl(spark, str(p)).select("conversations", "_corrupt_record").collect()
+    assert sum(r["_corrupt_record"] is not None for r in rows) == 1
+    assert sorted(r["conversations"][0]["value"] for r in rows if r["conversations"]) == ["fine", "ok"]
