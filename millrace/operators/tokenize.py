@@ -62,8 +62,14 @@ def word_vocab(df: DataFrame, text_col: str, id_offset: int = 0) -> DataFrame:
 
 
 def _vocab_side(vocab: DataFrame) -> DataFrame:
-    n = vocab.count()
-    return F.broadcast(vocab) if n <= BROADCAST_VOCAB_ROWS else vocab
+    """The vocabulary, written once to the shared folder and broadcast when checked small.
+
+    The size check and the join both read the written copy, so a derived
+    vocabulary (ranking, merges) is computed once.
+    """
+    from millrace.session import cut_lineage
+    t = cut_lineage(vocab, "vocab")
+    return F.broadcast(t) if t.count() <= BROADCAST_VOCAB_ROWS else t
 
 
 def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFrame,
