@@ -861,3 +861,16 @@ def q_packed_samples(spark, sf):
                          F.element_at("actual_seq_len", -1).alias("n_tokens"),
                          F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x).alias("n_loss"),
                          F.size("input_ids").alias("length"))
+
+
+@register("chat_unknown_roles", """
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages,
+       CAST(count(*) FILTER (WHERE role IS NULL OR role NOT IN ('system', 'user', 'assistant', 'tool')) AS INTEGER) AS n_unknown
+FROM conversations GROUP BY conv_id
+""")
+def q_chat_unknown_roles(spark, sf):
+    from millrace.functions.chat import unknown_role_count
+    from millrace.sources.chats import assemble_chats
+    chats = assemble_chats(table(spark, sf, "conversations"))
+    return chats.select("conv_id", F.size("messages").alias("n_messages"),
+                        unknown_role_count("messages").alias("n_unknown"))
