@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from millrace.llm import block_naming, mixing
+from millrace.llm import block_naming, mixing, toxicity, warc_derivatives
 
 QUERIES = {
+    "op3_warc_derivatives": warc_derivatives.op3_warc_derivatives,
     "op4_block_naming": block_naming.op4_block_naming,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_systematic_mix": mixing.op9_systematic_mix,
 }
 
 ORACLES = {
+    "op3_warc_derivatives": warc_derivatives.OP3_SQL,
     "op4_block_naming": block_naming.OP4_SQL,
     "op9_systematic_mix": mixing.OP9_SQL,
 }
