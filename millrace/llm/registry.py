@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import block_naming, mixing, toxicity, warc_derivatives
+from millrace.llm import block_naming, language_id, mixing, toxicity, warc_derivatives
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op3_warc_derivatives": warc_derivatives.op3_warc_derivatives,
     "op4_block_naming": block_naming.op4_block_naming,
     "op8_toxicity": toxicity.op8_toxicity,
