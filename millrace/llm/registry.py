@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import block_naming, language_id, mixing, repeated_phrases, toxicity, warc_derivatives
+from millrace.llm import block_naming, language_id, mixing, pieces, repeated_phrases, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_repeated_phrases": repeated_phrases.op1_repeated_phrases,
     "op2_language_id": language_id.op2_language_id,
     "op3_warc_derivatives": warc_derivatives.op3_warc_derivatives,
     "op4_block_naming": block_naming.op4_block_naming,
+    "op7_piece_scan": pieces.op7_piece_scan,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_systematic_mix": mixing.op9_systematic_mix,
 }
