@@ -126,3 +126,69 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
 def row_of(offsets: np.ndarray) -> np.ndarray:
     """For each word its text's row number."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def _bit_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    a = mix64(keys)
+    return (a & np.uint64(bits - 1)).astype(np.int64), ((a >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def recurring_bitmap(counts: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of ``bits`` bits (a power of two) of the keys whose summed counts exceed one.
+
+    ``counts`` has ``key`` (long) and ``n`` (long). Whatever the input, at most
+    ``bits / 64`` rows reach the driver. The map may let other keys through and
+    never misses one.
+    """
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = _bit_places(batch.column("key").to_numpy().view(np.uint64), bits)
+            at = np.concatenate((a, b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], ["slot", "mask"])
+
+    again = counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    slots = again.mapInArrow(places, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bitmap = np.zeros(bits >> 6, np.uint64)
+    bitmap[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def may_recur(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which keys the bitmap lets through."""
+    out = np.ones(len(keys), bool)
+    for at in _bit_places(keys, len(bitmap) << 6):
+        out &= (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
+
+
+def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """``id`` and ``component`` (smallest id reachable) of every vertex of ``edges`` (columns a, b; longs).
+
+    Alternating large and small stars: each step joins neighbours to the smallest
+    one. Steps are written tables; only counts reach the driver.
+    """
+    def stars(e: DataFrame) -> DataFrame:
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        large = (both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+                 .filter("a <> b").distinct())
+        large = written(large, f"{name}-large")
+        down = large.groupBy("a").agg(F.min("b").alias("low"))
+        return large.join(down, "a").select(F.col("b").alias("u"), "low", "a").select(
+            F.explode(F.array(F.struct(F.col("a"), F.col("low").alias("b")),
+                              F.struct(F.col("u").alias("a"), F.col("low").alias("b")))).alias("e")).select(
+            "e.a", "e.b").filter("a <> b").distinct()
+
+    cur = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                  .distinct(), f"{name}-edges")
+    state = None
+    while True:
+        # done when every vertex hangs on one other vertex that hangs on none
+        seen = cur.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % (1 << 40)), F.lit(0)).alias("h")).first()
+        if (seen["n"], seen["h"]) == state or seen["n"] == 0:
+            break
+        state = (seen["n"], seen["h"])
+        cur = written(stars(cur), f"{name}-stars")
+    roots = cur.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
+    return cur.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

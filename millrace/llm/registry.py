@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import block_naming, bloom_lookup, language_id, mixing, pieces, repeated_phrases, toxicity, warc_derivatives
+from millrace.llm import block_naming, bloom_lookup, language_id, mixing, ngram_join, pieces, repeated_phrases, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_repeated_phrases": repeated_phrases.op1_repeated_phrases,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_piece_scan": pieces.op7_piece_scan,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_systematic_mix": mixing.op9_systematic_mix,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 ORACLES = {
