@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import block_naming, bloom_lookup, language_id, mixing, ngram_join, pieces, repeated_phrases, toxicity, warc_derivatives
+from millrace.llm import block_naming, bloom_lookup, class_lm, language_id, mixing, ngram_join, pieces, repeated_phrases, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_repeated_phrases": repeated_phrases.op1_repeated_phrases,
     "op2_language_id": language_id.op2_language_id,
     "op3_warc_derivatives": warc_derivatives.op3_warc_derivatives,
     "op4_block_naming": block_naming.op4_block_naming,
+    "op5_class_lm": class_lm.op5_class_lm,
     "op6_bloom_lookup": bloom_lookup.op6_bloom_lookup,
     "op7_piece_scan": pieces.op7_piece_scan,
     "op8_toxicity": toxicity.op8_toxicity,
