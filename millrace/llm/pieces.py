@@ -246,13 +246,13 @@ def boundary_states(matrices: list[list[list[int | None]]]) -> list[int]:
 
 def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text",
            chunk: int = CHUNK) -> DataFrame:
-    """One row per document: ``id_col``, ``tie`` (xxhash64 of the text) and ``ids`` (array of piece ids).
+    """One row per row of ``docs``: ``id_col``, ``tie`` (xxhash64 of the text) and ``ids`` (array of piece ids).
 
     Null and empty texts have no pieces. Texts of more than ``chunk`` normalised
     characters are cut into chunks that are spread over the cluster; the others
     are encoded where they are read. The result does not depend on ``chunk``.
-    Rows that repeat id and text: short ones come back once each, giant ones once.
-    Other columns are not read; an empty table gives no rows.
+    Rows that repeat come back as often as they stand (a giant text is scanned
+    once). Other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.load(model or default_model()))  # of the model's size
@@ -324,8 +324,11 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
                                     & (F.col("c.tie") == F.col("s.tie")) & (F.col("c.k") == F.col("s.k"))).select(
         "c.id", "c.tie", "c.k", "n", "text", "entry", "leave")
     pieces = joined.mapInArrow(traced, T.StructType([*place, T.StructField("ids", ids_type)]))
-    long = pieces.groupBy("id", "tie").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts")).select(
-        "id", "tie", F.flatten("parts.ids").alias("ids"))
+    long = pieces.groupBy("id", "tie").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
+    times = giant.groupBy("id", "tie").agg(F.count(F.lit(1)).alias("rows"))
+    long = (long.alias("l").join(times.alias("t"), F.col("l.id").eqNullSafe(F.col("t.id")) & (F.col("l.tie") == F.col("t.tie")))
+            .select("l.id", "l.tie", F.flatten("parts.ids").alias("ids"),
+                    F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row")).drop("row"))
     return short.unionByName(long).select(F.col("id").alias(id_col), "tie", "ids")
 
 
