@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from millrace.llm import block_naming, bloom_lookup, class_lm, language_id, mixing, ngram_join, pieces, repeated_phrases, toxicity, warc_derivatives
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_repeated_phrases": repeated_phrases.op1_repeated_phrases,
     "op2_language_id": language_id.op2_language_id,
     "op3_warc_derivatives": warc_derivatives.op3_warc_derivatives,
