@@ -176,8 +176,8 @@ def _ranges(ids: DataFrame, column: str, parts: int) -> Column:
     coarse = F.array(*[F.lit(float(b)) for b in bounds[step - 1::step]])
     value = F.col(column).cast("double")
     before = F.size(F.filter(coarse, lambda b: b <= value)) * step
-    return F.coalesce(before + F.size(F.filter(F.slice(fine, before + 1, F.lit(step)), lambda b: b <= value)),
-                      F.lit(len(bounds)))
+    found = before + F.size(F.filter(F.slice(fine, before + 1, F.lit(step)), lambda b: b <= value))
+    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
