@@ -82,20 +82,19 @@ def global_rank(df: DataFrame, order_cols, out: str = "rank", partitions: int |
     Rows are range-partitioned on the order columns (balanced by sampling),
     each partition is numbered on its own, and per-partition row counts (one
     row per partition) give the offsets. Ties get distinct, adjacent ranks.
-    With ``materialize`` the input is written once to the shared checkpoint
-    folder first, so the range sample, the partition sizes and the numbering
-    read that copy instead of re-running the input's lineage three times;
-    pass ``False`` when the input is already a cheap read.
+    The range-partitioned frame is written once to the shared folder together
+    with its partition numbers, so the sizes and the numbering read the same
+    copy (two evaluations of a range partitioning may sample other bounds).
+    ``materialize`` is accepted for older callers and ignored.
     """
     from millrace.session import cut_lineage
     n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    src = cut_lineage(df, "rank-input") if materialize else df
-    parts = src.repartitionByRange(n, *cols).withColumn("_p", F.spark_partition_id())
+    parts = cut_lineage(df.repartitionByRange(n, *cols).withColumn("_p", F.spark_partition_id()), "rank-input")
     sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(
         Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_p").orderBy(*cols)
-    return (parts.join(F.broadcast(offsets), "_p")
+    return (parts.join(F.broadcast(offsets), "_p")  # one row per partition
             .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
             .drop("_p", "_off"))

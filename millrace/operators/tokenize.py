@@ -1,14 +1,21 @@
 """Tokenization as corpus jobs.
 
-Pre-tokens are cut JVM-side by regex. Vocabulary lookups are equi-joins
-against a (size-checked, broadcast) vocabulary table. Byte-level BPE runs
-once per *distinct* pre-token (the per-process word cache of a Python
-tokenizer becomes a ``distinct`` + join), in Arrow batches.
+Pre-token counts are cut JVM-side by regex. Vocabulary lookups are equi-joins
+against a (size-checked, broadcast) vocabulary table. Byte-level BPE is one
+narrow pass: each Arrow batch is normalised, cut at special tokens, cut into
+pre-tokens and merged with a bounded memo per Python worker. The merge table
+and the vocabulary are model files, so they are broadcast whole.
 """
 
 from __future__ import annotations
 
+import heapq
+import re
+import unicodedata
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +27,10 @@ BROADCAST_VOCAB_ROWS = 5_000_000
 
 
 def pretoken_counts(df: DataFrame, text_col: str, out: str = "n_pretokens") -> DataFrame:
-    """Number of pre-tokens per row (narrow, no shuffle)."""
-    return df.withColumn(out, F.size(pretokens(F.col(text_col))))
+    """Number of pre-tokens per row (narrow, no shuffle); a special token counts as one."""
+    text = F.col(text_col)
+    return df.withColumn(out, F.when(text.rlike(special_token_pattern()), F.size(pretokens_with_specials(text)))
+                         .otherwise(F.size(pretokens(text))))
 
 
 def split_specials(text) -> F.Column:
@@ -112,106 +121,141 @@ def decode_ids(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame, s
 # ---------------------------------------------------------------------------
 
 def _bpe_word(symbols: list[str], ranks: dict) -> list[str]:
-    """Merge the lowest-ranked adjacent pair, every occurrence left to right, until none applies."""
+    """Merge the lowest-ranked adjacent pair, every occurrence left to right, until none applies.
+
+    A heap of (rank, place) over a linked list: a word of n symbols costs
+    about n log n, however many merges it takes.
+    """
     word = list(symbols)
-    while len(word) > 1:
-        best, best_rank = None, None
-        for a, b in zip(word, word[1:]):
-            r = ranks.get((a, b))
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = (a, b), r
-        if best is None:
-            break
-        merged, i = [], 0
-        while i < len(word):
-            if i < len(word) - 1 and word[i] == best[0] and word[i + 1] == best[1]:
-                merged.append(best[0] + best[1])
-                i += 2
+    n = len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := ranks.get((word[i], word[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank = heap[0][0]
+        places = []
+        while heap and heap[0][0] == rank:  # all places of this rank, left to right
+            places.append(heapq.heappop(heap)[1])
+        for i in places:
+            j = after[i]
+            if word[i] is None or j >= n or ranks.get((word[i], word[j])) != rank:
+                continue  # an earlier merge took one of the two
+            word[i] += word[j]
+            word[j] = None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] < n:
+                    r = ranks.get((word[left], word[after[left]]))
+                    if r is not None:
+                        heapq.heappush(heap, (r, left))
+    return [w for w in word if w is not None]
+
+
+class ByteEncoder:
+    """Text -> pieces: NFC, special tokens kept whole, pre-tokens, byte symbols, merges.
+
+    Lives on the workers; ``memo`` keeps the pieces of short pre-tokens and is
+    emptied when full.
+    """
+
+    MEMO = 200_000
+    MEMO_LENGTH = 64
+
+    def __init__(self, ranks: dict):
+        self.ranks = ranks
+
+    def __getattr__(self, name):
+        if name not in ("memo", "cut", "special", "specials", "table"):
+            raise AttributeError(name)
+        import regex
+        self.memo = {}
+        self.cut = regex.compile(C.PRETOKENIZE_REGEX).findall
+        self.specials = {token: i for token, i in C.SPECIAL_TOKENS}
+        self.special = re.compile("(" + "|".join(re.escape(t) for t in self.specials) + ")")
+        self.table = C.bytes_to_unicode_table()
+        return self.__dict__[name]
+
+    def __getstate__(self):
+        return {"ranks": self.ranks}
+
+    def word(self, token: str) -> list[str]:
+        found = self.memo.get(token)
+        if found is None:
+            found = _bpe_word([self.table[b] for b in token.encode("utf-8", "replace")], self.ranks)
+            if len(token) <= self.MEMO_LENGTH:
+                if len(self.memo) >= self.MEMO:
+                    self.memo.clear()
+                self.memo[token] = found
+        return found
+
+    def parts(self, text: str | None) -> Iterator[tuple[bool, str]]:
+        """(special?, token): special tokens and pre-tokens in order."""
+        if not text:
+            return
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        for k, segment in enumerate(self.special.split(text)):
+            if k % 2:
+                yield True, segment
             else:
-                merged.append(word[i])
-                i += 1
-        word = merged
-    return word
+                for token in self.cut(segment):
+                    yield False, token
 
+    def count(self, text: str | None) -> int:
+        return sum(1 if special else len(self.word(token)) for special, token in self.parts(text))
 
-def bpe_pieces(distinct_tokens: DataFrame, merges: DataFrame, token_col: str = "pretoken") -> DataFrame:
-    """``(pretoken, pieces)`` for each distinct pre-token.
 
-    Each pre-token is mapped to printable byte symbols and merged by rank.
-    The merge table (a model file, bounded) is shipped once as a broadcast;
-    the pre-tokens are spread over partitions and processed in Arrow batches.
-    """
-    spark = distinct_tokens.sparkSession
-    # one job collects at most bound + 1 rows: the size check and the fetch together
-    mp = merges.select("left", "right", "rank").limit(BROADCAST_VOCAB_ROWS + 1).toPandas()
-    if len(mp) > BROADCAST_VOCAB_ROWS:
-        raise ValueError("merge table is larger than the broadcast bound")
-    ranks = {(a, b): int(r) for a, b, r in zip(mp["left"], mp["right"], mp["rank"])}
-    bc = spark.sparkContext.broadcast(ranks)
-    table = C.bytes_to_unicode_table()
+def merge_ranks(merges: DataFrame) -> dict:
+    """The merge table as ``{(left, right): rank}``: a model file, fetched whole."""
+    mp = merges.select("left", "right", "rank").toPandas()
+    return {(a, b): int(r) for a, b, r in zip(mp["left"], mp["right"], mp["rank"])}
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def encode(tokens: pd.Series) -> pd.Series:
-        rk = bc.value
-        return pd.Series([_bpe_word([table[b] for b in t.encode("utf-8")], rk) if t is not None else None
-                          for t in tokens])
 
-    return distinct_tokens.select(token_col, encode(F.col(token_col)).alias("pieces"))
+def _narrow(df: DataFrame, keys: list[str], text_col: str, fields: list[T.StructField], encode) -> DataFrame:
+    """``keys`` and what ``encode(texts)`` gives for each batch, one narrow Arrow pass."""
+    schema = T.StructType([*(df.schema[k] for k in keys), *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), *encode(batch.column("__text").to_pylist())], schema.fieldNames())
+
+    return df.select(*keys, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
 def bpe_encode(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame, vocab: DataFrame,
                unk_id: int | None = None) -> DataFrame:
-    """Texts -> BPE ids: pre-tokenize, encode each distinct pre-token once, join back.
+    """Texts -> BPE ids (``keys``, ``n_tokens``, ``ids``) in one narrow pass, no shuffle.
 
-    Shuffles: one on the pre-token (distinct + join back), one on the row
-    keys to restore order. Rows carry ``n_tokens`` and ``ids``.
+    Texts are normalised (NFC) and cut at special tokens, which get their
+    fixed ids. Pieces outside the vocabulary get ``unk_id`` (null when none).
+    Null and empty texts have no tokens.
     """
-    ex = df.select(*keys, F.posexplode_outer(pretokens_with_specials(F.col(text_col))).alias("_pos", "pretoken"))
-    spec = special_ids(df.sparkSession)
-    distinct = ex.select("pretoken").distinct().join(F.broadcast(spec), "pretoken", "left_anti")
-    pieces = bpe_pieces(distinct, merges)
-    v = _vocab_side(vocab.select("token", F.col("id").cast("int").alias("id")))
-    # pieces -> ids once per distinct pre-token
-    pe = pieces.select("pretoken", F.posexplode("pieces").alias("ppos", "token")).join(v, "token", "left")
-    tid = F.coalesce(F.col("id"), F.lit(unk_id).cast("int")) if unk_id is not None else F.col("id")
-    tok_ids = pe.groupBy("pretoken").agg(
-        F.array_sort(F.collect_list(F.struct("ppos", tid.alias("id")))).alias("_p"))
-    tok_ids = tok_ids.select("pretoken", F.transform("_p", lambda e: e["id"]).alias("pids"))
-    tok_ids = tok_ids.unionByName(spec.select("pretoken", F.array("sid").alias("pids")))
-    tok_ids = _small_side(tok_ids, "bpe-ids")
-    j = ex.join(tok_ids, "pretoken", "left")
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(F.col("_pos").isNotNull(), F.struct("_pos", "pids")))).alias("_e"))
-    g = g.select(*keys, F.flatten(F.transform("_e", lambda e: e["pids"])).alias("ids"))
-    return g.select(*keys, F.size("ids").alias("n_tokens"), "ids")
+    vp = vocab.select("token", F.col("id").cast("int").alias("id")).toPandas()
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast((ByteEncoder(merge_ranks(merges)), dict(zip(vp["token"], map(int, vp["id"])))))
 
+    def encode(texts):
+        encoder, ids = shared.value
+        out = [[encoder.specials[token] if special else ids.get(piece, unk_id)
+                for special, token in encoder.parts(text)
+                for piece in ((token,) if special else encoder.word(token))] for text in texts]
+        return pa.array([len(x) for x in out], pa.int32()), pa.array(out, pa.list_(pa.int32()))
 
-def _small_side(df: DataFrame, name: str, bound: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """Write a per-distinct-pre-token table once to the shared folder; broadcast it if checked small.
-
-    The table is computed once (BPE runs once per distinct pre-token) and
-    both the size check and the join read the written copy.
-    """
-    from millrace.session import cut_lineage
-    t = cut_lineage(df, name)
-    return F.broadcast(t) if t.count() <= bound else t
+    return _narrow(df, keys, text_col, [T.StructField("n_tokens", T.IntegerType()),
+                                        T.StructField("ids", T.ArrayType(T.IntegerType()))], encode)
 
 
 def token_counts_bpe(df: DataFrame, keys: list[str], text_col: str, merges: DataFrame) -> DataFrame:
-    """Token count per row without assembling id arrays.
+    """Token count per row: the length that :func:`bpe_encode` gives, without ids (one narrow pass)."""
+    shared = df.sparkSession.sparkContext.broadcast(ByteEncoder(merge_ranks(merges)))
 
-    Pre-tokens are exploded in place; the piece count of each *distinct*
-    pre-token is computed once and joined back map-side when the table is
-    small enough to broadcast, so the only shuffle of the corpus side is the
-    per-row sum, which combines map-side (a row's pre-tokens sit in one
-    partition).
-    """
-    ex = df.select(*keys, F.explode_outer(pretokens(F.col(text_col))).alias("pretoken"))
-    distinct = ex.select("pretoken").filter(F.col("pretoken").isNotNull()).distinct()
-    pieces = bpe_pieces(distinct, merges)
-    sizes = _small_side(pieces.select("pretoken", F.size("pieces").alias("n_pieces")), "bpe-sizes")
-    j = ex.join(sizes, "pretoken", "left")
-    return j.groupBy(*keys).agg(F.coalesce(F.sum("n_pieces"), F.lit(0)).cast("long").alias("n_tokens"))
+    def encode(texts):
+        return (pa.array([shared.value.count(t) for t in texts], pa.int64()),)
+
+    return _narrow(df, keys, text_col, [T.StructField("n_tokens", T.LongType())], encode)
 
 
 def learn_merges(df: DataFrame, text_col: str, n_merges: int) -> DataFrame:
@@ -283,49 +327,33 @@ def pieces_to_text(pieces) -> F.Column:
 
 def decode_bpe(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame,
                skip_special: bool = False, out: str = "text") -> DataFrame:
-    """BPE ids -> text: inverse vocabulary join, specials either kept as their text or dropped."""
-    spec_ids = [i for _, i in C.SPECIAL_TOKENS]
-    spec = special_ids(df.sparkSession).select(F.col("sid").alias("_tid"), F.col("pretoken").alias("_stok"))
-    inv = vocab.select(F.col("id").cast("int").alias("_tid"), F.col("token").alias("_tok"))
-    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "_tid"))
-    keep = F.col("_pos").isNotNull()
-    if skip_special:
-        keep = keep & ~F.col("_tid").isin(*spec_ids)
-    j = ex.join(_vocab_side(inv), "_tid", "left").join(F.broadcast(spec), "_tid", "left")
-    # a special id contributes its literal text; other ids go through the byte map
-    is_spec = F.col("_tid").isin(*spec_ids)
-    piece = F.when(is_spec, F.col("_stok")).otherwise(F.col("_tok"))
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(keep, F.struct(F.col("_pos"), is_spec.alias("sp"), piece.alias("p"))))).alias("_e"))
-    pieces = F.transform("_e", lambda e: e["p"])
-    flags = F.transform("_e", lambda e: e["sp"])
-    return g.select(*keys, _decode_pieces(pieces, flags).alias(out))
-
+    """BPE ids -> text in one narrow pass; specials are kept as their text or dropped, unknown ids dropped.
 
-def _decode_pieces(pieces, flags) -> F.Column:
-    """Consecutive byte pieces decode together (multi-byte characters); specials are literal text."""
+    Consecutive byte pieces are decoded together (characters of several
+    bytes); invalid bytes are replaced.
+    """
+    vp = vocab.select("token", F.col("id").cast("int").alias("id")).toPandas()
     decoder = {ch: b for b, ch in C.bytes_to_unicode_table().items()}
-
-    @F.pandas_udf(T.StringType())
-    def undo(ps: pd.Series, fs: pd.Series) -> pd.Series:
-        def one(p, f):
-            if p is None:
-                return None
-            out, buf = [], bytearray()
-            for piece, special in zip(p, f):
-                if piece is None:
-                    continue
-                if special:
-                    out.append(buf.decode("utf-8", "replace"))
-                    buf = bytearray()
-                    out.append(piece)
+    pieces = {int(i): bytes(decoder[c] for c in t) for t, i in zip(vp["token"], vp["id"]) if all(c in decoder for c in t)}
+    shared = df.sparkSession.sparkContext.broadcast((pieces, {i: t for t, i in C.SPECIAL_TOKENS}))
+
+    def encode(rows):
+        pieces, special = shared.value
+        texts = []
+        for ids in rows:
+            parts, raw = [], bytearray()
+            for i in ids or ():
+                if i in special:
+                    parts.append(raw.decode("utf-8", "replace"))
+                    raw = bytearray()
+                    if not skip_special:
+                        parts.append(special[i])
                 else:
-                    buf.extend(decoder[c] for c in piece)
-            out.append(buf.decode("utf-8", "replace"))
-            return "".join(out)
-        return pd.Series([one(p, f) for p, f in zip(ps, fs)])
+                    raw.extend(pieces.get(i, b""))
+            texts.append("".join(parts) + raw.decode("utf-8", "replace"))
+        return (pa.array(texts, pa.string()),)
 
-    return undo(pieces, flags)
+    return _narrow(df, keys, ids_col, [T.StructField(out, T.StringType())], encode)
 
 
 # ---------------------------------------------------------------------------

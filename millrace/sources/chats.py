@@ -79,22 +79,19 @@ def read_merges(spark: SparkSession, path: str, comment_mode: str = "any_hash")
     ``#version`` line. Blank lines are skipped. A pair given twice keeps its
     last rank.
     """
+    if comment_mode not in ("any_hash", "header_only"):
+        raise ValueError(f"unknown comment_mode {comment_mode!r}")
     raw = spark.read.text(path, wholetext=True)
-    lines = raw.select(F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
-    lines = lines.select("pos", F.trim(F.col("line")).alias("line"))
-    keep = F.col("line") != ""
+    lines = F.transform(F.split(F.col("value"), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
     if comment_mode == "any_hash":
-        keep = keep & ~F.col("line").startswith("#")
-    elif comment_mode == "header_only":
-        keep = keep & ~((F.col("pos") == 0) & F.col("line").startswith("#version"))
+        kept = F.filter(lines, lambda x: (x != "") & ~x.startswith("#"))
     else:
-        raise ValueError(f"unknown comment_mode {comment_mode!r}")
-    parts = F.split(F.col("line"), " ")
-    kept = lines.filter(keep).select("pos", F.get(parts, 0).alias("left"), F.get(parts, 1).alias("right"))
-    # rank = number of kept lines before this one
-    from millrace.operators.feed import global_rank
-    ranked = global_rank(kept, ["pos"], "rank", materialize=False)  # re-reading the file is cheap
-    return ranked.groupBy("left", "right").agg(F.max("rank").alias("rank"))
+        kept = F.filter(lines, lambda x, i: (x != "") & ~((i == 0) & x.startswith("#version")))
+    # a model file is one row: its kept lines are numbered in place
+    rules = raw.select(F.posexplode(kept).alias("rank", "line"))
+    parts = F.split("line", r"\s+")
+    return (rules.select("rank", F.get(parts, F.lit(0)).alias("left"), F.get(parts, F.lit(1)).alias("right"))
+            .groupBy("left", "right").agg(F.max("rank").cast("long").alias("rank")))
 
 
 def benchmark_from_map(spark: SparkSession, path: str) -> DataFrame:
