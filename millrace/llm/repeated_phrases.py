@@ -28,14 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import hash_strings, mix64, read, row_of, slices, split_words, window_hashes, word_codes
+from millrace.llm.common import (hash_strings, may_recur, mix64, read, recurring_bitmap, row_of, slices, split_words,
+                                 window_hashes, word_codes)
 
 WINDOW = 20
 GRAM = 8
 #: Bits of the bitmap of recurring anchors: its size is fixed (8 MB) whatever the input.
 BITMAP_BITS = 1 << 26
-#: Windows that one automaton is compiled for, as long as their anchors allow a cut.
-SHARD_WINDOWS = 30_000
+#: Windows that a shard takes in at once, as long as their anchors allow a cut.
+SHARD_WINDOWS = 60_000
+#: Passages that one automaton is compiled for.
+SHARD_PASSAGES = 20_000
 
 
 def _leftmost_minimum(g: np.ndarray, width: int) -> np.ndarray:
@@ -53,14 +56,14 @@ def _leftmost_minimum(g: np.ndarray, width: int) -> np.ndarray:
 def _segments(texts: pa.Array, window: int, gram: int):
     """Runs of windows that share an anchor occurrence.
 
-    Returns the words, and of each run: row, first word (in the row), number of
-    windows, anchor hash, and a hash of its words.
+    Returns the words, their offsets and hashes, and of each run: row, first word
+    (in the row), number of windows, anchor hash.
     """
     words, offsets = split_words(texts)
     nothing = np.zeros(0, np.int64)
     n = len(words) - window + 1
     if n <= 0:
-        return words, offsets, nothing, nothing, nothing, nothing.astype(np.uint64), nothing.astype(np.uint64)
+        return words, offsets, nothing, nothing, nothing, nothing, nothing.astype(np.uint64)
     codes, distinct = word_codes(words)
     h = hash_strings(distinct)[codes]
     g = window_hashes(h, gram)
@@ -72,17 +75,16 @@ def _segments(texts: pa.Array, window: int, gram: int):
     first = np.flatnonzero(start & whole)
     # windows of a row that reach into the next one are not counted
     count = np.add.reduceat(whole, np.flatnonzero(start))[whole[start]].astype(np.int64) if len(first) else nothing
-    run = np.zeros(len(first), np.uint64)
-    if len(first):
-        # a run has fewer windows than a window has words: its first and last one cover all of it
-        full = window_hashes(h, window)
-        run = mix64(full[first] * np.uint64(3) + full[first + count - 1] * np.uint64(5) + count.astype(np.uint64))
-    return words, offsets, rows[first], first - offsets[rows[first]], count, g[place[first]], run
+    return words, offsets, h, rows[first], first - offsets[rows[first]], count, g[place[first]]
 
 
-def _bits(anchor: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    a = mix64(anchor)
-    return (a & np.uint64(bits - 1)).astype(np.int64), ((a >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
+def _same_words(h: np.ndarray, begin: np.ndarray, count: np.ndarray, window: int) -> np.ndarray:
+    """Hash of each run: it has fewer windows than a window has words, so its first and last one cover it."""
+    head, tail = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.uint64)
+    for i in range(window):
+        head = head * np.uint64(0x9E3779B97F4A7C15) + h[begin + i]
+        tail = tail * np.uint64(0x9E3779B97F4A7C15) + h[begin + count - 1 + i]
+    return mix64(mix64(head) * np.uint64(3) + mix64(tail) * np.uint64(5) + count.astype(np.uint64))
 
 
 def recurring_anchors(docs: DataFrame, text_col: str, window: int, gram: int, bits: int) -> np.ndarray:
@@ -90,70 +92,98 @@ def recurring_anchors(docs: DataFrame, text_col: str, window: int, gram: int, bi
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                anchor = _segments(piece.column("text"), window, gram)[5]
+                anchor = _segments(piece.column("text"), window, gram)[6]
                 found, n = np.unique(anchor, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 ["anchor", "n"])
+                                                 ["key", "n"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = _bits(batch.column("anchor").to_numpy().view(np.uint64), bits)
-            at = np.concatenate((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], ["slot", "mask"])
+    return recurring_bitmap(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "key long, n long"), bits)
 
-    counts = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "anchor long, n long")
-              .groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"))
-    # at most bits / 64 rows reach the driver
-    slots = counts.mapInArrow(places, "slot long, mask long").groupBy("slot").agg(
-        F.bit_or("mask").alias("mask")).toArrow()
-    bitmap = np.zeros(bits >> 6, np.uint64)
-    bitmap[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
-    return bitmap
 
+def _letters(count: int) -> list[str] | None:
+    """One character for each word number (none if there are more words than characters)."""
+    if count > 1_000_000:
+        return None
+    return [chr(i if i < 0xD800 else i + 0x800) for i in range(1, count + 1)]
 
-def _may_recur(anchor: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    out = np.ones(len(anchor), bool)
-    for at in _bits(anchor, len(bitmap) << 6):
-        out &= (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-    return out
 
+def _passages(stretches: list[tuple], window: int) -> Iterator[tuple]:
+    """Confirmed passages of one anchor: (words, place of their earliest occurrence).
 
-def _locate(rows: list[tuple], window: int) -> Iterator[tuple]:
-    """Spans to remove among stretches (id, tie, pos, text) of some anchors: (id, tie, start, end)."""
-    number: dict[str, int] = {}
-    coded, seen = [], {}
-    for ident, tie, pos, text in rows:
-        codes = tuple([number.setdefault(w, len(number)) for w in text.split(" ")])
-        order = (ident is None, ident, tie)
-        coded.append((ident, tie, order, pos, codes))
+    ``stretches`` are distinct: (coded words, number of occurrences, earliest place).
+    A passage is a longest run of recurring windows whose earliest occurrences also
+    follow one another; so all its windows have one earliest occurrence in common.
+    """
+    if len(stretches) == 1:
+        codes, n, first = stretches[0]
+        if n > 1:
+            yield codes, first
+            return
+    seen: dict = {}
+    for codes, n, (order, pos) in stretches:
         for i in range(len(codes) - window + 1):
             phrase, here = codes[i:i + window], (order, pos + i)
-            best = seen.get(phrase)
-            if best is None:
-                seen[phrase] = (here, 1)
+            old = seen.get(phrase)
+            if old is None:
+                seen[phrase] = (here, n)
             else:
-                seen[phrase] = (min(best[0], here), best[1] + 1)
-    confirmed = [(phrase, first) for phrase, (first, n) in seen.items() if n > 1]
-    del seen
-    for lo in range(0, len(confirmed), SHARD_WINDOWS):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, first in confirmed[lo:lo + SHARD_WINDOWS]:
-            automaton.add_word(phrase, first)
+                seen[phrase] = (here if here < old[0] else old[0], old[1] + n)
+    for codes, _, _ in stretches:
+        begin, next_place, start = -1, None, None
+        last = len(codes) - window + 1
+        for i in range(last):
+            place, n = seen[codes[i:i + window]]
+            if begin >= 0 and (n < 2 or place != next_place):
+                yield codes[begin:i + window - 1], start
+                begin = -1
+            if n > 1:
+                if begin < 0:
+                    begin, start = i, place
+                next_place = (place[0], place[1] + 1)
+        if begin >= 0:
+            yield codes[begin:], start
+
+
+def _locate(rows: list[tuple], window: int) -> Iterator[tuple]:
+    """Spans to remove among stretches (anchor, id, tie, pos, text), sorted by anchor: (id, tie, start, end)."""
+    number: dict[str, int] = {}
+    groups: list[dict] = []
+    last = None
+    for key, ident, tie, pos, text in rows:
+        if key != last or not groups:
+            groups.append({})
+            last = key
+        groups[-1].setdefault(text, []).append(((ident is None, ident, tie), pos))
+    # an anchor that occurs once holds nothing that recurs (equal windows have anchors at different places)
+    groups = [g for g in groups if len(g) > 1 or len(next(iter(g.values()))) > 1]
+    for g in groups:
+        for text in g:
+            for word in text.split(" "):
+                number.setdefault(word, len(number))
+    letters = _letters(len(number))
+
+    def coded(text: str):
+        codes = [number[w] for w in text.split(" ")]
+        return tuple(codes) if letters is None else "".join([letters[c] for c in codes])
+
+    known = [[(coded(text), places) for text, places in g.items()] for g in groups]
+    passages = {}
+    for g in known:
+        for codes, first in _passages([(c, len(places), min(places)) for c, places in g], window):
+            passages[codes] = first
+    confirmed = list(passages.items())
+    for lo in range(0, len(confirmed), SHARD_PASSAGES):
+        automaton = ahocorasick.Automaton(*(() if letters else (ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)))
+        for codes, first in confirmed[lo:lo + SHARD_PASSAGES]:
+            automaton.add_word(codes, (len(codes), first))
         automaton.make_automaton()
-        for ident, tie, order, pos, codes in coded:
-            begin = end = -1
-            for last, first in automaton.iter(codes):
-                at = pos + last - window + 1
-                if first == (order, at):
-                    continue
-                if at > end:
-                    if end >= 0:
-                        yield ident, tie, begin, end
-                    begin = at
-                end = at + window
-            if end >= 0:
-                yield ident, tie, begin, end
+        for g in known:
+            for codes, places in g:
+                found = [(end - n + 1, end + 1, first) for end, (n, first) in automaton.iter(codes)]
+                for order, pos in places if found else ():
+                    for begin, end, first in found:
+                        if first != (order, pos + begin):
+                            yield order[1], order[2], pos + begin, pos + end
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -178,17 +208,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                words, offsets, row, pos, n, anchor, run = _segments(piece.column("text"), window, gram)
-                use = np.flatnonzero(_may_recur(anchor, shared.value))
+                words, offsets, h, row, pos, n, anchor = _segments(piece.column("text"), window, gram)
+                use = np.flatnonzero(may_recur(anchor, shared.value))
                 if not len(use):
                     continue
-                row, pos, n, anchor, run = row[use], pos[use], n[use], anchor[use], run[use]
+                row, pos, n, anchor = row[use], pos[use], n[use], anchor[use]
+                base = offsets[row] + pos
+                run = _same_words(h, base, n, window)
                 ident, tie = piece.column("id"), piece.column("tie").to_numpy(zero_copy_only=False)
                 keys = ident.to_pylist()
                 # of equal stretches in this slice the earliest goes on; the others are repeats for certain
-                rank = {r: i for i, r in enumerate(sorted(
-                    np.unique(row).tolist(), key=lambda r: (keys[r] is None, keys[r], tie[r])))}
-                place = np.array([rank[r] for r in row.tolist()])
+                rank = np.zeros(len(keys), np.int64)
+                rank[sorted(range(len(keys)), key=lambda r: (keys[r] is None, keys[r], tie[r]))] = np.arange(len(keys))
+                place = rank[row]
                 order = np.lexsort((pos, place, run, anchor))
                 same = np.zeros(len(order), bool)
                 same[1:] = (run[order[1:]] == run[order[:-1]]) & (anchor[order[1:]] == anchor[order[:-1]])
@@ -200,7 +232,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     for i, f in zip(order[same].tolist(), head[same].tolist()):
                         if (keys[row[i]], tie[row[i]], pos[i]) == (keys[row[f]], tie[row[f]], pos[f]):
                             repeat[i] = False
-                base = offsets[row] + pos
                 text = [None] * len(row)
                 lo, hi = (int(base.min()), int((base + n).max()) + window - 1)
                 flat = words.slice(lo, hi - lo).to_pylist()
@@ -231,7 +262,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if windows >= SHARD_WINDOWS and key != last:
                     yield out(list(_locate(held, window)))
                     held, windows = [], 0
-                held.append((ident, tie, pos, text))
+                held.append((key, ident, tie, pos, text))
                 windows, last = windows + n, key
             if direct:
                 yield out(direct)
