@@ -2,15 +2,13 @@
 
 Packing is sequential by nature (next-fit). It runs independently inside
 hash buckets of sample ids: each bucket is one ``applyInPandas`` group over
-``(id, length, order key)`` only, so a group is bounded by the bucket size
-(chosen from the total token count) and never holds token arrays. Token
+``(id, length, order key)`` only, so a group holds its bucket's share of the
+samples (1 / 16**digits, a job parameter) and never token arrays. Token
 arrays are joined back by id afterwards.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,20 +18,20 @@ from pyspark.sql import types as T
 from millrace import constants as C
 from millrace.functions.arrays import pad_to, position_ids
 
-PLAN_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("bucket", T.StringType()),
-    T.StructField("pack_no", T.LongType()),
-    T.StructField("seg", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("len", T.LongType()),
-])
+#: Hex digits of the bucket key. The layout depends on it, so it is a recorded
+#: parameter of the job and never follows the size of the corpus.
+BUCKET_DIGITS = 3
 
 
-def bucket_digits(total_tokens: int, seq_length: int, packs_per_bucket: int = 1000) -> int:
-    """Hex digits of the bucket key so a bucket holds about ``packs_per_bucket`` packs."""
-    packs = max(1.0, total_tokens / float(seq_length))
-    return max(1, math.ceil(math.log(max(packs / packs_per_bucket, 1.0), 16)))
+def _plan_schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("id", id_type),
+        T.StructField("bucket", T.StringType()),
+        T.StructField("pack_no", T.LongType()),
+        T.StructField("seg", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("len", T.LongType()),
+    ])
 
 
 def order_key(id_col: str) -> F.Column:
@@ -55,36 +53,37 @@ def next_fit(pdf: pd.DataFrame, seq_length: int, max_segments: int) -> pd.DataFr
         pack_no[i], seg[i], offset[i] = p, count, fill
         fill += n
         count += 1
-    return pd.DataFrame({"id": pdf["id"].to_numpy(np.int64), "bucket": pdf["bucket"].to_numpy(),
+    return pd.DataFrame({"id": pdf["id"].to_numpy(), "bucket": pdf["bucket"].to_numpy(),
                          "pack_no": pack_no, "seg": seg, "offset": offset, "len": lens})
 
 
 def pack_plan(samples: DataFrame, id_col: str, len_col: str, seq_length: int = C.SEQ_LENGTH,
-              max_segments: int = C.MAX_SEGMENTS, digits: int | None = None,
+              max_segments: int = C.MAX_SEGMENTS, digits: int = BUCKET_DIGITS,
               oversize: str = "reject"):
     """Assign every sample to ``(bucket, pack_no)`` with its segment index and offset.
 
-    Returns ``(plan, rejected)``. ``oversize``: ``'reject'`` routes samples
-    longer than ``seq_length`` to ``rejected``; ``'own_pack'`` gives each its
-    own pack (it is truncated to ``seq_length`` when materialised).
+    Ids may be of any type. Returns ``(plan, rejected)``; ``rejected`` has
+    ``id, len, n_cut`` for every sample longer than ``seq_length``.
+    ``oversize``: ``'reject'`` keeps such samples out of the plan (``n_cut``
+    is all of their tokens); ``'own_pack'`` gives each its own pack, cut to
+    ``seq_length`` (``n_cut`` tokens are lost), so that tokens in = tokens
+    packed + ``sum(n_cut)`` either way. ``digits`` is the bucket width: more
+    digits, more and smaller groups, and another layout.
     """
-    s = samples.select(F.col(id_col).cast("long").alias("id"), F.col(len_col).cast("long").alias("len"))
+    s = samples.select(F.col(id_col).alias("id"), F.col(len_col).cast("long").alias("len"))
     too_long = F.col("len") > seq_length
     if oversize == "reject":
-        rejected = s.filter(too_long)
+        rejected = s.filter(too_long).withColumn("n_cut", F.col("len"))
         s = s.filter(~too_long)
     elif oversize == "own_pack":
-        rejected = s.limit(0)
+        rejected = s.filter(too_long).withColumn("n_cut", F.col("len") - seq_length)
         s = s.withColumn("len", F.least(F.col("len"), F.lit(seq_length)))
     else:
         raise ValueError(f"unknown oversize policy {oversize!r}")
-    if digits is None:
-        total = s.agg(F.sum("len")).first()[0] or 0
-        digits = bucket_digits(int(total), seq_length)
     h = order_key("id")
     keyed = s.select("id", "len", h.alias("h"), F.substring(h, 1, digits).alias("bucket"))
     plan = keyed.groupBy("bucket").applyInPandas(
-        lambda pdf: next_fit(pdf, seq_length, max_segments), PLAN_SCHEMA)
+        lambda pdf: next_fit(pdf, seq_length, max_segments), _plan_schema(s.schema["id"].dataType))
     return plan.withColumnRenamed("id", id_col), rejected
 
 

@@ -524,11 +524,13 @@ def q_label_mask(spark, sf):
 # packing (documents, pre-token length, pack length 2048)
 # ---------------------------------------------------------------------------
 
+PACK_DIGITS = 1           # bucket width of the pack queries, the same at every size
+
 _PACK_SQL = f"""
 WITH RECURSIVE l AS (SELECT doc_id, {_ntok_sql('text')} AS len FROM documents),
 s AS (
-  SELECT doc_id, len, substr(sha256(CAST(doc_id AS VARCHAR)), 1, 1) AS bucket,
-         row_number() OVER (PARTITION BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 1)
+  SELECT doc_id, len, substr(sha256(CAST(doc_id AS VARCHAR)), 1, @DIGITS@) AS bucket,
+         row_number() OVER (PARTITION BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, @DIGITS@)
                             ORDER BY sha256(CAST(doc_id AS VARCHAR))) AS rn
   FROM l WHERE len <= {PACK_LENGTH}),
 r AS (
@@ -547,16 +549,12 @@ packs AS (
          string_agg(CAST("offset" + len AS VARCHAR), ',' ORDER BY seg) AS actual_seq_len
   FROM plan GROUP BY bucket, pack_no)
 """
+_PACK_SQL, _PACK_SQL_WIDE = (_PACK_SQL.replace("@DIGITS@", str(d)) for d in (PACK_DIGITS, 2))
 
 
-def _plan(spark, sf):
-    from millrace.operators.packing import bucket_digits, pack_plan
-    d = _doc_lengths(spark, sf)
-    # bucket size is a throughput knob: size it from a cheap column statistic
-    # (about 4 characters per token) instead of a pass over the token counts
-    chars = table(spark, sf, "documents", spread=False).agg(F.sum("n_chars")).first()[0] or 0
-    plan, _rej = pack_plan(d, "doc_id", "n_tokens", seq_length=PACK_LENGTH,
-                           digits=bucket_digits(chars // 4, PACK_LENGTH))
+def _plan(spark, sf, digits=PACK_DIGITS):
+    from millrace.operators.packing import pack_plan
+    plan, _rej = pack_plan(_doc_lengths(spark, sf), "doc_id", "n_tokens", seq_length=PACK_LENGTH, digits=digits)
     return plan
 
 
@@ -565,6 +563,11 @@ def q_pack_plan(spark, sf):
     return _plan(spark, sf).select("doc_id", "bucket", "pack_no", "seg", "offset", "len")
 
 
+@register("pack_plan_wide", _PACK_SQL_WIDE + "SELECT * FROM plan")
+def q_pack_plan_wide(spark, sf):
+    return _plan(spark, sf, digits=2).select("doc_id", "bucket", "pack_no", "seg", "offset", "len")
+
+
 @register("pack_rows", _PACK_SQL + "SELECT * FROM packs")
 def q_pack_rows(spark, sf):
     from millrace.operators.packing import pack_summary
@@ -736,20 +739,44 @@ def q_bpe_token_counts(spark, sf):
     return token_counts_bpe(docs, ["doc_id"], "text", merges)
 
 
-@register("lsh_candidates")
-def q_lsh_candidates(spark, sf):
-    from millrace.operators.similarity import lsh_pairs
-    emb = table(spark, sf, "embeddings")
-    return lsh_pairs(emb, NEAR_DUP_THRESHOLD, "vec_id").select(
-        "a", "b", F.round("score", 6).alias("score")).filter(F.col("score") > NEAR_DUP_THRESHOLD)
+LSH_THRESHOLD = 0.9
+COPY_OFFSET = 1_000_000
+
+_LSH_SQL = f"""
+WITH u AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  UNION ALL
+  SELECT vec_id + {COPY_OFFSET}, list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * (1 + 0.1 * (i % 3 - 1)))
+  FROM embeddings),
+p AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS s FROM u a JOIN u b ON a.id < b.id)
+SELECT a, b, round(s, 6) AS score FROM p WHERE s > {LSH_THRESHOLD}
+"""
 
 
-@register("ivf_topk")
+@register("lsh_candidates", _LSH_SQL)
+def q_lsh_candidates(spark, sf):
+    """Every vector with a slightly changed copy of itself: LSH finds the pairs above the threshold."""
+    from millrace.operators.similarity import lsh_pairs
+    emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    changed = emb.select((F.col("id") + COPY_OFFSET).alias("id"), F.transform(
+        "v", lambda x, i: x * (F.lit(1.0) + F.lit(0.1) * ((i + 1) % 3 - 1))).alias("v"))
+    found = lsh_pairs(emb.unionByName(changed), LSH_THRESHOLD, "id", "v")
+    return found.select("a", "b", F.round("score", 6).alias("score"))
+
+
+@register("ivf_topk", f"""
+WITH u AS (SELECT vec_id, embedding FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS match_id,
+             list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
+      FROM u a JOIN u b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, match_id) AS rank FROM p)
+SELECT vec_id, rank, match_id, round(s, 6) AS score FROM r WHERE rank <= {TOP_K}
+""")
 def q_ivf_topk(spark, sf):
+    """Clustered search by the sizing rules: exact for tables of this size."""
     from millrace.operators.similarity import ivf_knn, ivf_sizes, with_rank
     emb = table(spark, sf, "embeddings")
-    n = emb.count()
-    nlist, nprobe = ivf_sizes(n, dedup=True)
+    nlist, nprobe = ivf_sizes(emb.count(), dedup=True)
     nn = ivf_knn(emb, emb, k=TOP_K, target_id="vec_id", index_id="vec_id", nlist=nlist, nprobe=nprobe,
                  exclude_self=True)
     r = with_rank(nn)
@@ -757,6 +784,35 @@ def q_ivf_topk(spark, sf):
                     F.col("iid").alias("match_id"), F.round("score", 6).alias("score"))
 
 
+@register("ivf_recall")
+def q_ivf_recall(spark, sf):
+    """Clustered search with fewer probes than lists against the exact one (one row)."""
+    from millrace.operators.similarity import ivf_knn, knn
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    exact = knn(emb, emb, 1, "vec_id", "vec_id", exclude_self=True)
+    near = ivf_knn(emb, emb, 1, "vec_id", "vec_id", nlist=32, nprobe=12, exclude_self=True)
+    j = exact.join(near.select("tid", F.col("iid").alias("found")), "tid", "left")
+    return j.agg(F.count(F.lit(1)).alias("n_queries"),
+                 F.sum(F.coalesce((F.col("iid") == F.col("found")).cast("int"), F.lit(0))).alias("n_found"))
+
+
+@register("string_id_dups", f"""
+WITH p AS (SELECT a.vec_id AS a, b.vec_id AS b,
+                  list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
+           FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+r AS (SELECT 'v' || a AS vec_key, 'v' || b AS match_key, s,
+             row_number() OVER (PARTITION BY a ORDER BY s DESC, 'v' || b) AS rank FROM p)
+SELECT vec_key, match_key, round(s, 6) AS score FROM r WHERE rank = 1 AND s > {NEAR_DUP_THRESHOLD}
+""")
+def q_string_id_dups(spark, sf):
+    """Near duplicates of rows whose ids are strings, as the pipeline's content ids are."""
+    from millrace.operators.dedup import dense_near_duplicates
+    emb = table(spark, sf, "embeddings").select(
+        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("vec_key"), "embedding")
+    d = dense_near_duplicates(emb, "vec_key", "embedding", NEAR_DUP_THRESHOLD)
+    return d.select("vec_key", F.col("match_id").alias("match_key"), F.round("score", 6).alias("score"))
+
+
 @register("bpe_roundtrip")
 def q_bpe_roundtrip(spark, sf):
     """Round-trip / OOV report per chat turn: decode(encode(x)) against NFC(x)."""
@@ -874,3 +930,85 @@ def q_chat_unknown_roles(spark, sf):
     chats = assemble_chats(table(spark, sf, "conversations"))
     return chats.select("conv_id", F.size("messages").alias("n_messages"),
                         unknown_role_count("messages").alias("n_unknown"))
+
+
+# ---------------------------------------------------------------------------
+# tool chats derived from the conversations: every second user turn is a tool
+# result, every assistant turn calls a tool (once plainly, once wrapped)
+# ---------------------------------------------------------------------------
+
+TOOL_JSON = '{"type":"function","function":{"name":"look","x":null}}'
+TOOL_TEXT = '{"type": "function", "function": {"name": "look", "x": null}}'
+
+_TOOLS_HEAD_SQL = sql_str(C.TOOLS_HEADER + "\n" + TOOL_TEXT + C.TOOLS_FOOTER)
+_TOOL_CHAT_SQL = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(text, '') AS content,
+         CASE WHEN role = 'user' AND turn % 4 <> 0 THEN 'tool' ELSE role END AS role FROM conversations),
+n AS (SELECT *, lag(role) OVER w AS prev, lead(role) OVER w AS next FROM m
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+p AS (
+  SELECT conv_id, turn, CASE
+    WHEN role = 'user' OR (role = 'system' AND turn > 0) THEN '<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10)
+    WHEN role = 'assistant' THEN '<|im_start|>assistant' || CASE WHEN content <> '' THEN chr(10) || content ELSE '' END
+      || chr(10) || '<tool_call>' || chr(10) || '{{"name": "look", "arguments": {{"turn": ' || turn || ', "also": null}}}}' || chr(10) || '</tool_call>'
+      || chr(10) || '<tool_call>' || chr(10) || '{{"name": "see", "arguments": {{"list": [1, ' || turn || ']}}}}' || chr(10) || '</tool_call>'
+      || '<|im_end|>' || chr(10)
+    WHEN role = 'tool' THEN CASE WHEN prev IS NULL OR prev <> 'tool' THEN '<|im_start|>user' ELSE '' END
+      || chr(10) || '<tool_response>' || chr(10) || content || chr(10) || '</tool_response>'
+      || CASE WHEN next IS NULL OR next <> 'tool' THEN '<|im_end|>' || chr(10) ELSE '' END
+    ELSE '' END AS piece
+  FROM n),
+h AS (
+  SELECT conv_id, '<|im_start|>system' || chr(10) || coalesce(max(CASE WHEN turn = 0 AND role = 'system' THEN content END),
+         {sql_str(C.CHAT_DEFAULT_SYSTEM_CONFIG)}) || {_TOOLS_HEAD_SQL} AS head FROM m GROUP BY conv_id)
+SELECT conv_id, head || string_agg(piece, '' ORDER BY turn) AS rendered FROM p JOIN h USING (conv_id) GROUP BY conv_id, head
+"""
+
+
+@register("tool_chats", _TOOL_CHAT_SQL)
+def q_tool_chats(spark, sf):
+    """Chats with tools, tool runs and tool calls (also wrapped ones), in the template's JSON."""
+    from millrace.functions.chat import render_chat, template_json, with_template_arguments
+    conv = table(spark, sf, "conversations")
+    turn = F.col("turn").cast("string")
+    call = "array<struct<name:string,arguments:string,function:struct<name:string,arguments:string>>>"
+    calls = F.array(
+        F.struct(F.lit("look").alias("name"), F.concat(F.lit('{"turn":'), turn, F.lit(',"also":null}')).alias("arguments"),
+                 F.lit(None).cast("struct<name:string,arguments:string>").alias("function")),
+        F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
+                 F.struct(F.lit("see").alias("name"), F.concat(F.lit('{"list":[1,'), turn, F.lit("]}")).alias("arguments"))
+                 .alias("function")))
+    role = F.when((F.col("role") == "user") & (F.col("turn") % 4 != 0), "tool").otherwise(F.col("role"))
+    msg = F.struct(F.col("turn"), role.alias("role"), F.col("text").alias("content"),
+                   F.when(F.col("role") == "assistant", calls).otherwise(F.lit(None).cast(call)).alias("tool_calls"))
+    chats = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(msg)).alias("messages"))
+    chats = with_template_arguments(chats.withColumn("tools", F.array(F.lit(TOOL_JSON))))
+    return chats.withColumn("tools", template_json(chats, "tools")).select("conv_id", render_chat(
+        "messages", default_system=C.CHAT_DEFAULT_SYSTEM_CONFIG, tools="tools", with_tool_calls=True,
+        wrapped_calls=True).alias("rendered"))
+
+
+# ---------------------------------------------------------------------------
+# the record preparation on rows that have tags, math sources and odd roles
+# ---------------------------------------------------------------------------
+
+@register("record_rules", f"""
+SELECT conv_id, turn,
+       replace(replace('<think>' || text || '</answer><think>', '<think>', '<think>' || chr(10)), '</answer>', chr(10) || '</answer>')
+         || '<|im_end|>' AS output,
+       {sql_str(C.SYSTEM_PROMPT)} || replace(CASE WHEN turn % 2 = 0 THEN {sql_str(C.USER_PROMPT_MATH)} ELSE {sql_str(C.USER_PROMPT)} END,
+         '{{{{content}}}}', text) AS instruction, turn % 2 = 0 AS is_math
+FROM conversations WHERE text IS NOT NULL AND text NOT LIKE '%<think>%' AND text NOT LIKE '%</answer>%'
+""")
+def q_record_rules(spark, sf):
+    """Tag repair, prompt choice by source path, end of turn and the math flag (P4, P6, P7, P8, P11)."""
+    from millrace.functions.text import is_math, repair_tags
+    from millrace.plans.prepare import instruct_records
+    conv = table(spark, sf, "conversations").filter(
+        "text IS NOT NULL AND text NOT LIKE '%<think>%' AND text NOT LIKE '%</answer>%'")
+    path = F.when(F.col("turn") % 2 == 0, "/data/math_a.jsonl").otherwise("/data/code.jsonl")
+    pairs = conv.select("conv_id", "turn", path.alias("source_path"), F.col("text").alias("question"),
+                        F.concat(F.lit("<think>"), "text", F.lit("</answer><think>")).alias("answer"))
+    ok, _ = instruct_records(pairs, path_col="source_path")
+    return ok.select("conv_id", "turn", "output", "instruction", is_math("instruction").alias("is_math"))

@@ -4,18 +4,22 @@ Run it with ``spark-submit`` on a cluster (the cluster supplies the master)
 or directly for a local run. Parameters can also come from a JSON file
 (``--config``); command-line values win.
 
-  decontaminate  --target_data F [F ...] --contaminant_source F --output_file_prefix P [--threshold 0.9]
-  prepare        --json_file_paths F [F ...] --output_dir D [--seq_length 32768] [--merges_file M]
+  decontaminate  --target_data F [F ...] --contaminant_source F --output_file_prefix P [--threshold 0.9] [--encoder M:F]
+  deduplicate    --target_data F [F ...] --output_file_prefix P [--threshold 0.9] [--encoder M:F]
+  prepare        --json_file_paths F [F ...] --output_dir D --merges_file M [--seq_length 32768]
+  tokenize       --input_path D --output_dir D --merges_file M --vocab_file V [--seq_length 32768]
   pack           --input_path D --output_dir D [--seq_length 32768] [--oversize reject|own_pack]
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 
 from millrace import constants as C
+from millrace.operators.packing import BUCKET_DIGITS
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,12 +34,29 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--output_file_prefix", required=True)
     d.add_argument("--threshold", type=float, default=C.SIM_THRESHOLD)
     d.add_argument("--output_format", default="json")
+    d.add_argument("--encoder", help="module:function that loads a sentence encoder (default: term frequencies)")
+
+    u = sub.add_parser("deduplicate")
+    u.add_argument("--target_data", nargs="+", required=True)
+    u.add_argument("--output_file_prefix", required=True)
+    u.add_argument("--threshold", type=float, default=C.SIM_THRESHOLD)
+    u.add_argument("--output_format", default="json")
+    u.add_argument("--encoder", help="module:function that loads a sentence encoder (default: term frequencies)")
 
     r = sub.add_parser("prepare")
     r.add_argument("--json_file_paths", nargs="+", required=True)
     r.add_argument("--output_dir", required=True)
     r.add_argument("--seq_length", type=int, default=C.SEQ_LENGTH)
-    r.add_argument("--merges_file", help="count BPE tokens with this merges file (default: pre-tokens)")
+    r.add_argument("--merges_file", required=True, help="lengths are BPE tokens by this merges file")
+
+    t = sub.add_parser("tokenize")
+    t.add_argument("--input_path", required=True)
+    t.add_argument("--output_dir", required=True)
+    t.add_argument("--merges_file", required=True)
+    t.add_argument("--vocab_file", required=True)
+    t.add_argument("--seq_length", type=int, default=C.SEQ_LENGTH)
+    t.add_argument("--handler", default="instruct_sft")
+    t.add_argument("--id_col", default="record_id")
 
     k = sub.add_parser("pack")
     k.add_argument("--input_path", required=True)
@@ -45,19 +66,33 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--pad_id", type=int, default=C.PAD_ID)
     k.add_argument("--oversize", choices=["reject", "own_pack"], default="reject")
     k.add_argument("--id_col", default="id")
+    k.add_argument("--bucket_digits", type=int, default=BUCKET_DIGITS)
     return p
 
 
+def _loader(name: str | None):
+    """The function that ``module:function`` names."""
+    if not name:
+        return None
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def build_job(args: argparse.Namespace):
-    from millrace.plans.jobs import DecontaminateJob, PackJob, PrepareSplitJob
+    from millrace.plans.jobs import DecontaminateJob, DeduplicateJob, PackJob, PrepareSplitJob, TokenizeJob
     if args.job == "decontaminate":
         return DecontaminateJob(args.target_data, args.contaminant_source, args.output_file_prefix,
-                                args.threshold, args.output_format)
+                                args.threshold, args.output_format, _loader(args.encoder))
+    if args.job == "deduplicate":
+        return DeduplicateJob(args.target_data, args.output_file_prefix, args.threshold, args.output_format,
+                              _loader(args.encoder))
     if args.job == "prepare":
-        return PrepareSplitJob(args.json_file_paths, args.output_dir, args.seq_length,
-                               "bpe" if args.merges_file else "pretokens", args.merges_file)
+        return PrepareSplitJob(args.json_file_paths, args.output_dir, args.merges_file, args.seq_length)
+    if args.job == "tokenize":
+        return TokenizeJob(args.input_path, args.output_dir, args.merges_file, args.vocab_file, args.seq_length,
+                           args.handler, args.id_col)
     return PackJob(args.input_path, args.output_dir, args.seq_length, args.max_segments, args.pad_id,
-                   args.oversize, args.id_col)
+                   args.oversize, args.id_col, args.bucket_digits)
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict[str, str]:

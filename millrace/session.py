@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        # a long session keeps the plans of its last queries only
+        "spark.sql.ui.retainedExecutions": "20",
+        "spark.ui.retainedJobs": "100",
+        "spark.ui.retainedStages": "100",
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "4g"  # one JVM does all the work (read when it starts)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
@@ -59,7 +66,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    path = configured or fallback or os.path.join("/tmp", "millrace-checkpoints")
+    path = configured or fallback
+    if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
@@ -82,23 +93,20 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when it has fewer splits than cores.
-
-    A large input already has more splits than cores and is returned as is
-    (no shuffle). A small file that is one row group would otherwise run
-    every per-row step (hashing, regex, sorting words) in a single task; it
-    is spread round-robin, which moves only that small input.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df
+#: A file of one row group is one split, however many cores there are. Up to this
+#: many bytes its rows are dealt out before the per-row steps; larger inputs never move.
+SPREAD_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one of the test tables (``<sf_dir>/<name>.parquet``)."""
+    """Read one of the test tables (``<sf_dir>/<name>.parquet``).
+
+    The scan's own splits are kept, but for inputs of at most
+    ``SPREAD_BYTES`` on disk, whose rows are dealt out to the session's
+    shuffle partitions (at most that many bytes move, at any cluster size).
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+    if not spread:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if size <= SPREAD_BYTES else df

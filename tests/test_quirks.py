@@ -292,3 +292,14 @@ def test_text_near_duplicates_equal_brute_force(spark):
         if s > 0.7 and (i not in want or (s, -j) > (want[i][1], -want[i][0])):
             want[i] = (j, round(s, 9))
     assert got == want and len(want) >= 4
+
+
+def test_tool_json_has_the_templates_form(spark):
+    from millrace.functions.chat import system_head, template_json
+    df = spark.createDataFrame([(["{\"name\":\"f\",\"x\":null,\"t\":\"é\"}"],)], "tools array<string>")
+    df = df.withColumn("messages", F.expr("array(named_struct('role', 'user', 'content', 'hi'))"))
+    text = df.withColumn("tools", template_json(df, "tools")).select(
+        system_head("messages", "sys", "tools").alias("t")).first()["t"]
+    assert '\n{"name": "f", "x": null, "t": "é"}\n</tools>' in text
+    structs = spark.sql("SELECT array(named_struct('name', 'f', 'x', CAST(NULL AS INT))) AS tools")
+    assert structs.select(template_json(structs, "tools").alias("t")).first()["t"] == ['{"name": "f", "x": null}']
