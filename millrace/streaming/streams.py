@@ -42,13 +42,22 @@ def dedup_stream(stream: DataFrame, key: str = "question_id", event_time: str |
 
 def decontaminate_batches(benchmark: DataFrame, threshold: float, out_flagged: str, out_kept: str,
                           id_col: str = "question_id", text_col: str = "question"):
-    """``foreachBatch`` function: flag each micro-batch against the static benchmark and append both outputs."""
+    """``foreachBatch`` function: flag each micro-batch against the static benchmark and write both outputs.
+
+    Each epoch owns a folder (``epoch=<n>``) in either output and replaces it
+    whole, so a retried epoch leaves one copy of its rows. The batch and its
+    matches are written once; the kept rows follow from the written matches.
+    """
     from millrace.operators.dedup import contamination_matches, drop_flagged
+    from millrace.session import cut_lineage
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        m = contamination_matches(batch, benchmark, id_col, text_col, "item_id", "text", threshold)
-        m.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out_flagged)
-        drop_flagged(batch, m, id_col).write.mode("append").parquet(out_kept)
+        rows = cut_lineage(batch, "stream-batch")
+        flagged = f"{out_flagged.rstrip('/')}/epoch={epoch_id}"
+        contamination_matches(rows, benchmark, id_col, text_col, "item_id", "text", threshold).write.mode(
+            "overwrite").parquet(flagged)
+        m = batch.sparkSession.read.parquet(flagged)
+        drop_flagged(rows, m, id_col).write.mode("overwrite").parquet(f"{out_kept.rstrip('/')}/epoch={epoch_id}")
 
     return run
 

@@ -89,6 +89,10 @@ def test_stream_decontamination_matches_batch(spark, tmp_path):
                                                            "item_id", "text", 0.8).collect()}
     assert flagged == want and len(want) == 2
     assert spark.read.parquet(str(tmp_path / "keep")).count() == 1
+    run(batch, 0)  # a retried epoch replaces its own rows
+    run(batch, 0)
+    assert spark.read.parquet(str(tmp_path / "flag")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "keep")).count() == 1
 
 
 def test_tf_top1_grid_path_equals_broadcast_path(spark, sf_small):
