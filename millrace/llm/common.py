@@ -165,15 +165,14 @@ def may_recur(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``id`` and ``component`` (smallest id reachable) of every vertex of ``edges`` (columns a, b; longs).
 
-    Alternating large and small stars: each step joins neighbours to the smallest
-    one. Steps are written tables; only counts reach the driver.
+    Alternating large and small stars: each round joins neighbours to the smallest
+    one. Rounds are written tables; only counts reach the driver.
     """
     def stars(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = (both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .filter("a <> b").distinct())
-        large = written(large, f"{name}-large")
         down = large.groupBy("a").agg(F.min("b").alias("low"))
         return large.join(down, "a").select(F.col("b").alias("u"), "low", "a").select(
             F.explode(F.array(F.struct(F.col("a"), F.col("low").alias("b")),

@@ -19,8 +19,6 @@ Equal sets are one vertex, so copies are never paired with each other.
 from __future__ import annotations
 
 import heapq
-import math
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +37,7 @@ BITMAP_BITS = 1 << 26
 #: Tokens of candidate sets that one search task holds.
 BLOCK_TOKENS = 2_000_000
 #: Share of a set that must recur among the tokens of its long prefix.
-COMMON_SHARE = 0.10
+COMMON_SHARE = 0.25
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,135 +91,96 @@ def _set_hash(row: np.ndarray, token: np.ndarray, size: np.ndarray) -> np.ndarra
     return mix64(total * np.uint64(3) + mix64(mixed) + size.astype(np.uint64))
 
 
-class Lists:
-    """Inverted lists of a few sets, searched by DivideSkip."""
+#: Places in short lists up to which a heap merges them; longer ones are merged as sorted runs.
+HEAP_PLACES = 512
+
 
-    def __init__(self) -> None:
-        self.lists: dict[int, list[int]] = {}
-        self.sizes: list[int] = []
-        self.names: list[int] = []
+class Lists:
+    """Inverted lists of sets (arrays of token numbers), searched by DivideSkip."""
 
-    def add(self, name: int, tokens: list[int]) -> None:
-        at = len(self.names)
-        self.names.append(name)
-        self.sizes.append(len(tokens))
-        for t in tokens:
-            self.lists.setdefault(t, []).append(at)
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(t) for t in sets], np.int64)
+        tokens = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        order = np.argsort(tokens, kind="stable")  # places ascend inside each list
+        self.places = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.begin = np.searchsorted(tokens[order], np.arange(int(tokens.max(initial=-1)) + 2))
 
-    def search(self, tokens: list[int], num: int, den: int, taken=None) -> Iterator[int]:
-        """Places of the sets whose similarity to ``tokens`` is ``num / den`` or more.
+    def search(self, tokens: np.ndarray, num: int, den: int, wanted: np.ndarray) -> Iterator[int]:
+        """Wanted places whose set has a similarity of ``num / den`` or more to ``tokens``.
 
-        ``taken(place)`` may pass over sets that are not wanted.
+        ``wanted`` (one flag per place) is read again before each answer, so that the
+        caller may strike places off meanwhile.
         """
         n = len(tokens)
-        found = sorted((self.lists[t] for t in tokens if t in self.lists), key=len)
         least = -(-n * num // den)
-        if len(found) < least:
+        tokens = tokens[tokens < len(self.begin) - 1]
+        length = self.begin[tokens + 1] - self.begin[tokens]
+        tokens, length = tokens[length > 0], length[length > 0]
+        if len(tokens) < least:
             return
-        # with all but ``least - 1 + spare`` lists set aside as long, a hit occurs ``spare`` times in the short ones
-        longest = len(found[-1])
-        aside = min(least - 1, int(least / (0.01 * math.log2(longest + 1) + 1)))
-        short, long = found[:len(found) - aside], found[len(found) - aside:]
-        enough = least - aside
-        merged = heapq.merge(*short) if len(short) > 1 else iter(short[0])
-        last, count = -1, 0
-
-        def whole(place: int, count: int) -> bool:
-            m = self.sizes[place]
-            if m * den < n * num or n * den < m * num:
-                return False
-            need = -(-num * (n + m) // (num + den))
-            left = len(long)
-            for other in long:
-                if count >= need or count + left < need:
-                    break
-                at = bisect_left(other, place)
-                count += at < len(other) and other[at] == place
-                left -= 1
-            return count >= need
-
-        for place in merged:
-            if place == last:
-                count += 1
-                continue
-            if last >= 0 and count >= enough and not (taken and taken(last)) and whole(last, count):
-                yield last
-            last, count = place, 1
-        if last >= 0 and count >= enough and not (taken and taken(last)) and whole(last, count):
-            yield last
-
-
-def _root(parent: dict[int, int], x: int) -> int:
+        order = np.argsort(length, kind="stable")
+        lists = [self.places[self.begin[t]:self.begin[t + 1]] for t in tokens[order].tolist()]
+        # the longest lists are set aside: whatever occurs ``least`` times in all of them
+        # occurs at least once in the others
+        aside = least - 1
+        short, long = lists[:len(lists) - aside], lists[len(lists) - aside:]
+        if length.sum() <= HEAP_PLACES:
+            merged = np.fromiter(heapq.merge(*(x.tolist() for x in short)), np.int64)
+        else:
+            merged = np.sort(np.concatenate(short), kind="stable")
+        place, count = np.unique(merged, return_counts=True)
+        m = self.sizes[place]
+        fit = wanted[place] & (m * den >= n * num) & (n * den >= m * num)
+        place, count = place[fit], count[fit]
+        need = -(-num * (n + self.sizes[place]) // (num + den))
+        for k in range(len(long)):
+            if not len(place):
+                return
+            at = np.searchsorted(long[k], place)
+            count = count + (long[k][np.minimum(at, len(long[k]) - 1)] == place)
+            open_ = count + len(long) - k - 1 >= need
+            if not open_.all():
+                place, count, need = place[open_], count[open_], need[open_]
+        for x in place[count >= need].tolist():
+            if wanted[x]:
+                yield x
+
+
+def _root(parent: list[int], x: int) -> int:
     while parent[x] != x:
         parent[x] = parent[parent[x]]
         x = parent[x]
     return x
 
 
-def _join(parent: dict[int, int], a: int, b: int) -> bool:
-    a, b = _root(parent, a), _root(parent, b)
-    if a == b:
-        return False
-    parent[max(a, b)] = min(a, b)
-    return True
-
-
-def link_sets(left: dict[int, list[int]], right: dict[int, list[int]] | None,
-              similarity: tuple[int, int]) -> list[tuple[int, int]]:
-    """Edges that span the links among ``left`` (or between ``left`` and ``right``).
+def link_sets(left: list[np.ndarray], right: list[np.ndarray] | None, similarity: tuple[int, int]) -> list[tuple[int, int]]:
+    """Edges that span the links among ``left``, or between ``left`` and ``right``.
 
-    Sets gather around pivots first: a set that links with a pivot joins it, others
-    become pivots. Links between members of different groups are then looked for
-    where the pivots are near enough (Jaccard distance is a metric: pivots of linked
-    members are within three times the linking distance); a search ends with the
-    first link, as that joins the groups.
+    Sets are numbered, those of ``right`` after those of ``left``. Every set is a
+    query; what it is already joined with is not searched for again.
     """
     num, den = similarity
-    everything = left if right is None else {**left, **right}
-    parent = {name: name for name in everything}
-    edges: list[tuple[int, int]] = []
-
-    def gather(sets: dict[int, list[int]]) -> tuple[Lists, list[list[int]]]:
-        pivots, members = Lists(), []
-        for name in sorted(sets, key=lambda x: (len(sets[x]), x)):
-            own = None
-            for place in pivots.search(sets[name], num, den):
-                if _join(parent, pivots.names[place], name):
-                    edges.append((pivots.names[place], name))
-                own = place if own is None else own
-            if own is None:
-                pivots.add(name, sets[name])
-                members.append([])
-                own = len(members) - 1
-            members[own].append(name)
-        return pivots, members
-
-    groups = [gather(left)] if right is None else [gather(left), gather(right)]
-    a_pivots, a_members = groups[0]
-    b_pivots, b_members = groups[-1]
-    # similarity that pivots of linked members have at least: 1 - 3 (1 - num / den)
-    near = max(0, 3 * num - 2 * den)
-    ready: dict[int, Lists] = {}
-    for i, name in enumerate(a_pivots.names):
-        if near > 0:
-            places = list(b_pivots.search(everything[name], near, den))
-        else:
-            places = range(len(b_pivots.names))
-        for j in places:
-            if right is None and j <= i:
-                continue
-            if _root(parent, name) == _root(parent, b_pivots.names[j]):
-                continue
-            if j not in ready:
-                ready[j] = Lists()
-                for member in b_members[j]:
-                    ready[j].add(member, everything[member])
-            for member in a_members[i]:
-                place = next(ready[j].search(everything[member], num, den), None)
-                if place is not None:
-                    _join(parent, member, ready[j].names[place])
-                    edges.append((member, ready[j].names[place]))
-                    break
+    index = left if right is None else right
+    shift = 0 if right is None else len(left)
+    lists = Lists(index)
+    parent = list(range(len(left) + (0 if right is None else len(right))))
+    members = {x: [x] for x in parent}  # by root
+    edges = []
+    wanted = np.ones(len(index), bool)
+    for name, tokens in enumerate(left):
+        mine = [x - shift for x in members[_root(parent, name)] if x >= shift]
+        wanted[mine] = False
+        for place in lists.search(tokens, num, den, wanted):
+            a, b = _root(parent, name), _root(parent, place + shift)
+            edges.append((name, place + shift))
+            if len(members[a]) < len(members[b]):
+                a, b = b, a
+            parent[b] = a
+            gained = members.pop(b)
+            members[a] += gained
+            mine = [x - shift for x in members[a] if x >= shift]
+            wanted[mine] = False
+        wanted[[x - shift for x in members[_root(parent, name)] if x >= shift]] = True
     return edges
 
 
@@ -373,7 +332,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             [pa.array(np.frombuffer(b, np.int64)), pa.array(np.full(len(b) // 8, k, np.int64))], ["name", "block"])
             for batch in batches for k, b in zip(batch.column("block").to_pylist(), batch.column("names").to_pylist())),
         "name long, block long").groupBy("name").agg(F.min("block").alias("block")))
-    wanted = written(groups.join(owner, "name"), "wanted-sets")
+    wanted = groups.join(owner, "name")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,7 +358,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     large = (groups.join(size_of, "name").groupBy("group").agg(F.sum("size").alias("total"))
              .filter(F.col("total") > block_tokens)
              .select("group", F.ceil(F.col("total") / block_tokens).cast("int").alias("cuts")))
-    placed = (sets.join(written(large, "large-groups"), "group", "left")
+    large = written(large, "large-groups")
+    placed = (sets.join(large, "group", "left")
               .withColumn("cuts", F.coalesce("cuts", F.lit(1)))
               .withColumn("own", F.pmod(F.xxhash64("name"), F.col("cuts")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
@@ -409,18 +369,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rows = {name: (np.frombuffer(raw, np.uint64), own) for name, raw, own in zip(
             table["name"].to_pylist(), table["tokens"].to_pylist(), table["own"].to_pylist())}
         everything = np.concatenate([t for t, _ in rows.values()])
-        distinct, place, n = np.unique(everything, return_inverse=True, return_counts=True)
+        _, place = np.unique(everything, return_inverse=True)
         cut = np.cumsum([0, *(len(t) for t, _ in rows.values())])
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        sides: tuple[dict, dict] = ({}, {})
+        sides: tuple[list, list] = ([], [])
+        own_names: tuple[list, list] = ([], [])
         for k, (name, (_, own)) in enumerate(rows.items()):
-            sides[0 if own == i else 1][name] = place[cut[k]:cut[k + 1]].tolist()
+            sides[0 if own == i else 1].append(place[cut[k]:cut[k + 1]])
+            own_names[0 if own == i else 1].append(name)
         found = link_sets(sides[0], sides[1] if i != j else None, similarity)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
-                         "b": pa.array([b for _, b in found], pa.int64())})
+        names = [*own_names[0], *own_names[1]]
+        # one star for each linked group: its members and its smallest name
+        parent = list(range(len(names)))
+        for a, b in found:
+            a, b = _root(parent, a), _root(parent, b)
+            parent[a if names[a] > names[b] else b] = b if names[a] > names[b] else a
+        linked = [x for x in range(len(names)) if _root(parent, x) != x]
+        return pa.table({"a": pa.array([names[x] for x in linked], pa.int64()),
+                         "b": pa.array([names[_root(parent, x)] for x in linked], pa.int64())})
 
     links = placed.groupBy("group", "i", "j").applyInArrow(search, "a long, b long")
-    linked = connected_components(links, "links")
+    if large.isEmpty():  # each group was searched as a whole: its stars are the components
+        links = written(links, "links")
+        linked = links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+            links.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id")))
+    else:
+        linked = connected_components(links, "links")
     rows = blocks.select(F.explode(F.arrays_zip("ids", "n", "sets")).alias("r")).select(
         F.col("r.ids").alias("id"), F.col("r.n").alias("n"), F.col("r.sets").alias("set"))
     vertex = written(rows.join(linked, rows["set"] == linked["id"], "left").select(

@@ -272,8 +272,8 @@ def test_sketch_peels_larger_differences(spark):
     a, b = list(range(300)), list(range(40, 420))
     df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
         *[F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in "ab"])
-    near = df.select(bloom_lookup.likeness(F.col("a"), F.col("b"), bloom_lookup.fingerprint_cells(F.col("a")),
-                                           bloom_lookup.fingerprint_cells(F.col("b")))).first()[0]
+    df = df.select("a", "b", *[bloom_lookup.fingerprint_cells(F.col(c)).alias(c + "c") for c in "ab"])
+    near = bloom_lookup.with_likeness(df, "a", "b", "ac", "bc", "near").first()["near"]
     assert near == pytest.approx(1 - (40 + 120) / (300 + 380))
 
 
@@ -451,35 +451,38 @@ def test_components_on_the_table(documents, empty):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
-def test_link_sets_finds_all_links_of_random_sets():
+@pytest.mark.parametrize("heap", [0, 10_000])
+def test_link_sets_finds_all_links_of_random_sets(monkeypatch, heap):
+    import numpy as np
+    monkeypatch.setattr(ngram_join, "HEAP_PLACES", heap)
     rng = random.Random(11)
     for num, den in ((85, 100), (80, 100), (50, 100)):
         for _ in range(20):
             seeds = [rng.sample(range(400), rng.randrange(5, 60)) for _ in range(4)]
-            sets = {}
-            for name in range(40):
+            sets = []
+            for _ in range(40):
                 s = set(rng.choice(seeds))
                 for _ in range(rng.randrange(0, 8)):
                     s.add(rng.randrange(1000))
                     s.discard(rng.choice(sorted(s)))
-                if s:
-                    sets[name] = sorted(s)
+                sets.append(np.array(sorted(s)))
 
             def spanned(edges):
-                parent = {n: n for n in sets}
+                parent = list(range(len(sets)))
                 for a, b in edges:
-                    ngram_join._join(parent, a, b)
-                return {n: ngram_join._root(parent, n) for n in sets}
+                    a, b = ngram_join._root(parent, a), ngram_join._root(parent, b)
+                    parent[max(a, b)] = min(a, b)
+                return [ngram_join._root(parent, n) for n in range(len(sets))]
+
+            def similar(a, b):
+                both = len(set(sets[a]) & set(sets[b]))
+                return den * both >= num * (len(sets[a]) + len(sets[b]) - both)
 
-            links = [(a, b) for a in sets for b in sets if a < b and den * len(set(sets[a]) & set(sets[b]))
-                     >= num * len(set(sets[a]) | set(sets[b]))]
-            assert spanned(ngram_join.link_sets(sets, None, (num, den))) == spanned(links)
-            left = {n: s for n, s in sets.items() if n % 2}
-            right = {n: s for n, s in sets.items() if not n % 2}
-            across = [(a, b) for a, b in links if a % 2 != b % 2]
-            both = ngram_join.link_sets(left, None, (num, den)) + ngram_join.link_sets(right, None, (num, den)) \
-                + ngram_join.link_sets(left, right, (num, den))
-            assert spanned(both) == spanned(links) and len(across) <= len(links)
+            links = [(a, b) for a in range(40) for b in range(a + 1, 40) if similar(a, b)]
+            found = ngram_join.link_sets(sets, None, (num, den))
+            assert all(similar(a, b) for a, b in found) and spanned(found) == spanned(links)
+            across = ngram_join.link_sets(sets[:15], sets[15:], (num, den))
+            assert spanned(across) == spanned([(a, b) for a, b in links if a < 15 <= b])
 
 
 def test_keep_one_per_group(awkward):
@@ -496,7 +499,8 @@ def test_connected_components(spark):
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
     parent = {x: x for e in edges for x in e}
     for a, b in edges:
-        ngram_join._join(parent, a, b)
+        a, b = ngram_join._root(parent, a), ngram_join._root(parent, b)
+        parent[max(a, b)] = min(a, b)
     assert got == {x: ngram_join._root(parent, x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
 
 
