@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import read, shuffle_parts
 
-#: A paragraph: a line, cut at the first sentence end after 120 characters or at 400.
-PARAGRAPH = r"[^\n]{120,400}?[.!?]+|[^\n]{1,400}"
+#: A paragraph: a line, cut at the first sentence end after 160 characters or at 480.
+PARAGRAPH = r"[^\n]{160,480}?[.!?]+|[^\n]{1,480}"
 #: log2 of the cells in a third of the fingerprint, and the first digest bit they use.
 BASE = (3, 0)
-#: The same for the tries of a group: 12, 24, 48 and 96 cells.
-RETRIES = ((2, 9), (3, 15), (4, 24), (5, 36))
+#: The same for the tries of a group: 6, 12, 24, 48 and 96 cells.
+RETRIES = ((1, 9), (2, 12), (3, 18), (4, 27), (5, 39))
 #: Digests (of both versions) that a group of the larger sketches holds on average, at most.
-GROUP_DIGESTS = 4
+GROUP_DIGESTS = 2
 ROUNDS = 8
 
 
@@ -101,21 +101,19 @@ def _peel(cells: Column, size: tuple[int, int]) -> Column:
 
 def _by_group(signed: Column) -> Column:
     """Cut signed digests into groups by their leading bits; equal digests share a group."""
-    ordered = F.array_sort(signed)
-
-    def cut(xs: Column) -> Column:
-        bits = F.least(F.ceil(F.log2(F.greatest(F.size(xs) / GROUP_DIGESTS, F.lit(1.0)))), F.lit(30)).cast("int")
-
-        def lead(i: Column) -> Column:  # the first ``bits`` bits, in order of the digests
-            return F.call_function("shiftright", F.call_function("shiftright", xs[i]["d"], F.lit(33)),
-                                   (F.lit(31) - bits).cast("int"))
-
-        starts = F.filter(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: (i == 0) | (lead(i) != lead(i - 1)))
-        return F.transform(F.array(F.concat(starts, F.array(F.size(xs)))), lambda at: F.transform(
-            F.slice(at, F.lit(1), F.size(at) - 1), lambda s, j: F.slice(xs, s + 1, at[j + 1] - s)))[0]
-
+    def cut(xs: Column, shift: Column) -> Column:
+        # each digest's leading bits, in order of the digests; a group ends where they change
+        lead = F.transform(xs, lambda x: F.call_function("shiftright", F.shiftright(x["d"], 33), shift))
+        return _let(lead, lambda bits: _let(
+            F.filter(F.sequence(F.lit(1), F.size(xs)), lambda i: (i == F.size(xs)) | (bits[i - 1] != F.get(bits, i))),
+            lambda ends: F.transform(ends, lambda e, j: _let(
+                F.when(j == 0, F.lit(0)).otherwise(ends[F.greatest(j - 1, F.lit(0))]),
+                lambda begin: F.slice(xs, begin + 1, e - begin)))))
+
+    count = F.greatest(F.size(signed) / GROUP_DIGESTS, F.lit(1.0))
+    shift = F.lit(31) - F.least(F.ceil(F.log2(count)), F.lit(30)).cast("int")
     return F.when(F.size(signed) == 0, F.array().cast("array<array<struct<d:bigint,s:int>>>")).otherwise(
-        F.transform(F.array(ordered), cut)[0])
+        _let(F.sort_array(signed), lambda xs: _let(shift, lambda n: cut(xs, n))))
 
 
 def _solve(group: Column) -> Column:
@@ -149,21 +147,26 @@ def fingerprint_text(ds: Column, cells: Column) -> Column:
         F.hex(c["n"]), F.lit("."), F.hex(c["k"]), F.lit("."), F.hex(c["c"].bitwiseAND(F.lit(0xFFFFFFFF))))), "-"))
 
 
-def likeness(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
-    """Share of two texts' paragraphs that did not differ (1 for equal sets, also for two empty ones).
+def with_likeness(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
+    """Add the share of two texts' paragraphs that did not differ (1 for equal sets, also for two empty ones).
 
-    ``a`` and ``b`` are digests (they stand for the sketches of every size), the
-    cells their fingerprints, which are subtracted and peeled first.
+    ``a`` and ``b`` are digest columns (they stand for the sketches of every
+    size), the cells their fingerprints, which are subtracted and peeled first.
     """
-    base = _peel(_subtract(a_cells, b_cells), BASE)
-    groups = F.transform(_by_group(F.concat(_signed(a, 1), _signed(b, -1))), _solve)
-    larger = F.aggregate(groups, F.struct(F.lit(True).alias("ok"), F.lit(0).alias("only_a"), F.lit(0).alias("only_b")),
-                         lambda s, g: F.struct(F.lit(True).alias("ok"), (s["only_a"] + g["only_a"]).alias("only_a"),
-                                               (s["only_b"] + g["only_b"]).alias("only_b")))
-    found = _let(base, lambda r: F.when(r["ok"], r).otherwise(larger))
+    base = _peel(_subtract(F.col(a_cells), F.col(b_cells)), BASE)
+    groups = _by_group(F.concat(_signed(F.col(a), 1), _signed(F.col(b), -1)))
+    # steps of their own: each is evaluated once and stays small
+    df = df.withColumn("__base", base)
+    df = df.withColumn("__groups", F.when(~F.col("__base.ok"), groups))
+    none = F.struct(F.lit(0).alias("only_a"), F.lit(0).alias("only_b"))
+    larger = F.aggregate(F.transform("__groups", _solve), none, lambda s, g: F.struct(
+        (s["only_a"] + g["only_a"]).alias("only_a"), (s["only_b"] + g["only_b"]).alias("only_b")))
+    df = df.withColumn("__found", F.when(F.col("__base.ok"), F.struct(
+        F.col("__base.only_a").alias("only_a"), F.col("__base.only_b").alias("only_b"))).otherwise(larger))
     total = F.size(a) + F.size(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(
-        F.lit(1.0) - (found["only_a"] + found["only_b"]).cast("double") / total)
+    return df.withColumn(out, F.when(total == 0, F.lit(1.0)).otherwise(
+        F.lit(1.0) - (F.col("__found.only_a") + F.col("__found.only_b")).cast("double") / total)).drop(
+        "__base", "__groups", "__found")
 
 
 def _ranges(ids: DataFrame, column: str, parts: int) -> Column:
@@ -226,8 +229,8 @@ def op6_bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
     for d in "aex":
         rows = rows.withColumn(f"{d}c", fingerprint_cells(F.col(d)))
+    rows = with_likeness(rows, "a", "e", "ac", "ec", "near_edited")
+    rows = with_likeness(rows, "a", "x", "ac", "xc", "near_next")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint_text(F.col("a"), F.col("ac")).alias("fingerprint"),
-        fingerprint_text(F.col("e"), F.col("ec")).alias("edited_fingerprint"),
-        likeness(F.col("a"), F.col("e"), F.col("ac"), F.col("ec")).alias("near_edited"),
-        likeness(F.col("a"), F.col("x"), F.col("ac"), F.col("xc")).alias("near_next"))
+        fingerprint_text(F.col("e"), F.col("ec")).alias("edited_fingerprint"), "near_edited", "near_next")
