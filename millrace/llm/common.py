@@ -183,8 +183,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
                   .distinct(), f"{name}-edges")
     state = None
     while True:
-        # done when every vertex hangs on one other vertex that hangs on none
-        seen = cur.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % (1 << 40)), F.lit(0)).alias("h")).first()
+        # done when a round changed nothing: every vertex hangs on the smallest one it reaches
+        seen = cur.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
         if (seen["n"], seen["h"]) == state or seen["n"] == 0:
             break
         state = (seen["n"], seen["h"])
