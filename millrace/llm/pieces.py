@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +29,19 @@ from millrace.llm.common import read, slices, written
 CHUNK = 32_768
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-_MEMO_UNITS = 300_000
+_MEMO_UNITS = 150_000
+_DECODE_ROWS = 256
 _MEMO_LENGTH = 48
 
 
+def _lists(rows: Iterator[np.ndarray]) -> pa.ListArray:
+    """One Arrow list per row, without a Python object for each piece of the batch."""
+    rows = list(rows)
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                    pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
+
+
 def default_model() -> str:
     """The public 32,000-piece vocabulary installed beside Spark's Python."""
     import public_tokenizers
@@ -267,9 +277,8 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
         vocabulary = shared.value
         for batch in batches:
             for piece in slices(batch, "text", 4 << 20):
-                ids = [vocabulary.encode(t) for t in piece.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"),
-                                                  pa.array(ids, pa.list_(pa.int32()))], ["id", "tie", "ids"])
+                ids = _lists(np.array(vocabulary.encode(t.as_py()), np.int32) for t in piece.column("text"))
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), ids], ["id", "tie", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
@@ -303,11 +312,12 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            ids = [vocabulary.trace_chunk(t, n, k * chunk, i, j) for t, n, k, i, j in zip(
-                *(batch.column(c).to_pylist() for c in ("text", "n", "k", "entry", "leave")))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("tie"), batch.column("k"), pa.array(ids, pa.list_(pa.int32()))],
-                ["id", "tie", "k", "ids"])
+            for piece in slices(batch, "text", 4 << 20):
+                ids = _lists(np.array(vocabulary.trace_chunk(t.as_py(), n, k * chunk, i, j), np.int32)
+                             for t, n, k, i, j in zip(piece.column("text"), *(piece.column(c).to_pylist() for c in (
+                                 "n", "k", "entry", "leave"))))
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), piece.column("k"), ids],
+                                                 ["id", "tie", "k", "ids"])
 
     mark = 1 if shared.value.prefix else 0
     long_text = F.length("text") + mark > chunk
@@ -345,9 +355,10 @@ def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids", o
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            texts = [vocabulary.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())],
-                                             [*names, out])
+            for lo in range(0, batch.num_rows, _DECODE_ROWS):
+                part = batch.slice(lo, _DECODE_ROWS)
+                texts = pa.array((vocabulary.decode(ids.as_py() or []) for ids in part.column(ids_col)), pa.string())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), texts], [*names, out])
 
     return encoded.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, T.StructType(
         [*fields, T.StructField(out, T.StringType())]))
