@@ -84,6 +84,11 @@ class Vocabulary:
         apart = all(SPACE not in p.lstrip(SPACE) and ("\n" not in p) for p in self.table)
         self.unit = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if apart else r"[\s\S]+")
         self.memo: dict[str, tuple[int, ...]] = {}
+        # scores of the pieces, and None for what only begins a piece
+        self.starts: dict[str, int | None] = {p[:k]: None for p in self.table for k in range(1, len(p))}
+        self.starts.update((p, round(self.scores[i] * (1 << 20))) for p, (i, _) in self.table.items())
+        self.single = {p: i for p, (i, _) in self.table.items()}
+        self.unknown_fixed = round(self.unknown_score * (1 << 20))
 
     @staticmethod
     def _weight(score: float, piece: str) -> int:
@@ -135,11 +140,53 @@ class Vocabulary:
             at = came[at - begin]
         return [i for part in reversed(ids) for i in part]
 
+    def _untied(self, unit: str) -> list[int] | None:
+        """Where the best path's pieces begin, by scores alone; None if two paths to a place score the same."""
+        n, starts = len(unit), self.starts
+        value: list[int | None] = [None] * (n + 1)
+        came = [0] * (n + 1)
+        value[0] = 0
+        for at in range(n):
+            here = value[at]
+            for end in range(at + 1, n + 1):
+                score = starts.get(unit[at:end], False)
+                if score is None or score is False:
+                    if end == at + 1:  # a character without a piece of its own
+                        w, old = here + self.unknown_fixed, value[end]
+                        if w == old:
+                            return None
+                        if old is None or w > old:
+                            value[end], came[end] = w, at
+                    if score is False:
+                        break
+                    continue
+                w, old = here + score, value[end]
+                if old is None or w > old:
+                    value[end], came[end] = w, at
+                elif w == old:
+                    return None
+        return came
+
     def encode_unit(self, unit: str) -> tuple[int, ...]:
         found = self.memo.get(unit)
         if found is None:
-            _, came = self.forward(unit, 0, len(unit))
-            found = tuple(self.trace(unit, 0, len(unit), came))
+            came = self._untied(unit) if len(unit) <= _MEMO_LENGTH else None
+            if came is None:
+                _, came = self.forward(unit, 0, len(unit))
+                found = tuple(self.trace(unit, 0, len(unit), came))
+            else:
+                ids, at, single = [], len(unit), self.single
+                while at:
+                    start = came[at]
+                    piece = unit[start:at]
+                    one = single.get(piece)
+                    if one is None:
+                        ids.extend(reversed(self.ids_of(piece)))
+                    else:
+                        ids.append(one)
+                    at = start
+                ids.reverse()
+                found = tuple(ids)
             if len(unit) <= _MEMO_LENGTH:
                 if len(self.memo) >= _MEMO_UNITS:
                     self.memo.clear()
