@@ -83,7 +83,9 @@ class Vocabulary:
         # then texts fall apart into units that are encoded on their own
         apart = all(SPACE not in p.lstrip(SPACE) and ("\n" not in p) for p in self.table)
         self.unit = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if apart else r"[\s\S]+")
+        # two generations: the older one goes when the younger is full, what is used again stays
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         # scores of the pieces, and None for what only begins a piece
         self.starts: dict[str, int | None] = {p[:k]: None for p in self.table for k in range(1, len(p))}
         self.starts.update((p, round(self.scores[i] * (1 << 20))) for p, (i, _) in self.table.items())
@@ -168,7 +170,7 @@ class Vocabulary:
         return came
 
     def encode_unit(self, unit: str) -> tuple[int, ...]:
-        found = self.memo.get(unit)
+        found = self.old.get(unit)
         if found is None:
             came = self._untied(unit) if len(unit) <= _MEMO_LENGTH else None
             if came is None:
@@ -187,10 +189,10 @@ class Vocabulary:
                     at = start
                 ids.reverse()
                 found = tuple(ids)
-            if len(unit) <= _MEMO_LENGTH:
-                if len(self.memo) >= _MEMO_UNITS:
-                    self.memo.clear()
-                self.memo[unit] = found
+        if len(unit) <= _MEMO_LENGTH:
+            if len(self.memo) >= _MEMO_UNITS:
+                self.old, self.memo = self.memo, {}
+            self.memo[unit] = found
         return found
 
     def normalise(self, text: str | None) -> str:
@@ -199,10 +201,9 @@ class Vocabulary:
         return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
 
     def encode(self, text: str | None) -> list[int]:
-        memo = self.memo
         out: list[int] = []
         for unit in self.unit.findall(self.normalise(text)):
-            out += memo.get(unit) or self.encode_unit(unit)
+            out += self.memo.get(unit) or self.encode_unit(unit)
         return out
 
     def decode(self, ids: list[int]) -> str:
