@@ -190,9 +190,11 @@ def _pack(a: np.ndarray) -> bytes:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                        similarity: tuple[int, int] = SIMILARITY, bits: int = BITMAP_BITS,
-                       block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                       block_tokens: int = BLOCK_TOKENS, tie: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_shingles`` and ``component_id``.
 
+    With ``tie`` also ``tie`` (xxhash64 of the text), which tells rows that repeat an id apart.
+
     ``component_id`` is the smallest id reachable by links, the row's own included.
     Words are runs of characters other than ASCII white space, A-Z lower-cased.
     Texts without words (null, empty, blank) have no shingle and link with nothing.
@@ -203,7 +205,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
     parts = shuffle_parts(spark)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                         *([F.xxhash64(F.col(text_col)).alias("tie")] if tie else []))
+    ties = ["ties"] if tie else []
 
     def count_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +226,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)),
         T.StructField("n", T.ArrayType(T.LongType())), T.StructField("sets", T.ArrayType(T.LongType())),
         T.StructField("names", T.BinaryType()), T.StructField("sizes", T.BinaryType()),
-        T.StructField("tokens", T.BinaryType())])
+        T.StructField("tokens", T.BinaryType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ties)])
 
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = 0
@@ -246,7 +250,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), pa.array(size, pa.int64())),
                      pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), pa.array(name.view(np.int64))),
                      pa.array([_pack(name[keep])], pa.binary()), pa.array([_pack(size[keep])], pa.binary()),
-                     pa.array([_pack(token[chosen])], pa.binary())],
+                     pa.array([_pack(token[chosen])], pa.binary()),
+                     *(pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), piece.column("tie")) for _ in ties)],
                     [f.name for f in block_schema.fields])
                 serial += 1
 
@@ -395,27 +400,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             links.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id")))
     else:
         linked = connected_components(links, "links")
-    rows = blocks.select(F.explode(F.arrays_zip("ids", "n", "sets")).alias("r")).select(
-        F.col("r.ids").alias("id"), F.col("r.n").alias("n"), F.col("r.sets").alias("set"))
+    tie_of = ["tie"] if tie else []
+    rows = blocks.select(F.explode(F.arrays_zip("ids", "n", "sets", *ties)).alias("r")).select(
+        F.col("r.ids").alias("id"), F.col("r.n").alias("n"), F.col("r.sets").alias("set"),
+        *(F.col("r.ties").alias(c) for c in tie_of))
     vertex = written(rows.join(linked, rows["set"] == linked["id"], "left").select(
-        rows["id"].alias("id"), "n", F.when(F.col("n") == 0, None).otherwise(
+        rows["id"].alias("id"), "n", *tie_of, F.when(F.col("n") == 0, None).otherwise(
             F.coalesce("component", "set")).alias("root")), "rows-by-component")
     least = written(vertex.filter("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id")), "least-ids")
     return vertex.join(least, "root", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *tie_of)
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                        similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """``docs`` without near duplicates: of each linked group the smallest id stays (all rows of that id).
+    """``docs`` without near duplicates: of each linked group the smallest id stays (all its rows in the group).
 
-    Rows with a null id stay where nothing with an id links with them.
+    Rows go by id and text: what repeats an id, or has none, stays where its own
+    text is no near copy. Rows with a null id stay where nothing with an id links
+    with them.
     """
-    found = jaccard_components(docs, id_col, text_col, words, similarity)
+    found = jaccard_components(docs, id_col, text_col, words, similarity, tie=True)
     dropped = written(found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("__gone")).distinct(), "near-copies")
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+        F.col(id_col).alias("__gone"), F.col("tie").alias("__tie")).distinct(), "near-copies")
+    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__gone"))
+                     & (F.xxhash64(F.col(text_col)) == F.col("__tie")), "left_anti")
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

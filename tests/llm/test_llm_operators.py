@@ -493,6 +493,19 @@ def test_keep_one_per_group(awkward):
     assert 6 in ids and 7 not in ids and 8 not in ids and 9 in ids
 
 
+def test_keep_one_per_group_goes_by_text(spark, awkward):
+    """Rows without an id, or of a repeated one, stay where their own text is no near copy."""
+    kept = Counter(_pairs(ngram_join.keep_one_per_group(awkward)))
+    assert kept[None, None] == 1 and kept[None, "one two three"] == 0 and kept[5, "one two three"] == 1
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base), (2, base + " end"), (2, "some other clean text that stays"), (2, None), (None, "clean one of none"),
+            (None, base + " tail"), (None, ""), (3, "text of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tie", F.lit(1))
+    gone = {(2, base + " end"), (None, base + " tail")}
+    got = ngram_join.keep_one_per_group(docs)
+    assert got.columns == docs.columns and Counter(_pairs(got)) == Counter(r for r in rows if r not in gone)
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(-50, 400), rng.randrange(-50, 400)) for _ in range(220)] + [(i, i + 1) for i in range(500, 530)]
