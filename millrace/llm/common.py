@@ -140,18 +140,31 @@ def recurring_bitmap(counts: DataFrame, bits: int) -> np.ndarray:
     ``bits / 64`` rows reach the driver. The map may let other keys through and
     never misses one.
     """
+    return count_bitmaps(counts, bits, [1])[0]
+
+
+def count_bitmaps(counts: DataFrame, bits: int, above: list[int]) -> list[np.ndarray]:
+    """The same for several bounds at once: a bitmap of the keys whose summed counts exceed each one."""
+    masks = [f"mask{k}" for k in range(len(above))]
+
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = _bit_places(batch.column("key").to_numpy().view(np.uint64), bits)
+            n = np.tile(batch.column("n").to_numpy(), 2)
             at = np.concatenate((a, b))
+            mask = np.left_shift(np.int64(1), at & 63)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], ["slot", "mask"])
-
-    again = counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    slots = again.mapInArrow(places, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    bitmap = np.zeros(bits >> 6, np.uint64)
-    bitmap[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
-    return bitmap
+                [pa.array(at >> 6), *(pa.array(np.where(n > bound, mask, 0)) for bound in above)], ["slot", *masks])
+
+    slots = (counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > min(above))
+             .mapInArrow(places, ", ".join(["slot long", *(f"{m} long" for m in masks)]))
+             .groupBy("slot").agg(*(F.bit_or(m).alias(m) for m in masks)).toArrow())
+    bitmaps = []
+    for mask in masks:
+        bitmap = np.zeros(bits >> 6, np.uint64)
+        bitmap[slots["slot"].to_numpy()] = slots[mask].to_numpy().view(np.uint64)
+        bitmaps.append(bitmap)
+    return bitmaps
 
 
 def may_recur(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:

@@ -8,6 +8,8 @@ occurrences under one anchor. The job
 1. counts anchors over all documents and keeps those that occur again, as a
    bitmap of fixed size (it may let others through, it never misses one);
 2. sends the stretches of text around such anchors to the shard of their anchor;
+   where an anchor has more of them than a shard takes in at once (the borders of a
+   hot passage differ in every document), each window goes to a shard of its own;
 3. confirms in each shard which windows recur, compiles those into automata of
    bounded size, streams the shard's stretches through them and so finds every
    occurrence; all but the earliest one are to be removed;
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import (hash_strings, may_recur, mix64, read, recurring_bitmap, row_of, slices, split_words,
+from millrace.llm.common import (count_bitmaps, hash_strings, may_recur, mix64, read, row_of, slices, split_words,
                                  window_hashes, word_codes)
 
 WINDOW = 20
@@ -87,17 +89,31 @@ def _same_words(h: np.ndarray, begin: np.ndarray, count: np.ndarray, window: int
     return mix64(mix64(head) * np.uint64(3) + mix64(tail) * np.uint64(5) + count.astype(np.uint64))
 
 
-def recurring_anchors(docs: DataFrame, text_col: str, window: int, gram: int, bits: int) -> np.ndarray:
-    """Bitmap of the anchors that occur more than once in all of ``docs``."""
+def recurring_anchors(docs: DataFrame, text_col: str, window: int, gram: int, bits: int,
+                      shard_windows: int = SHARD_WINDOWS) -> list[np.ndarray]:
+    """Bitmaps of the anchors that occur more than once in all of ``docs``, and of the hot ones.
+
+    Stretches that are equal inside a slice of text travel once, and count once; an
+    anchor is hot where they can hold more windows than ``shard_windows``.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                anchor = _segments(piece.column("text"), window, gram)[6]
-                found, n = np.unique(anchor, return_counts=True)
+                _, offsets, h, row, pos, windows, anchor = _segments(piece.column("text"), window, gram)
+                found, place, n = np.unique(anchor, return_inverse=True, return_counts=True)
+                again = np.flatnonzero(n[place] > 1)
+                if len(again):
+                    run = _same_words(h, (offsets[row] + pos)[again], windows[again], window)
+                    order = np.lexsort((run, place[again]))
+                    run, at = run[order], place[again][order]
+                    new = np.ones(len(run), bool)
+                    new[1:] = (run[1:] != run[:-1]) | (at[1:] != at[:-1])
+                    n = np.where(n > 1, np.maximum(2, np.bincount(at[new], minlength=len(n))), 1)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
                                                  ["key", "n"])
 
-    return recurring_bitmap(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "key long, n long"), bits)
+    return count_bitmaps(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "key long, n long"), bits,
+                         [1, max(1, shard_windows // (window - gram + 1))])
 
 
 def _letters(count: int) -> list[str] | None:
@@ -186,35 +202,36 @@ def _locate(rows: list[tuple], window: int) -> Iterator[tuple]:
                             yield order[1], order[2], pos + begin, pos + end
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, bits: int = BITMAP_BITS) -> DataFrame:
-    """Spans of words (``start`` to ``end``, exclusive) covered by windows that also start earlier.
+def keyed_stretches(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, bits: int,
+                    shard_windows: int) -> DataFrame:
+    """Stretches of text that may hold repeats: ``key``, ``id``, ``tie``, ``pos``, ``n`` windows, ``text``.
 
-    Columns: the id, ``tie`` (xxhash64 of the text), ``start``, ``end``. Spans may
-    overlap. Of equal windows the one in the smallest id, then at the smallest
-    word, is the earliest; null ids come last; one id with several texts orders
-    them by ``tie``; rows that repeat id and text are one document.
+    Equal windows have equal keys. A null text is a repeat that is settled already.
     """
-    gram = min(gram, window)
-    bitmap = recurring_anchors(docs, text_col, window, gram, bits)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    recurring, hot = map(docs.sparkSession.sparkContext.broadcast,
+                         recurring_anchors(docs, text_col, window, gram, bits, shard_windows))
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", id_type),
                            T.StructField("tie", T.LongType()), T.StructField("pos", T.IntegerType()),
                            T.StructField("n", T.IntegerType()), T.StructField("text", T.StringType())])
-    spans = T.StructType([T.StructField(id_col, id_type), T.StructField("tie", T.LongType()),
-                          T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words, offsets, h, row, pos, n, anchor = _segments(piece.column("text"), window, gram)
-                use = np.flatnonzero(may_recur(anchor, shared.value))
+                use = np.flatnonzero(may_recur(anchor, recurring.value))
                 if not len(use):
                     continue
                 row, pos, n, anchor = row[use], pos[use], n[use], anchor[use]
+                alone = may_recur(anchor, hot.value)
+                if alone.any():  # windows of hot anchors, one by one
+                    times = np.where(alone, n, 1)
+                    of = np.repeat(np.arange(len(n)), times)
+                    pos = pos[of] + np.arange(len(of)) - (np.cumsum(times) - times)[of]
+                    row, n, anchor, alone = row[of], np.where(alone, 1, n)[of], anchor[of], alone[of]
                 base = offsets[row] + pos
                 run = _same_words(h, base, n, window)
+                anchor = np.where(alone, mix64(anchor ^ run), anchor)
                 ident, tie = piece.column("id"), piece.column("tie").to_numpy(zero_copy_only=False)
                 keys = ident.to_pylist()
                 # of equal stretches in this slice the earliest goes on; the others are repeats for certain
@@ -232,6 +249,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     for i, f in zip(order[same].tolist(), head[same].tolist()):
                         if (keys[row[i]], tie[row[i]], pos[i]) == (keys[row[f]], tie[row[f]], pos[f]):
                             repeat[i] = False
+                # repeats that follow one another are one row
+                joins = np.zeros(len(row), bool)
+                joins[1:] = repeat[1:] & repeat[:-1] & (row[1:] == row[:-1]) & (pos[1:] == pos[:-1] + n[:-1])
+                head = np.flatnonzero(~joins)
+                n = np.add.reduceat(n, head)
+                row, pos, anchor, base, repeat = row[head], pos[head], anchor[head], base[head], repeat[head]
                 text = [None] * len(row)
                 lo, hi = (int(base.min()), int((base + n).max()) + window - 1)
                 flat = words.slice(lo, hi - lo).to_pylist()
@@ -243,6 +266,24 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      pa.array(pos, pa.int32()), pa.array(n, pa.int32()), pa.array(text, pa.string())],
                     ["key", "id", "tie", "pos", "n", "text"])
 
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"),
+                         F.col(text_col).alias("text"))
+    return source.mapInArrow(stretches, schema)
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   gram: int = GRAM, bits: int = BITMAP_BITS, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
+    """Spans of words (``start`` to ``end``, exclusive) covered by windows that also start earlier.
+
+    Columns: the id, ``tie`` (xxhash64 of the text), ``start``, ``end``. Spans may
+    overlap. Of equal windows the one in the smallest id, then at the smallest
+    word, is the earliest; null ids come last; one id with several texts orders
+    them by ``tie``; rows that repeat id and text are one document.
+    """
+    gram = min(gram, window)
+    spans = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("tie", T.LongType()),
+                          T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, windows, last = [], 0, None
 
@@ -259,7 +300,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if text is None:
                     direct.append((ident, tie, pos, pos + n + window - 1))
                     continue
-                if windows >= SHARD_WINDOWS and key != last:
+                if windows >= shard_windows and key != last:
                     yield out(list(_locate(held, window)))
                     held, windows = [], 0
                 held.append((key, ident, tie, pos, text))
@@ -269,16 +310,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if held:
             yield out(list(_locate(held, window)))
 
-    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"),
-                         F.col(text_col).alias("text"))
     # repeats that are settled already only pass through: they are dealt out evenly
-    return (source.mapInArrow(stretches, schema)
+    return (keyed_stretches(docs, id_col, text_col, window, gram, bits, shard_windows)
             .withColumn("key", F.when(F.col("text").isNull(), F.xxhash64("key", "id", "pos")).otherwise(F.col("key")))
             .repartition("key").sortWithinPartitions("key").mapInArrow(shard, spans))
 
 
 def drop_repeated_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          window: int = WINDOW, gram: int = GRAM, bits: int = BITMAP_BITS) -> DataFrame:
+                          window: int = WINDOW, gram: int = GRAM, bits: int = BITMAP_BITS,
+                          shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """Per row of ``docs``: the id, ``n_words``, ``n_removed``, ``kept_text`` (kept words, one space between).
 
     A word goes when a window that covers it, judged on the input, also starts
@@ -286,7 +326,7 @@ def drop_repeated_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lose none. Rows that repeat id and text give equal rows; other columns are
     not read; an empty table gives no rows.
     """
-    spans = repeated_spans(docs, id_col, text_col, window, gram, bits)
+    spans = repeated_spans(docs, id_col, text_col, window, gram, bits, shard_windows)
     by_doc = (spans.groupBy(F.col(id_col).alias("__id"), F.col("tie").alias("__tie"))
               .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"),

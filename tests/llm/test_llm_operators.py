@@ -102,6 +102,31 @@ def test_repeated_phrases_on_the_table(documents):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == {i: v for (i, _), v in want.items()}
 
 
+def test_hot_passage_is_dealt_out_by_window(spark, awkward):
+    """A passage in every document: its borders share an anchor, and no key gathers the documents."""
+    rng = random.Random(4)
+
+    def own(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage, docs = own(30), []
+    for i in range(300):
+        docs.append((i, " ".join(own(25) + passage + own(25))))
+    docs += [(i, " ".join(own(3) + passage[2:] + ["shared"] + own(4))) for i in range(300, 340)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+
+    def largest(shard_windows):
+        return (repeated_phrases.keyed_stretches(frame, "doc_id", "text", 20, 8, 1 << 16, shard_windows)
+                .filter("text IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0])
+
+    assert largest(10**9) > 1000 and largest(130) <= 130
+    for df, limit, window, gram in ((frame, 130, 20, 8), (awkward.filter("doc_id IS NOT NULL"), 1, 5, 2)):
+        rows = _pairs(df)
+        got = repeated_phrases.drop_repeated_phrases(df, window=window, gram=gram, bits=1 << 16, shard_windows=limit)
+        want = Counter((i, *v) for (i, t), v in _removed(rows, window).items() for _ in range(rows.count((i, t))))
+        assert Counter(map(tuple, got.collect())) == want
+
+
 def test_automata_of_many_words(monkeypatch):
     """Beyond one character per word the automata take numbers."""
     rows = [(1, 1, 0, 0, "a b c d e"), (1, 2, 0, 3, "a b c d f"), (1, 3, 0, 0, "x b c d e")]
