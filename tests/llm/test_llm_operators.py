@@ -293,6 +293,17 @@ def test_next_row_wraps_and_repeats(spark):
                    ((True, -1), "", "a")]
 
 
+def test_paragraphs_are_cut_after_120_characters(spark):
+    """An edit of the last sentence leaves the three before it as they are."""
+    a = " ".join(f"{k}" * 130 + "." for k in range(4))
+    b = a[:len(a) * 3 // 4] + "x" * (len(a) // 4)
+    df = spark.createDataFrame([(a, b, "y" * 800)], "a string, b string, long string").select(
+        *[bloom_lookup.digests(F.col(c)).alias(c) for c in ("a", "b", "long")])
+    df = df.select("*", *[bloom_lookup.fingerprint_cells(F.col(c)).alias(c + "c") for c in "ab"])
+    row = bloom_lookup.with_likeness(df, "a", "b", "ac", "bc", "near").first()
+    assert len(row["a"]) == 4 and row["near"] == pytest.approx(0.75) and len(row["long"]) == 1
+
+
 def test_sketch_peels_larger_differences(spark):
     a, b = list(range(300)), list(range(40, 420))
     df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
