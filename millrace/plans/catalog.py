@@ -764,6 +764,18 @@ def q_lsh_candidates(spark, sf):
     return found.select("a", "b", F.round("score", 6).alias("score"))
 
 
+@register("vector_pairs", f"""
+WITH u AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS s FROM u a JOIN u b ON a.id < b.id)
+SELECT a, b, round(s, 6) AS score FROM p WHERE s > {NEAR_DUP_THRESHOLD}
+""")
+def q_vector_pairs(spark, sf):
+    """The table's own pairs above the near-duplicate threshold, by exact blocks (LSH is no filter there)."""
+    from millrace.operators.similarity import dense_pairs
+    found = dense_pairs(table(spark, sf, "embeddings"), NEAR_DUP_THRESHOLD, "vec_id")
+    return found.select("a", "b", F.round("score", 6).alias("score"))
+
+
 @register("ivf_topk", f"""
 WITH u AS (SELECT vec_id, embedding FROM embeddings),
 p AS (SELECT a.vec_id, b.vec_id AS match_id,

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.similarity import ivf_knn, knn, lsh_pairs
+from millrace.operators.similarity import dense_pairs, ivf_knn, knn, lsh_pairs
 from millrace.session import table
 
 
@@ -32,6 +32,17 @@ def test_ivf_and_lsh_recall(spark, sf_small):
     assert lsh <= brute and len(lsh) >= 0.9 * len(brute)
 
 
+def test_dense_pairs_are_all_pairs_of_the_table(spark, sf_small):
+    import __spark_entry__ as E
+    emb = table(spark, sf_small, "embeddings")
+    brute = {(min(a, b), max(a, b)) for (a, b), s in _pairs(knn(emb, emb, 500, "vec_id", "vec_id",
+                                                                   exclude_self=True)).items() if s > 0.3}
+    for found in (dense_pairs(emb, 0.3, "vec_id"), dense_pairs(emb, 0.3, "vec_id", block_rows=70),
+                  E.queries()["vector_pairs"](spark, sf_small)):
+        got = [(r["a"], r["b"]) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == brute and brute
+
+
 @pytest.mark.parametrize("n", [1, 7])
 def test_results_do_not_depend_on_partitioning(spark, sf_small, n):
     import __spark_entry__ as E
