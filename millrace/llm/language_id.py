@@ -117,12 +117,26 @@ def fit_language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "la
                     [part.column("lang"), pa.array([c.astype(np.float32).tobytes() for c in counts], pa.binary())],
                     ["lang", "grams"])
 
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts that hold each n-gram, one row per n-gram and task."""
+        total = np.zeros(dims, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, _PIECE_ROWS):
+                counts, _ = ngram_counts(batch.slice(lo, _PIECE_ROWS).column("text"), dims)
+                total += (np.asarray(counts) > 0).sum(0)
+        gram = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int32()), pa.array(total[gram])], ["gram", "n"])
+
     sample = known.filter(taken).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     seen = sample.mapInArrow(vectors, "lang string, grams binary").limit(2 * rows_per_lang * len(langs)).collect()
     seen = sorted((r["lang"], bytes(r["grams"])) for r in seen)
     x = np.array([np.frombuffer(g, np.float32) for _, g in seen], np.float64)
     y = np.array([langs.index(lang) for lang, _ in seen])
-    model["idf"] = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1
+    frequency = np.zeros(dims)
+    for r in (known.select(F.col(text_col).alias("text")).mapInArrow(frequencies, "gram int, n long")
+              .groupBy("gram").agg(F.sum("n").alias("n")).collect()):
+        frequency[r["gram"]] = r["n"]
+    model["idf"] = np.log((1 + sum(share.values())) / (1 + frequency)) + 1
     x = _unit(np.log1p(x) * model["idf"])
     rng = np.random.default_rng(2)
     centres, lang_of, radius = [], [], []

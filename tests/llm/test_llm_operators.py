@@ -146,6 +146,16 @@ def test_language_id_held_out_accuracy(spark):
     assert n > 100 and right > 0.95
 
 
+def test_language_id_counts_all_training_texts(spark, documents):
+    """The sample fits centroids; document frequencies come from every labelled text."""
+    import numpy as np
+    import pyarrow as pa
+    texts = [r["text"] for r in documents.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).collect()]
+    counts, _ = language_id.ngram_counts(pa.array(texts), language_id.DIMS)
+    want = np.log((1 + len(texts)) / (1 + (np.asarray(counts) > 0).sum(0))) + 1
+    assert np.allclose(language_id.fit_language_id(documents, rows_per_lang=10)["idf"], want)
+
+
 def test_language_id_awkward(awkward, empty, documents):
     model = language_id.fit_language_id(documents, rows_per_lang=30)
     rows = language_id.identify_language(awkward, model).collect()
