@@ -38,6 +38,8 @@ BITMAP_BITS = 1 << 26
 BLOCK_TOKENS = 2_000_000
 #: Share of a set that must recur among the tokens of its long prefix.
 COMMON_SHARE = 0.25
+#: Bytes of text whose shingles a task holds at once, and that one block of sets covers.
+TEXT_BYTES = 2 << 20
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,6 +190,12 @@ def _pack(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
+def _unpacked(batch: pa.RecordBatch, *columns: tuple[str, type]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Packed numbers of each row, read in place: no copy of a whole batch of blocks."""
+    for row in range(batch.num_rows):
+        yield tuple(np.frombuffer(batch.column(c)[row].as_buffer(), t) for c, t in columns)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                        similarity: tuple[int, int] = SIMILARITY, bits: int = BITMAP_BITS,
                        block_tokens: int = BLOCK_TOKENS, tie: bool = False) -> DataFrame:
@@ -211,7 +219,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def count_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", TEXT_BYTES):
                 row, token, size = shingle_sets(piece.column("text"), words)
                 prefix, _ = _long_prefix(size, similarity)
                 rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
@@ -231,7 +239,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = 0
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", TEXT_BYTES):
                 row, token, size = shingle_sets(piece.column("text"), words)
                 prefix, least = _long_prefix(size, similarity)
                 rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
@@ -268,8 +276,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, raw in zip(batch.column("block").to_pylist(), batch.column("tokens").to_pylist()):
-                tokens, n, cuts, _ = shares(np.frombuffer(raw, np.uint64))
+            for block, (raw,) in zip(batch.column("block").to_pylist(), _unpacked(batch, ("tokens", np.uint64))):
+                tokens, n, cuts, _ = shares(raw)
                 to = [s for s in range(parts) if cuts[s + 1] > cuts[s]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(to, pa.int32()), pa.array([block] * len(to), pa.int64()),
@@ -293,12 +301,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names, sizes, raw, got in zip(*(batch.column(c).to_pylist() for c in (
-                    "names", "sizes", "tokens", "answers"))):
-                names, sizes = np.frombuffer(names, np.uint64), np.frombuffer(sizes, np.int64)
-                tokens = np.frombuffer(raw, np.uint64)
+            for at, (names, sizes, tokens) in enumerate(_unpacked(
+                    batch, ("names", np.uint64), ("sizes", np.int64), ("tokens", np.uint64))):
                 place = shares(tokens)[3]
-                n = np.concatenate([np.frombuffer(a["n"], np.uint32) for a in got])[place]
+                got = batch.column("answers")[at].values.field("n")
+                n = np.concatenate([np.frombuffer(a.as_buffer(), np.uint32) for a in got])[place]
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 order = np.lexsort((tokens, n, row))  # rare tokens first
                 rank = np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
@@ -341,9 +348,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names, sizes, raw, mine, group in zip(*(batch.column(c).to_pylist() for c in (
-                    "names", "sizes", "tokens", "mine", "groups"))):
-                names, sizes = np.frombuffer(names, np.int64), np.frombuffer(sizes, np.int64)
+            for at, (names, sizes, raw) in enumerate(_unpacked(
+                    batch, ("names", np.int64), ("sizes", np.int64), ("tokens", np.uint64))):
+                mine, group = batch.column("mine")[at].as_py(), batch.column("groups")[at].as_py()
+                raw = raw.tobytes()
                 ends = dict(zip(names.tolist(), zip((np.cumsum(sizes) * 8).tolist(), sizes.tolist())))
                 cut = [ends[m] for m in mine]
                 yield pa.RecordBatch.from_arrays(
