@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,7 @@ CHUNK = 32_768
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 _MEMO_UNITS = 150_000
+_UNITS_AT_ONCE = 8_192
 _DECODE_ROWS = 256
 _MEMO_LENGTH = 48
 
@@ -83,14 +85,11 @@ class Vocabulary:
         # then texts fall apart into units that are encoded on their own
         apart = all(SPACE not in p.lstrip(SPACE) and ("\n" not in p) for p in self.table)
         self.unit = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if apart else r"[\s\S]+")
-        # two generations: the older one goes when the younger is full, what is used again stays
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-        # scores of the pieces, and None for what only begins a piece
-        self.starts: dict[str, int | None] = {p[:k]: None for p in self.table for k in range(1, len(p))}
-        self.starts.update((p, round(self.scores[i] * (1 << 20))) for p, (i, _) in self.table.items())
-        self.single = {p: i for p, (i, _) in self.table.items()}
-        self.unknown_fixed = round(self.unknown_score * (1 << 20))
+        # pieces of units by their packed ids; two generations: the older one goes when the
+        # younger is full, what is used again stays
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.trie: PieceTrie | None = None
 
     @staticmethod
     def _weight(score: float, piece: str) -> int:
@@ -142,69 +141,48 @@ class Vocabulary:
             at = came[at - begin]
         return [i for part in reversed(ids) for i in part]
 
-    def _untied(self, unit: str) -> list[int] | None:
-        """Where the best path's pieces begin, by scores alone; None if two paths to a place score the same."""
-        n, starts = len(unit), self.starts
-        value: list[int | None] = [None] * (n + 1)
-        came = [0] * (n + 1)
-        value[0] = 0
-        for at in range(n):
-            here = value[at]
-            for end in range(at + 1, n + 1):
-                score = starts.get(unit[at:end], False)
-                if score is None or score is False:
-                    if end == at + 1:  # a character without a piece of its own
-                        w, old = here + self.unknown_fixed, value[end]
-                        if w == old:
-                            return None
-                        if old is None or w > old:
-                            value[end], came[end] = w, at
-                    if score is False:
-                        break
-                    continue
-                w, old = here + score, value[end]
-                if old is None or w > old:
-                    value[end], came[end] = w, at
-                elif w == old:
-                    return None
-        return came
-
-    def encode_unit(self, unit: str) -> tuple[int, ...]:
-        found = self.old.get(unit)
-        if found is None:
-            came = self._untied(unit) if len(unit) <= _MEMO_LENGTH else None
-            if came is None:
-                _, came = self.forward(unit, 0, len(unit))
-                found = tuple(self.trace(unit, 0, len(unit), came))
-            else:
-                ids, at, single = [], len(unit), self.single
-                while at:
-                    start = came[at]
-                    piece = unit[start:at]
-                    one = single.get(piece)
-                    if one is None:
-                        ids.extend(reversed(self.ids_of(piece)))
-                    else:
-                        ids.append(one)
-                    at = start
-                ids.reverse()
-                found = tuple(ids)
-        if len(unit) <= _MEMO_LENGTH:
-            if len(self.memo) >= _MEMO_UNITS:
-                self.old, self.memo = self.memo, {}
-            self.memo[unit] = found
-        return found
+    def learn(self, units: set[str]) -> None:
+        """Encode what the memo lacks of ``units``, all together; afterwards it has them all."""
+        if len(self.memo) >= _MEMO_UNITS:
+            self.old, self.memo = self.memo, {}
+        memo, old = self.memo, self.old
+        fresh = units.difference(memo)
+        if old:
+            again = fresh.intersection(old)
+            memo.update((u, old[u]) for u in again)
+            fresh -= again
+        short = sorted((u for u in fresh if len(u) <= _MEMO_LENGTH), key=len, reverse=True)
+        if short and self.trie is None:
+            self.trie = PieceTrie(self)
+        for lo in range(0, len(short), _UNITS_AT_ONCE):
+            part = short[lo:lo + _UNITS_AT_ONCE]
+            memo.update(zip(part, self.trie.encode(part)))
+
+    def encode_units(self, units: list[str]) -> np.ndarray:
+        """Ids of units one after the other; ``learn`` has seen them."""
+        memo = self.memo
+        try:
+            return np.frombuffer(b"".join(map(memo.__getitem__, units)), np.int32)
+        except KeyError:  # units too long for the memo
+            return np.concatenate([np.frombuffer(memo[u], np.int32) if u in memo else self._long_unit(u) for u in units])
+
+    def _long_unit(self, unit: str) -> np.ndarray:
+        _, came = self.forward(unit, 0, len(unit))
+        return np.array(self.trace(unit, 0, len(unit), came), np.int32)
 
     def normalise(self, text: str | None) -> str:
         if not text:
             return ""
         return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
 
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; the units of all of them are encoded together."""
+        units = [self.unit.findall(self.normalise(t)) for t in texts]
+        self.learn(set().union(*units))
+        return [self.encode_units(u) for u in units]
+
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for unit in self.unit.findall(self.normalise(text)):
-            out += self.memo.get(unit) or self.encode_unit(unit)
-        return out
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -275,12 +253,170 @@ class Vocabulary:
         first, final = cuts
         _, came = self.forward(text, entry, first, base)
         ids = self.trace(text, entry, first, came)
-        for unit in self.unit.findall(text, first, final):
-            ids += self.memo.get(unit) or self.encode_unit(unit)
+        units = self.unit.findall(text, first, final)
+        self.learn(set(units))
+        ids += self.encode_units(units).tolist()
         _, came = self.forward(text, final, end, base, until=n)
         return ids + self.trace(text, final, end, came)
 
 
+class PieceTrie:
+    """The pieces of a vocabulary as a trie of numbered states, walked by many units at a time.
+
+    A step is looked up by (state, code point) in tables of 64-bit keys: what two
+    keys claim in one table the later one has in the next.
+    """
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        steps: dict[tuple[int, str], int] = {}
+        ends: list[int] = [-1]
+        for piece, (number, _) in vocabulary.table.items():
+            state = 0
+            for ch in piece:
+                after = steps.get((state, ch))
+                if after is None:
+                    after = steps[state, ch] = len(ends)
+                    ends.append(-1)
+                state = after
+            ends[state] = number
+        self.piece = np.array(ends, np.int32)
+        crc = {i: zlib.crc32(p.encode("utf-8", "surrogatepass")) for p, (i, _) in vocabulary.table.items()}
+        self.score = np.array([round(vocabulary.scores[i] * (1 << 20)) if i >= 0 else 0 for i in ends], np.int64)
+        self.crc = np.array([crc.get(i, 0) for i in ends], np.int64)
+        self.unknown = round(vocabulary.unknown_score * (1 << 20))
+        self.root = np.full(sys.maxunicode + 1, -1, np.int32)
+        for (state, ch), after in steps.items():
+            if not state:
+                self.root[ord(ch)] = after
+        key = np.array([(state << 21) | ord(ch) for state, ch in steps], np.int64)
+        to = np.array(list(steps.values()), np.int32)
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.uint64]] = []
+        while len(key):
+            size = 1 << max(4, (4 * len(key)).bit_length())
+            salt = np.uint64(2 * len(self.tables) + 1)
+            keys, values = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+            slot = self._slot(key, salt, size)
+            _, first = np.unique(slot, return_index=True)
+            keys[slot[first]], values[slot[first]] = key[first], to[first]
+            self.tables.append((keys, values, salt))
+            rest = np.ones(len(key), bool)
+            rest[first] = False
+            key, to = key[rest], to[rest]
+
+    @staticmethod
+    def _slot(key: np.ndarray, salt: np.uint64, size: int) -> np.ndarray:
+        h = (key.view(np.uint64) + salt) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return (h >> np.uint64(64 - size.bit_length() + 1)).view(np.int64)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The state after each code point, or -1."""
+        key = (state.astype(np.int64) << 21) | code
+        out = np.full(len(key), -1, np.int32)
+        open_ = None
+        for keys, values, salt in self.tables:
+            asked = key if open_ is None else key[open_]
+            slot = self._slot(asked, salt, len(keys))
+            found = keys[slot]
+            hit = np.flatnonzero(found == asked)
+            out[hit if open_ is None else open_[hit]] = values[slot[hit]]
+            other = np.flatnonzero((found != asked) & (found >= 0))  # another key has the slot
+            open_ = other if open_ is None else open_[other]
+            if not len(open_):
+                break
+        return out
+
+    def encode(self, units: list[str]) -> list[bytes]:
+        """Packed ids of the best path of each unit. ``units`` come by falling length.
+
+        Paths are compared by score alone; units in which two paths to a place score
+        the same are done again by the vocabulary's whole order: score, then the
+        hashes of the pieces, then where the pieces begin.
+        """
+        out, tied = self._paths(units, False)
+        again = np.flatnonzero(tied).tolist()
+        if again:
+            for k, ids in zip(again, self._paths([units[k] for k in again], True)[0]):
+                out[k] = ids
+        return out
+
+    def _paths(self, units: list[str], whole_order: bool) -> tuple[list[bytes], np.ndarray]:
+        """Packed ids of each unit, and which ones have places that two paths reach with one score."""
+        length = np.array([len(u) for u in units], np.int64)
+        m, width = len(units), int(length[0])
+        flat = np.zeros((m, width), np.int64)
+        flat[np.arange(width)[None, :] < length[:, None]] = np.frombuffer(
+            "".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.ascontiguousarray(flat.T)
+        # one array per place, an entry per unit
+        score = np.full((width + 1, m), np.iinfo(np.int64).min // 2)
+        score[0] = 0
+        came, via = np.zeros((width + 1, m), np.int16), np.full((width + 1, m), -1, np.int32)
+        crc, begins = np.zeros((2, width + 1, m), np.int64) if whole_order else (None, None)
+        tied = np.zeros(m, bool)
+        alive = np.searchsorted(-length, -np.arange(width), side="left")  # units longer than each place
+
+        def offer(row: np.ndarray, at: int, end: int, gain: np.ndarray | int, mark: np.ndarray | None, state: np.ndarray) -> None:
+            s, s0 = score[at].take(row) + gain, score[end].take(row)
+            better, same = s > s0, s == s0
+            if whole_order:
+                c, p = crc[at].take(row) + mark, begins[at].take(row) + at
+                c0, p0 = crc[end].take(row), begins[end].take(row)
+                better |= same & ((c < c0) | ((c == c0) & (p < p0)))
+            elif same.any():
+                tied[row[same]] = True
+            use = np.flatnonzero(better)
+            r = row.take(use)
+            score[end][r], came[end][r], via[end][r] = s.take(use), at, state.take(use)
+            if whole_order:
+                crc[end][r], begins[end][r] = c.take(use), p.take(use)
+
+        for at in range(width):
+            row = np.arange(alive[at])
+            state = self.root.take(codes[at][:alive[at]])
+            alone = np.flatnonzero((state < 0) | (self.piece.take(state) < 0))
+            if len(alone):  # a character without a piece of its own
+                distinct, which = np.unique(codes[at].take(alone), return_inverse=True)
+                mark = np.array([zlib.crc32(chr(c).encode("utf-8", "surrogatepass")) for c in distinct.tolist()], np.int64)
+                offer(alone, at, at + 1, self.unknown, mark[which], np.full(len(alone), -1, np.int32))
+            for end in range(at + 1, min(width, at + self.vocabulary.longest) + 1):
+                if end > at + 1:
+                    row = row[:np.searchsorted(row, alive[end - 1])]
+                    state = self.step(state[:len(row)], codes[end - 1].take(row))
+                known = np.flatnonzero(state >= 0)
+                if not len(known):
+                    break
+                row, state = row.take(known), state.take(known)
+                whole = np.flatnonzero(self.piece.take(state) >= 0)
+                if len(whole):
+                    s = state.take(whole)
+                    offer(row.take(whole), at, end, self.score.take(s), self.crc.take(s), s)
+        return self._trace(units, length, came, via), tied
+
+    def _trace(self, units: list[str], length: np.ndarray, came: np.ndarray, via: np.ndarray) -> list[bytes]:
+        row, end = np.arange(len(units)), length.copy()
+        rows, ids = [], []
+        odd: set[int] = set()  # units with a character without a piece
+        while len(row):
+            state = via[end, row]
+            if (state < 0).any():
+                odd.update(row[state < 0].tolist())
+            rows.append(row)
+            ids.append(self.piece.take(state))
+            end = came[end, row].astype(np.int64)
+            row, end = row[end > 0], end[end > 0]
+        flat = np.concatenate(rows[::-1])
+        raw = np.concatenate(ids[::-1])[np.argsort(flat, kind="stable")].astype(np.int32).tobytes()
+        cuts = (4 * np.cumsum(np.bincount(flat, minlength=len(units)))).tolist()
+        out = [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        for k in odd:
+            path = came[:len(units[k]) + 1, k].tolist()
+            out[k] = np.array(self.vocabulary.trace(units[k], 0, len(units[k]), path), np.int32).tobytes()
+        return out
+
+
 def boundary_states(matrices: list[list[list[int | None]]]) -> list[int]:
     """States at all cuts of one document: entry of the first chunk, exits of every chunk.
 
@@ -325,7 +461,7 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
         vocabulary = shared.value
         for batch in batches:
             for piece in slices(batch, "text", 4 << 20):
-                ids = _lists(np.array(vocabulary.encode(t.as_py()), np.int32) for t in piece.column("text"))
+                ids = _lists(vocabulary.encode_all(piece.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), ids], ["id", "tie", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
