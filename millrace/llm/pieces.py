@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ CHUNK = 32_768
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 _MEMO_UNITS = 150_000
-_UNITS_AT_ONCE = 8_192
+_UNITS_AT_ONCE = 16_384
 _DECODE_ROWS = 256
 _MEMO_LENGTH = 48
 
@@ -83,7 +84,7 @@ class Vocabulary:
         self.of_byte = {i: b for b, i in self.bytes.items()}
         # a piece never joins another character to a following space mark or holds a line end:
         # then texts fall apart into units that are encoded on their own
-        apart = all(SPACE not in p.lstrip(SPACE) and ("\n" not in p) for p in self.table)
+        self.apart = apart = all(SPACE not in p.lstrip(SPACE) and ("\n" not in p) for p in self.table)
         self.unit = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if apart else r"[\s\S]+")
         # pieces of units by their packed ids; two generations: the older one goes when the
         # younger is full, what is used again stays
@@ -154,17 +155,8 @@ class Vocabulary:
         short = sorted((u for u in fresh if len(u) <= _MEMO_LENGTH), key=len, reverse=True)
         if short and self.trie is None:
             self.trie = PieceTrie(self)
-        for lo in range(0, len(short), _UNITS_AT_ONCE):
-            part = short[lo:lo + _UNITS_AT_ONCE]
-            memo.update(zip(part, self.trie.encode(part)))
-
-    def encode_units(self, units: list[str]) -> np.ndarray:
-        """Ids of units one after the other; ``learn`` has seen them."""
-        memo = self.memo
-        try:
-            return np.frombuffer(b"".join(map(memo.__getitem__, units)), np.int32)
-        except KeyError:  # units too long for the memo
-            return np.concatenate([np.frombuffer(memo[u], np.int32) if u in memo else self._long_unit(u) for u in units])
+        if short:
+            memo.update(zip(short, self.trie.encode(short)))
 
     def _long_unit(self, unit: str) -> np.ndarray:
         _, came = self.forward(unit, 0, len(unit))
@@ -175,14 +167,52 @@ class Vocabulary:
             return ""
         return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
 
-    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; the units of all of them are encoded together."""
-        units = [self.unit.findall(self.normalise(t)) for t in texts]
-        self.learn(set().union(*units))
-        return [self.encode_units(u) for u in units]
+    def encode_column(self, texts: pa.Array, normalised: bool = False) -> pa.ListArray:
+        """Ids of each text of an Arrow column; each distinct unit of all of them is looked up once."""
+        texts = pc.fill_null(texts, "")
+        if not normalised:
+            texts = pc.replace_substring(texts, " ", SPACE)
+            if self.prefix:
+                texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(SPACE, texts, ""))
+        offsets, units = self._units(texts)
+        coded = units.dictionary_encode()
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(set(distinct))
+        memo = self.memo
+        packed = [memo[u] if u in memo else self._long_unit(u).tobytes() for u in distinct]
+        size = np.fromiter((len(x) >> 2 for x in packed), np.int64, len(packed))
+        flat = np.frombuffer(b"".join(packed), np.int32)
+        n = size[which]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - (ends - n), n) + np.arange(int(n.sum()))]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends)[offsets], pa.int32()), pa.array(ids))
+
+    def _units(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Units of all texts one after the other, and each text's offset into them."""
+        if not self.apart:
+            units = [self.unit.findall(t) for t in texts.to_pylist()]
+            return np.cumsum([0, *map(len, units)]), pa.array([u for x in units for u in x], pa.string())
+        base = texts.offset
+        cut = np.frombuffer(texts.buffers()[1], np.int32)[base:base + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[cut[0]:cut[-1]]
+        cut = cut - cut[0]
+        first, second, third = SPACE.encode()
+        mark = np.zeros(len(data) + 3, bool)  # a space mark begins here (three places on, to look back)
+        if len(data) > 2:
+            mark[3:-2] = (data[:-2] == first) & (data[1:-1] == second) & (data[2:] == third)
+        begin = np.zeros(len(data) + 1, bool)
+        begin[:-1] = mark[3:] & ~mark[:-3]
+        line = np.flatnonzero(data == 10)
+        begin[line] = begin[line + 1] = True
+        begin[cut] = True
+        begin[-1] = True
+        places = np.flatnonzero(begin)
+        units = pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data.tobytes()))
+        return np.searchsorted(places, cut), units
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_all([text])[0].tolist()
+        return self.encode_column(pa.array([text], pa.string())).values.to_pylist()
 
     def decode(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -204,14 +234,16 @@ class Vocabulary:
 
     def _cuts(self, text: str, n: int) -> tuple[int, int] | None:
         """First and last place in the chunk where every path has a cut, if there are any."""
-        first = last = None
-        for m in self.unit.finditer(text):
-            at = m.start()
-            if at > n:
-                break
-            if at >= self.longest:
-                first, last = (at if first is None else first), at
-        return None if first is None else (first, last)
+        if not self.apart:
+            return None
+
+        def begins(at: int) -> bool:
+            here, before = text[at], text[at - 1]
+            return here == "\n" or before == "\n" or (here == SPACE and before != SPACE)
+
+        places = range(max(1, self.longest), min(n, len(text) - 1) + 1)
+        first = next((at for at in places if begins(at)), None)
+        return None if first is None else (first, next(at for at in reversed(places) if begins(at)))
 
     def transfer(self, text: str, n: int, base: int) -> list[list[int | None]]:
         """Best weight from each entry state to each exit state of a chunk of ``n`` characters.
@@ -241,23 +273,34 @@ class Vocabulary:
         # what lies between the cuts is the same for every path and cannot change a choice
         return [[None if a is None or b is None else a + b for b in leave] for a in into[:size]]
 
-    def trace_chunk(self, text: str, n: int, base: int, entry: int, leave: int) -> list[int]:
-        """The pieces that begin in the chunk, given the states at both of its cuts."""
+    def _ends_of_chunk(self, text: str, n: int, base: int, entry: int, leave: int) -> tuple[list[int], str, list[int]]:
+        """Ids before the first cut, the text of the whole units, and ids after the last cut."""
         if entry >= n:
-            return []
+            return [], "", []
         cuts = self._cuts(text, n)
         end = n + leave
         if cuts is None:
             _, came = self.forward(text, entry, end, base, until=n)
-            return self.trace(text, entry, end, came)
+            return self.trace(text, entry, end, came), "", []
         first, final = cuts
         _, came = self.forward(text, entry, first, base)
-        ids = self.trace(text, entry, first, came)
-        units = self.unit.findall(text, first, final)
-        self.learn(set(units))
-        ids += self.encode_units(units).tolist()
+        head = self.trace(text, entry, first, came)
         _, came = self.forward(text, final, end, base, until=n)
-        return ids + self.trace(text, final, end, came)
+        return head, text[first:final], self.trace(text, final, end, came)
+
+    def trace_chunks(self, chunks: list[tuple[str, int, int, int, int]]) -> list[np.ndarray]:
+        """Ids that begin in each chunk (text, n, base, entry, leave), given the states at both of its cuts.
+
+        What lies between a chunk's first and last unit is encoded with that of the others.
+        """
+        parts = [self._ends_of_chunk(*c) for c in chunks]
+        middle = self.encode_column(pa.array([p[1] for p in parts], pa.string()), normalised=True)
+        return [np.concatenate((np.array(p[0], np.int32), m.values.to_numpy(), np.array(p[2], np.int32)))
+                for p, m in zip(parts, middle)]
+
+    def trace_chunk(self, text: str, n: int, base: int, entry: int, leave: int) -> list[int]:
+        """The pieces that begin in the chunk, given the states at both of its cuts."""
+        return self.trace_chunks([(text, n, base, entry, leave)])[0].tolist()
 
 
 class PieceTrie:
@@ -335,11 +378,18 @@ class PieceTrie:
         the same are done again by the vocabulary's whole order: score, then the
         hashes of the pieces, then where the pieces begin.
         """
-        out, tied = self._paths(units, False)
-        again = np.flatnonzero(tied).tolist()
-        if again:
-            for k, ids in zip(again, self._paths([units[k] for k in again], True)[0]):
-                out[k] = ids
+        def in_parts(units: list[str], whole_order: bool) -> tuple[list[bytes], list[int]]:
+            out, tied = [], []
+            for lo in range(0, len(units), _UNITS_AT_ONCE):
+                part = units[lo:lo + _UNITS_AT_ONCE]
+                ids, ties = self._paths(part, whole_order)
+                out += ids
+                tied += (lo + np.flatnonzero(ties)).tolist()
+            return out, tied
+
+        out, tied = in_parts(units, False)
+        for k, ids in zip(tied, in_parts([units[k] for k in tied], True)[0]):
+            out[k] = ids
         return out
 
     def _paths(self, units: list[str], whole_order: bool) -> tuple[list[bytes], np.ndarray]:
@@ -461,7 +511,7 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
         vocabulary = shared.value
         for batch in batches:
             for piece in slices(batch, "text", 4 << 20):
-                ids = _lists(vocabulary.encode_all(piece.column("text").to_pylist()))
+                ids = vocabulary.encode_column(piece.column("text"))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), ids], ["id", "tie", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,9 +547,8 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
         vocabulary = shared.value
         for batch in batches:
             for piece in slices(batch, "text", 4 << 20):
-                ids = _lists(np.array(vocabulary.trace_chunk(t.as_py(), n, k * chunk, i, j), np.int32)
-                             for t, n, k, i, j in zip(piece.column("text"), *(piece.column(c).to_pylist() for c in (
-                                 "n", "k", "entry", "leave"))))
+                rows = zip(*(piece.column(c).to_pylist() for c in ("text", "n", "k", "entry", "leave")))
+                ids = _lists(vocabulary.trace_chunks([(t, n, k * chunk, i, j) for t, n, k, i, j in rows]))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), piece.column("k"), ids],
                                                  ["id", "tie", "k", "ids"])
 
