@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import (connected_components, hash_strings, lower_ascii, may_recur, mix64, read,
-                                 recurring_bitmap, row_of, shuffle_parts, slices, split_words, window_hashes,
+                                 recurring_bitmap, release_memory, row_of, shuffle_parts, slices, split_words, window_hashes,
                                  word_codes, written)
 
 WORDS = 4
@@ -226,6 +226,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 found, n = np.unique(token[rank < prefix[row]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
                                                  ["key", "n"])
+        release_memory()
 
     bitmap = spark.sparkContext.broadcast(
         recurring_bitmap(source.select("text").mapInArrow(count_prefix, "key long, n long"), bits))
@@ -262,6 +263,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      *(pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), piece.column("tie")) for _ in ties)],
                     [f.name for f in block_schema.fields])
                 serial += 1
+        release_memory()
 
     blocks = written(source.withColumn("part", F.spark_partition_id()).mapInArrow(to_blocks, block_schema), "shingles")
 
@@ -312,6 +314,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 use = order[(rank < (sizes - _at_least(sizes, similarity) + 1)[row]) & (n[order] > 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tokens[use].view(np.int64)), pa.array(names[row[use]].view(np.int64))], ["token", "name"])
+        release_memory()
 
     shared = (blocks.select("block", "names", "sizes", "tokens").join(answers, "block")
               .mapInArrow(prefixes, "token long, name long"))

@@ -25,15 +25,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import read, slices, written
+from millrace.llm.common import read, release_memory, slices, written
 
 #: Normalised characters of a chunk; longer texts are cut.
 CHUNK = 32_768
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-_MEMO_UNITS = 150_000
-_UNITS_AT_ONCE = 16_384
+_MEMO_UNITS = 60_000
+_UNITS_AT_ONCE = 8_192
 _DECODE_ROWS = 256
+#: Bytes of text that are encoded at once.
+_TEXT_BYTES = 1 << 20
 _MEMO_LENGTH = 48
 
 
@@ -510,9 +512,10 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", _TEXT_BYTES):
                 ids = vocabulary.encode_column(piece.column("text"))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), ids], ["id", "tie", "ids"])
+        release_memory()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
@@ -546,11 +549,12 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", _TEXT_BYTES):
                 rows = zip(*(piece.column(c).to_pylist() for c in ("text", "n", "k", "entry", "leave")))
                 ids = _lists(vocabulary.trace_chunks([(t, n, k * chunk, i, j) for t, n, k, i, j in rows]))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("tie"), piece.column("k"), ids],
                                                  ["id", "tie", "k", "ids"])
+        release_memory()
 
     mark = 1 if shared.value.prefix else 0
     long_text = F.length("text") + mark > chunk
