@@ -52,10 +52,11 @@ def mask_overflow(ids, start) -> Column:
     return _c(start) > F.size(_c(ids))
 
 
-def pad_to(ids, length: int, pad: int) -> Column:
+def pad_to(ids, length: int | Column, pad: int) -> Column:
     """Right-pad an array with ``pad`` up to ``length`` (no-op if already that long)."""
     a = _c(ids)
-    return F.concat(a, F.array_repeat(F.lit(pad), F.greatest(F.lit(length) - F.size(a), F.lit(0))))
+    full = length if isinstance(length, Column) else F.lit(length)
+    return F.concat(a, F.array_repeat(F.lit(pad), F.greatest(full - F.size(a), F.lit(0))))
 
 
 def loss_mask(labels, ignore: int = C.IGNORE_ID) -> Column:

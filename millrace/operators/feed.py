@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import constants as C
-from millrace.functions.arrays import padded_length
+from millrace.functions.arrays import pad_to, padded_length
 
 
 def shuffle_key(id_col: str, seed: int = C.SHUFFLE_SEED) -> F.Column:
@@ -75,6 +75,27 @@ def dynamic_padding(batched: DataFrame, len_col: str, batch_col: str = "batch",
                     (L * F.col("_n") - F.col("_sum")).alias("n_pad"))
 
 
+def padded_batches(batched: DataFrame, ids_col: str = "input_ids", labels_col: str = "labels", batch_col: str = "batch",
+                   divisor: int = C.BATCH_DIVISOR, remainder: int = C.BATCH_REMAINDER, pad_id: int = C.PAD_ID,
+                   ignore: int = C.IGNORE_ID) -> DataFrame:
+    """``batched`` with its arrays padded to the batch's length, and ``attention_mask`` (1 on real positions).
+
+    The length is the smallest L >= the longest sample with L mod divisor ==
+    remainder. Only (batch, length) is aggregated; each row then meets its batch's
+    length and is padded in place. Null arrays count as empty.
+    """
+    empty = F.array().cast("array<int>")
+    rows = batched.withColumns({ids_col: F.coalesce(ids_col, empty), labels_col: F.coalesce(labels_col, empty)})
+    length = rows.groupBy(batch_col).agg(F.max(F.size(ids_col)).alias("_max")).select(
+        batch_col, padded_length(F.col("_max"), divisor, remainder).alias("padded_len"))
+    j = rows.join(length, batch_col).withColumn("_size", F.size(ids_col))
+    full = F.col("padded_len")
+    return j.withColumns({
+        ids_col: pad_to(ids_col, full, pad_id), labels_col: pad_to(labels_col, full, ignore),
+        "attention_mask": F.concat(F.array_repeat(F.lit(1), F.col("_size")),
+                                   F.array_repeat(F.lit(0), full - F.col("_size")))}).drop("_size")
+
+
 def global_rank(df: DataFrame, order_cols, out: str = "rank", partitions: int | None = None,
                 materialize: bool = True) -> DataFrame:
     """0-based position of every row in ``order_cols`` order, without a single-task window.

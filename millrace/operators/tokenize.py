@@ -1,7 +1,7 @@
 """Tokenization as corpus jobs.
 
-Pre-token counts are cut JVM-side by regex. Vocabulary lookups are equi-joins
-against a (size-checked, broadcast) vocabulary table. Byte-level BPE is one
+Pre-token counts are cut JVM-side by regex. Vocabulary lookups run in
+the row against a byte-checked broadcast (an equi-join beyond it). Byte-level BPE is one
 narrow pass: each Arrow batch is normalised, cut at special tokens, cut into
 pre-tokens and merged with a bounded memo per Python worker. The merge table
 and the vocabulary are model files, so they are broadcast whole.
@@ -9,13 +9,17 @@ and the vocabulary are model files, so they are broadcast whole.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import operator
 import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +27,17 @@ from pyspark.sql import types as T
 from millrace import constants as C
 from millrace.functions.text import pretokens, special_token_pattern, words
 
-BROADCAST_VOCAB_ROWS = 5_000_000
+#: A Python broadcast is held once per worker process, so the bound is on bytes.
+BROADCAST_VOCAB_BYTES = 64 << 20
 
 
 def pretoken_counts(df: DataFrame, text_col: str, out: str = "n_pretokens") -> DataFrame:
     """Number of pre-tokens per row (narrow, no shuffle); a special token counts as one."""
     text = F.col(text_col)
-    return df.withColumn(out, F.when(text.rlike(special_token_pattern()), F.size(pretokens_with_specials(text)))
+    # most texts do not even hold a character that a special token begins with: no pattern is tried on those
+    first = sorted({tok[0] for tok, _ in C.SPECIAL_TOKENS})
+    maybe = functools.reduce(operator.or_, [F.contains(text, F.lit(c)) for c in first])
+    return df.withColumn(out, F.when(maybe & text.rlike(special_token_pattern()), F.size(pretokens_with_specials(text)))
                          .otherwise(F.size(pretokens(text))))
 
 
@@ -70,27 +78,61 @@ def word_vocab(df: DataFrame, text_col: str, id_offset: int = 0) -> DataFrame:
     return global_rank(w, ["token"], "id").select("token", (F.col("id") + id_offset).alias("id"))
 
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    """The vocabulary, written once to the shared folder and broadcast when checked small.
+def _broadcast_vocab(vocab: DataFrame, limit: int) -> tuple[pa.Array, pa.Array] | None:
+    """Tokens and ids as Arrow arrays when the checked bytes allow a broadcast, else None. ``vocab`` is a written table."""
+    size = vocab.agg(F.sum(F.octet_length("_tok") + F.lit(12)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if (size["b"] or 0) > limit:
+        return None
+    found = vocab.orderBy("_tid", "_tok").toArrow()
+    return found["_tok"].combine_chunks(), found["_tid"].combine_chunks()
 
-    The size check and the join both read the written copy, so a derived
-    vocabulary (ranking, merges) is computed once.
+
+def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFrame,
+                  unk_id: int | None = None, out: str = "ids",
+                  broadcast_bytes: int | None = None) -> DataFrame:
+    """Token arrays -> id arrays through the vocabulary (``token -> id``): ``keys``, ``out``, ``n_oov``.
+
+    A vocabulary within the byte bound is broadcast and looked up in the row, by
+    Arrow batches: nothing of ``df`` is shuffled. A larger one is joined: tokens are
+    exploded with their position and re-assembled per row. OOV tokens get ``unk_id``
+    (null when none). A row without tokens, or a null array, has no ids; a null token
+    is OOV.
     """
-    from millrace.session import cut_lineage
-    t = cut_lineage(vocab, "vocab")
-    return F.broadcast(t) if t.count() <= BROADCAST_VOCAB_ROWS else t
+    v = _written_vocab(vocab)
+    small = _broadcast_vocab(v, BROADCAST_VOCAB_BYTES if broadcast_bytes is None else broadcast_bytes)
+    if small is None:
+        return _encode_by_join(df, keys, tokens_col, v, unk_id, out)
+    shared = df.sparkSession.sparkContext.broadcast(small)
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField(out, T.ArrayType(T.IntegerType())),
+                           T.StructField("n_oov", T.LongType(), False)])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, ids = shared.value
+        for batch in batches:
+            lists = batch.column("__tokens")
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            at = pc.index_in(flat, value_set=tokens, skip_nulls=True)
+            missing = np.concatenate(([0], np.cumsum(at.is_null().to_numpy(zero_copy_only=False))))
+            found = ids.take(at)
+            if unk_id is not None:
+                found = pc.fill_null(found, pa.scalar(unk_id, pa.int32()))
+            cut = offsets - offsets[0]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), found),
+                 pa.array(missing[cut[1:]] - missing[cut[:-1]], pa.int64())], schema.names)
 
+    tokens = F.coalesce(F.col(tokens_col), F.array().cast("array<string>")).alias("__tokens")
+    return df.select(*keys, tokens).mapInArrow(look_up, schema)
 
-def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFrame,
-                  unk_id: int | None = None, out: str = "ids") -> DataFrame:
-    """Token arrays -> id arrays through the vocabulary (``token -> id``).
 
-    Tokens are exploded with their position, looked up by an equi-join (the
-    vocabulary is broadcast when its checked size allows) and re-assembled
-    per row in order. OOV tokens get ``unk_id`` (null when none). Adds
-    ``n_oov``.
-    """
-    v = _vocab_side(vocab.select(F.col("token").alias("_tok"), F.col("id").cast("int").alias("_tid")))
+def _written_vocab(vocab: DataFrame) -> DataFrame:
+    from millrace.session import cut_lineage
+    return cut_lineage(vocab.select(F.col("token").alias("_tok"), F.col("id").cast("int").alias("_tid")), "vocab")
+
+
+def _encode_by_join(df: DataFrame, keys: list[str], tokens_col: str, v: DataFrame, unk_id: int | None,
+                    out: str) -> DataFrame:
     # posexplode_outer keeps rows without tokens (they come back as empty arrays)
     ex = df.select(*keys, F.posexplode_outer(tokens_col).alias("_pos", "_tok"))
     j = ex.join(v, "_tok", "left")
@@ -103,9 +145,36 @@ def encode_tokens(df: DataFrame, keys: list[str], tokens_col: str, vocab: DataFr
 
 
 def decode_ids(df: DataFrame, keys: list[str], ids_col: str, vocab: DataFrame, sep: str = " ",
-               skip_ids: list[int] | None = None, out: str = "text") -> DataFrame:
-    """Id arrays -> text through the inverse vocabulary; unknown ids are dropped."""
-    v = _vocab_side(vocab.select(F.col("id").cast("int").alias("_tid"), F.col("token").alias("_tok")))
+               skip_ids: list[int] | None = None, out: str = "text", broadcast_bytes: int | None = None) -> DataFrame:
+    """Id arrays -> text through the inverse vocabulary; unknown ids are dropped. Narrow as :func:`encode_tokens`."""
+    v = _written_vocab(vocab)
+    small = _broadcast_vocab(v, BROADCAST_VOCAB_BYTES if broadcast_bytes is None else broadcast_bytes)
+    if small is None:
+        return _decode_by_join(df, keys, ids_col, v, sep, skip_ids, out)
+    shared = df.sparkSession.sparkContext.broadcast(small)
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField(out, T.StringType())])
+    skip = pa.array(skip_ids or [], pa.int32())
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, ids = shared.value
+        for batch in batches:
+            lists = batch.column("__ids")
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            at = pc.index_in(flat, value_set=ids, skip_nulls=True)
+            keep = pc.and_(pc.is_valid(at), pc.invert(pc.is_in(flat, value_set=skip))).to_numpy(zero_copy_only=False)
+            kept = np.concatenate(([0], np.cumsum(keep)))
+            words = tokens.take(at.filter(pa.array(keep)))
+            words = pa.ListArray.from_arrays(pa.array(kept[offsets - offsets[0]], pa.int32()), words)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), pc.binary_join(words, sep)], schema.names)
+
+    ids = F.coalesce(F.col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias("__ids")
+    return df.select(*keys, ids).mapInArrow(look_up, schema)
+
+
+def _decode_by_join(df: DataFrame, keys: list[str], ids_col: str, v: DataFrame, sep: str, skip_ids: list[int] | None,
+                    out: str) -> DataFrame:
     ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "_tid"))
     keep = F.col("_pos").isNotNull()
     if skip_ids:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.vectors import l2_normalize
+from millrace.functions.vectors import with_unit_vector
 
 
 def normalize(df: DataFrame, vector: str, out: str | None = None) -> DataFrame:
     """Add (or replace) the unit-length form of a vector column."""
-    return df.withColumn(out or vector, l2_normalize(vector))
+    return with_unit_vector(df, vector, out or vector)
 
 
 def group_centroids(df: DataFrame, key: str, vector: str) -> DataFrame:

@@ -524,32 +524,39 @@ def q_label_mask(spark, sf):
 # packing (documents, pre-token length, pack length 2048)
 # ---------------------------------------------------------------------------
 
-PACK_DIGITS = 1           # bucket width of the pack queries, the same at every size
+PACK_DIGITS = 3           # bucket width of the pack queries, the operator's own default
 
-_PACK_SQL = f"""
-WITH RECURSIVE l AS (SELECT doc_id, {_ntok_sql('text')} AS len FROM documents),
-s AS (
-  SELECT doc_id, len, substr(sha256(CAST(doc_id AS VARCHAR)), 1, @DIGITS@) AS bucket,
-         row_number() OVER (PARTITION BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, @DIGITS@)
+
+def _pack_sql(lengths: str, seq_length: int, digits: int) -> str:
+    """Next-fit as a recursive query over ``l`` (doc_id, len), which ``lengths`` defines."""
+    new_pack = f"fold.offs + fold.len + sized.len > {seq_length} OR fold.seg + 1 >= {C.MAX_SEGMENTS}"
+    return f"""
+WITH RECURSIVE {lengths},
+sized AS (
+  SELECT doc_id, len, substr(sha256(CAST(doc_id AS VARCHAR)), 1, {digits}) AS bucket,
+         row_number() OVER (PARTITION BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, {digits})
                             ORDER BY sha256(CAST(doc_id AS VARCHAR))) AS rn
-  FROM l WHERE len <= {PACK_LENGTH}),
-r AS (
-  SELECT bucket, rn, doc_id, len, CAST(0 AS BIGINT) AS pack_no, 0 AS seg, CAST(0 AS BIGINT) AS offs FROM s WHERE rn = 1
+  FROM l WHERE len <= {seq_length}),
+fold AS (
+  SELECT bucket, rn, doc_id, len, CAST(0 AS BIGINT) AS pack_no, 0 AS seg, CAST(0 AS BIGINT) AS offs FROM sized WHERE rn = 1
   UNION ALL
-  SELECT s.bucket, s.rn, s.doc_id, s.len,
-         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN r.pack_no + 1 ELSE r.pack_no END,
-         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN 0 ELSE r.seg + 1 END,
-         CASE WHEN r.offs + r.len + s.len > {PACK_LENGTH} OR r.seg + 1 >= {C.MAX_SEGMENTS} THEN 0 ELSE r.offs + r.len END
-  FROM r JOIN s ON s.bucket = r.bucket AND s.rn = r.rn + 1),
-plan AS (SELECT doc_id, bucket, pack_no, CAST(seg AS INTEGER) AS seg, offs AS "offset", CAST(len AS BIGINT) AS len FROM r),
+  SELECT sized.bucket, sized.rn, sized.doc_id, sized.len,
+         CASE WHEN {new_pack} THEN fold.pack_no + 1 ELSE fold.pack_no END,
+         CASE WHEN {new_pack} THEN 0 ELSE fold.seg + 1 END,
+         CASE WHEN {new_pack} THEN 0 ELSE fold.offs + fold.len END
+  FROM fold JOIN sized ON sized.bucket = fold.bucket AND sized.rn = fold.rn + 1),
+plan AS (SELECT doc_id, bucket, pack_no, CAST(seg AS INTEGER) AS seg, offs AS "offset", CAST(len AS BIGINT) AS len FROM fold),
 packs AS (
   SELECT bucket, pack_no, CAST(count(*) AS INTEGER) AS n_segments, CAST(sum(len) AS BIGINT) AS n_tokens,
-         CAST({PACK_LENGTH} - sum(len) AS BIGINT) AS n_pad,
+         CAST({seq_length} - sum(len) AS BIGINT) AS n_pad,
          string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY seg) AS ids,
          string_agg(CAST("offset" + len AS VARCHAR), ',' ORDER BY seg) AS actual_seq_len
   FROM plan GROUP BY bucket, pack_no)
 """
-_PACK_SQL, _PACK_SQL_WIDE = (_PACK_SQL.replace("@DIGITS@", str(d)) for d in (PACK_DIGITS, 2))
+
+
+_DOC_LENGTHS_SQL = f"l AS (SELECT doc_id, {_ntok_sql('text')} AS len FROM documents)"
+_PACK_SQL, _PACK_SQL_WIDE = (_pack_sql(_DOC_LENGTHS_SQL, PACK_LENGTH, d) for d in (PACK_DIGITS, 2))
 
 
 def _plan(spark, sf, digits=PACK_DIGITS):
@@ -576,6 +583,31 @@ def q_pack_rows(spark, sf):
                     _csv(F.col("actual_seq_len")).alias("actual_seq_len"))
 
 
+@register("pack_best_fit", _PACK_SQL + f"""
+SELECT CAST(count(*) AS BIGINT) AS n_samples, CAST(sum(len) AS BIGINT) AS n_tokens,
+       CAST((SELECT count(*) FROM l WHERE len > {PACK_LENGTH}) AS BIGINT) AS n_rejected,
+       true AS none_overfull, true AS one_half_empty_at_most, true AS fewer_packs_than_next_fit
+FROM plan
+""")
+def q_pack_best_fit(spark, sf):
+    """Best-fit packs of the documents: what went in, that no pack is overfull, and fill above next-fit (one row)."""
+    from millrace.operators.packing import best_fit_plan, pack_summary
+    from millrace.session import cut_lineage
+    lengths = cut_lineage(_doc_lengths(spark, sf), "lengths")
+    plan, rejected = best_fit_plan(lengths, "doc_id", "n_tokens", seq_length=PACK_LENGTH, digits=PACK_DIGITS)
+    packs = pack_summary(plan, "doc_id", PACK_LENGTH)
+    half = (F.col("n_tokens") * 2 <= PACK_LENGTH) & (F.col("n_segments") < C.MAX_SEGMENTS)
+    best = packs.agg(F.sum("n_segments").cast("long").alias("n_samples"), F.sum("n_tokens").alias("n_tokens"),
+                     F.max("n_tokens").alias("_most"), F.count_if(half).alias("_half"), F.count(F.lit(1)).alias("_packs"))
+    from millrace.operators.packing import pack_plan
+    other, _ = pack_plan(lengths, "doc_id", "n_tokens", seq_length=PACK_LENGTH, digits=PACK_DIGITS)
+    n_other = other.select("bucket", "pack_no").distinct().agg(F.count(F.lit(1))).scalar()
+    n_rejected = rejected.agg(F.count(F.lit(1))).scalar()
+    return best.select("n_samples", "n_tokens", n_rejected.alias("n_rejected"), (F.col("_most") <= PACK_LENGTH).alias("none_overfull"),
+                       (F.col("_half") <= 1).alias("one_half_empty_at_most"),
+                       (F.col("_packs") < n_other).alias("fewer_packs_than_next_fit"))
+
+
 @register("pack_report", _PACK_SQL + f"""
 SELECT CAST(count(*) AS BIGINT) AS n_packs, CAST(sum(n_segments) AS BIGINT) AS n_samples,
        CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
@@ -808,6 +840,31 @@ def q_ivf_recall(spark, sf):
                  F.sum(F.coalesce((F.col("iid") == F.col("found")).cast("int"), F.lit(0))).alias("n_found"))
 
 
+IVF_RECALL = 0.9
+IVF_QUERY_EVERY = 50
+
+
+@register("ivf_calibrated", f"""
+SELECT CAST(count(*) FILTER (WHERE vec_id % {IVF_QUERY_EVERY} = 0) AS BIGINT) AS n_queries,
+       CAST(count(*) FILTER (WHERE vec_id % {IVF_QUERY_EVERY} = 0) * least({TOP_K}, count(*) - 1) AS BIGINT) AS n_neighbours,
+       true AS recall_reached, true AS fewer_probes_than_lists
+FROM embeddings
+""")
+def q_ivf_calibrated(spark, sf):
+    """Every fiftieth row against all, in a clustered index with calibrated probes, measured against exact search (one row)."""
+    from millrace.operators.clustered import build_clustered_index, clustered_search
+    from millrace.operators.similarity import knn
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    queries = emb.filter(F.col("vec_id") % IVF_QUERY_EVERY == 0)
+    index = build_clustered_index(emb, "vec_id")
+    found = clustered_search(queries, index, TOP_K, "vec_id", recall=IVF_RECALL, exclude_self=True)
+    exact = knn(queries, emb, TOP_K, "vec_id", "vec_id", exclude_self=True)
+    both = exact.select("tid", "iid").join(found.select("tid", "iid", F.lit(1).alias("hit")), ["tid", "iid"], "left")
+    r = both.agg(F.countDistinct("tid").alias("n_queries"), F.count(F.lit(1)).alias("n_neighbours"), F.count("hit").alias("_hits"))
+    return r.select("n_queries", "n_neighbours", (F.col("_hits") >= IVF_RECALL * F.col("n_neighbours")).alias("recall_reached"),
+                    F.lit(index.probes < index.lists).alias("fewer_probes_than_lists"))
+
+
 @register("string_id_dups", f"""
 WITH p AS (SELECT a.vec_id AS a, b.vec_id AS b,
                   list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
@@ -840,7 +897,7 @@ def q_bpe_roundtrip(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# near-duplicate texts (exact term-frequency cosine, prefix-filtered self-join)
+# near-duplicate texts (exact term-frequency cosine, block against block)
 # ---------------------------------------------------------------------------
 
 TEXT_DUP_THRESHOLD = 0.9
@@ -914,23 +971,88 @@ def q_split_names(spark, sf):
     return d.select("doc_id", "is_long", split_name(F.col("file_name"), F.col("is_long")).alias("split_file"))
 
 
-@register("packed_samples")
-def q_packed_samples(spark, sf):
+CHAT_PACK_LENGTH = 1024
+_CHAT_PACKED_SQL = _pack_sql(
+    _IDS_SQL.replace(f"> {TRUNC_LIMIT}", f"> {CHAT_PACK_LENGTH}").replace(f"1, {TRUNC_LIMIT})", f"1, {CHAT_PACK_LENGTH})")
+    .strip().removeprefix("WITH").strip() + """,
+l AS (SELECT conv_id AS doc_id, CAST(len(tids) AS INTEGER) AS len FROM lb WHERE answer_start <= len(tids))""",
+    CHAT_PACK_LENGTH + 2, PACK_DIGITS)
+
+
+def _chat_packs(spark, sf):
     """Chat ids -> prompt-masked labels -> packs of 1024 with segment metadata."""
     from millrace.operators.labels import build_labels, split_valid
     from millrace.operators.packing import materialize_packs, pack_plan
-    lab = build_labels(_chat_ids(spark, sf), limit=1024)
-    ok, _rejected = split_valid(lab)
+    ok, _rejected = split_valid(build_labels(_chat_ids(spark, sf), limit=CHAT_PACK_LENGTH))
     ok = ok.select(F.col("conv_id").alias("id"), "input_ids", "labels")
     plan, _oversize = pack_plan(ok.select("id", F.size("input_ids").alias("len")), "id", "len",
-                                seq_length=1024 + 2, digits=1)
-    packed = materialize_packs(plan, ok, "id", seq_length=1024 + 2)
+                                seq_length=CHAT_PACK_LENGTH + 2, digits=PACK_DIGITS)
+    return materialize_packs(plan, ok, "id", seq_length=CHAT_PACK_LENGTH + 2)
+
+
+@register("packed_samples", _CHAT_PACKED_SQL + f"""
+SELECT p.bucket, p.pack_no, CAST(count(*) AS INTEGER) AS n_segments, CAST(sum(p.len) AS BIGINT) AS n_tokens,
+       CAST(sum(len(list_filter(lb.labels, lambda x: x <> {C.IGNORE_ID}))) AS INTEGER) AS n_loss,
+       {CHAT_PACK_LENGTH + 2} AS length
+FROM plan p JOIN lb ON lb.conv_id = p.doc_id GROUP BY p.bucket, p.pack_no
+""")
+def q_packed_samples(spark, sf):
+    packed = _chat_packs(spark, sf)
     return packed.select("bucket", "pack_no", F.size("actual_seq_len").alias("n_segments"),
                          F.element_at("actual_seq_len", -1).alias("n_tokens"),
                          F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x).alias("n_loss"),
                          F.size("input_ids").alias("length"))
 
 
+@register("packed_masks", _CHAT_PACKED_SQL + f"""
+, m AS (SELECT p.*, lb.tids, lb.labels FROM plan p JOIN lb ON lb.conv_id = p.doc_id),
+g AS (
+  SELECT bucket, pack_no, flatten(list(tids ORDER BY seg)) AS ids, flatten(list(labels ORDER BY seg)) AS labels,
+         flatten(list(list_transform(range(len), lambda k: seg) ORDER BY seg)) AS segs,
+         flatten(list(range(len) ORDER BY seg)) AS pos, CAST({CHAT_PACK_LENGTH + 2} - sum(len) AS BIGINT) AS pad
+  FROM m GROUP BY bucket, pack_no)
+SELECT bucket, pack_no,
+       array_to_string(ids || list_transform(range(pad), lambda k: {C.PAD_ID}), ',') AS input_ids,
+       array_to_string(labels || list_transform(range(pad), lambda k: {C.IGNORE_ID}), ',') AS labels,
+       array_to_string(segs || list_transform(range(pad), lambda k: -1), ',') AS segment_ids,
+       array_to_string(pos || list_transform(range(pad), lambda k: 0), ',') AS position_ids,
+       array_to_string(list_transform(labels, lambda x: CASE WHEN x = {C.IGNORE_ID} THEN 0 ELSE 1 END)
+                       || list_transform(range(pad), lambda k: 0), ',') AS loss_mask
+FROM g
+""")
+def q_packed_masks(spark, sf):
+    """The arrays themselves: padded ids and labels, segment numbers, positions and the loss mask of every pack."""
+    packed = _chat_packs(spark, sf)
+    return packed.select("bucket", "pack_no", *(_csv(F.col(c)).alias(c) for c in (
+        "input_ids", "labels", "segment_ids", "position_ids", "loss_mask")))
+
+
+_PADDED_SQL = f"({C.BATCH_REMAINDER} - b.longest % {C.BATCH_DIVISOR} + {C.BATCH_DIVISOR}) % {C.BATCH_DIVISOR} + b.longest"
+
+
+@register("padded_batches", _IDS_SQL + f"""
+, o AS (SELECT lb.*, row_number() OVER (ORDER BY sha256('{C.SHUFFLE_SEED}:' || CAST(conv_id AS VARCHAR))) - 1 AS rank FROM lb),
+k AS (SELECT *, rank // {BATCH_SIZE} AS batch FROM o
+      WHERE rank // {BATCH_SIZE} < (SELECT count(*) FROM o) // {BATCH_SIZE}),
+b AS (SELECT batch, max(len(tids)) AS longest FROM k GROUP BY batch)
+SELECT CAST(k.batch AS BIGINT) AS batch, k.conv_id, CAST(len(k.tids) AS INTEGER) AS n_ids,
+       CAST({_PADDED_SQL} AS INTEGER) AS padded_len,
+       array_to_string(k.tids || list_transform(range({_PADDED_SQL} - len(k.tids)), lambda x: {C.PAD_ID}), ',') AS input_ids,
+       array_to_string(k.labels || list_transform(range({_PADDED_SQL} - len(k.labels)), lambda x: {C.IGNORE_ID}), ',') AS labels,
+       array_to_string(list_transform(k.tids, lambda x: 1)
+                       || list_transform(range({_PADDED_SQL} - len(k.tids)), lambda x: 0), ',') AS attention_mask
+FROM k JOIN b USING (batch)
+""")
+def q_padded_batches(spark, sf):
+    """Batches of chats in the seeded order, their arrays padded to each batch's length."""
+    from millrace.operators.feed import batches, padded_batches, seeded_rank
+    from millrace.operators.labels import build_labels
+    lab = build_labels(_chat_ids(spark, sf), limit=TRUNC_LIMIT).select("conv_id", "input_ids", "labels")
+    rows = batches(seeded_rank(lab.withColumn("n_ids", F.size("input_ids")), "conv_id"), BATCH_SIZE, 1)
+    return padded_batches(rows).select("batch", "conv_id", "n_ids", "padded_len", *(
+        _csv(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask")))
+
+
 @register("chat_unknown_roles", """
 SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages,
        CAST(count(*) FILTER (WHERE role IS NULL OR role NOT IN ('system', 'user', 'assistant', 'tool')) AS INTEGER) AS n_unknown

@@ -49,7 +49,7 @@ def test_queries_without_sql_are_checked_elsewhere(spark, sf_small):
     assert counts.keys() == chars.keys() and all(0 < counts[i] for i in chars)
     corpus = set(E.corpus.QUERIES) if E.corpus is not None else set()
     assert set(QUERIES) - set(SQL) - corpus == {
-        "bpe_encode", "bpe_roundtrip", "bpe_token_counts", "ivf_recall", "packed_samples"}
+        "bpe_encode", "bpe_roundtrip", "bpe_token_counts", "ivf_recall"}
     assert set(catalog.QUERIES) <= set(QUERIES)
 
 
