@@ -93,6 +93,7 @@ class Vocabulary:
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.trie: PieceTrie | None = None
+        self.spelled: pa.Array | None = None
 
     @staticmethod
     def _weight(score: float, piece: str) -> int:
@@ -232,6 +233,29 @@ class Vocabulary:
         text = "".join(out).replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
+    def decode_column(self, lists: pa.ListArray) -> pa.Array:
+        """Text of each list of ids; lists with bytes of longer characters are decoded one by one, the others at once."""
+        lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
+        offsets = lists.offsets.to_numpy()
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        cut = (offsets - offsets[0]).astype(np.int64)
+        if self.spelled is None:
+            # a byte below 0x80 is a character on its own; others are decoded with their neighbours
+            self.spelled = pa.array([chr(self.of_byte[i]) if self.of_byte.get(i, 128) < 128 else p.replace(SPACE, " ")
+                                     for i, p in enumerate(self.pieces)], pa.string())
+            self.is_byte = np.array([self.of_byte.get(i, 0) >= 128 for i in range(len(self.pieces))])
+        byte = np.concatenate(([0], np.cumsum(self.is_byte[flat.to_numpy()])))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), self.spelled.take(flat)), "")
+        if self.prefix:
+            texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
+        odd = np.flatnonzero(byte[cut[1:]] > byte[cut[:-1]])
+        if len(odd):
+            own = pa.array([self.decode(lists[k].as_py()) for k in odd.tolist()], pa.string())
+            mask = np.zeros(len(lists), bool)
+            mask[odd] = True
+            texts = pc.replace_with_mask(texts, pa.array(mask), own)
+        return texts
+
     # chunks of giant documents
 
     def _cuts(self, text: str, n: int) -> tuple[int, int] | None:
@@ -594,8 +618,9 @@ def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids", o
         for batch in batches:
             for lo in range(0, batch.num_rows, _DECODE_ROWS):
                 part = batch.slice(lo, _DECODE_ROWS)
-                texts = pa.array((vocabulary.decode(ids.as_py() or []) for ids in part.column(ids_col)), pa.string())
+                texts = vocabulary.decode_column(part.column(ids_col))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), texts], [*names, out])
+        release_memory()
 
     return encoded.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, T.StructType(
         [*fields, T.StructField(out, T.StringType())]))
