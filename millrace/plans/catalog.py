@@ -318,7 +318,7 @@ def q_chat_render_genprompt(spark, sf):
 # DuckDB's RE2 has no look-ahead: the oracle drops the "\s+(?!\S)" branch.
 # That changes where whitespace runs are cut but not how many pre-tokens a
 # text has on these tables, so it is an oracle for counts only.
-_RE2_PRETOKEN = r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+"
+_RE2_PRETOKEN = C.PRETOKENIZE_REGEX.replace(r"\s+(?!\S)|", "")
 LENGTH_LIMIT = 512        # the 32,768 boundary scaled to the test tables
 PACK_LENGTH = 2048
 
