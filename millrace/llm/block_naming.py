@@ -20,6 +20,8 @@ from millrace.llm.common import read, written
 BLOCK_BYTES = 4096
 #: White-space runs other than one single space: each becomes one space.
 ODD_SPACE = r"(?:[\x09-\x0D]|\x20(?=[\x20\x09-\x0D]))[\x20\x09-\x0D]*"
+#: Repeats of one document that are listed in one go.
+REPEATS = 4096
 _NONE = -1
 
 
@@ -104,15 +106,28 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return done.join(info, "__key").select("__id", "__sha", "__rows", "__level", "__name")
 
 
+def _every_row(named: DataFrame) -> DataFrame:
+    """``named`` with each row as often as its document stands in the table.
+
+    A document that repeats more than ``REPEATS`` times is dealt out in portions first.
+    """
+    few = named.filter(F.col("__rows") <= REPEATS).withColumn("__n", F.col("__rows"))
+    many = (named.filter(F.col("__rows") > REPEATS)
+            .withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__rows") - 1, F.lit(REPEATS).cast("long"))))
+            .repartition("__id", "__sha", "__at")
+            .withColumn("__n", F.least(F.lit(REPEATS).cast("long"), F.col("__rows") - F.col("__at"))).drop("__at"))
+    return few.unionByName(many).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      block_bytes: int = BLOCK_BYTES, block_hash=_hash) -> DataFrame:
-    """One row per document: ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+    """One row per row of ``docs``: ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Texts are equal when identical after each run of ASCII white space became
     one space; a null text is the empty text. Of equal texts the row with the
     smallest id stays; a null id stays only where all ids of the group are null.
-    Rows that repeat id and text are one document: returned once, each counted in
-    ``group_size``. One id with different texts gives one row per text. Extra
+    Every row is returned and counted in ``group_size``, rows that repeat id and
+    text as well: those of the smallest id are all ``kept``. Extra
     columns of ``docs`` are not read. An empty table gives no rows. Long texts
     add levels (the logarithm of their blocks). A group with a third of all rows
     is aggregated map-side, and only narrow rows are joined back, on sides that
@@ -123,23 +138,25 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = written(block_names(docs, id_col, text_col, block_bytes, block_hash), "doc-names")
     groups = written(named.groupBy("__level", "__name").agg(
         F.min("__id").alias("keep_id"), F.sum("__rows").alias("group_size")), "equal-texts")
-    return (named.join(groups, ["__level", "__name"])
+    return (_every_row(named).join(groups, ["__level", "__name"])
             .select(F.col("__id").alias(id_col), "keep_id", "group_size",
                     F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.col("__sha").alias("text_sha256")))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they were."""
+    """``docs`` with one row of each group of equal texts, all columns as they were.
+
+    Where rows repeat the id and the text that stay, one of them stays; which one, if
+    other columns tell them apart, is not defined.
+    """
     groups = exact_duplicates(docs, id_col, text_col)
-    kept = written(groups.filter("kept").select(
-        F.col(id_col).alias("__keep"), F.col("text_sha256").alias("__keep_sha")), "kept-texts")
+    kept = written(groups.filter("kept").groupBy(F.col(id_col).alias("__keep"), F.col("text_sha256").alias("__keep_sha"))
+                   .agg(F.count(F.lit(1)).alias("__rows")), "kept-texts")
     marked = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256))
     out = marked.join(kept, F.col(id_col).eqNullSafe(F.col("__keep"))
                       & (F.col("__sha") == F.col("__keep_sha")), "left_semi")
-    repeated = groups.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).first()
-    total = docs.count()
-    if repeated["n"] != total:  # some rows repeat id and text: one row of those stays
+    if not kept.filter("__rows > 1").isEmpty():  # some of the rows that stay repeat id and text
         out = out.dropDuplicates([id_col, "__sha"])
     return out.select(*docs.columns)
 

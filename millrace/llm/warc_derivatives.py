@@ -101,14 +101,22 @@ def derivatives(records: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def warc_record(rows: DataFrame) -> DataFrame:
-    """The derivatives as WARC/1.1 text, one ``record`` per row (headers, block, two line ends)."""
+    """The derivatives as WARC/1.1 text, one ``record`` per row (headers, block, two line ends).
+
+    The response's status line and headers are ``WARC-Source-Header`` fields, one per
+    line of its header block in their order, and ``WARC-Source-Payload-Digest`` is the
+    digest of the payload that the block was made from. A null column gives no field.
+    """
     def header(name: str, value: Column) -> Column:
         return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise(F.lit(""))
 
+    lines = F.filter(F.split(F.coalesce(F.col("source_headers"), F.lit("")), r"\r?\n"), lambda x: x != "")
+    source = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("WARC-Source-Header: "), x, F.lit("\r\n"))), "")
     text = F.concat(
         F.lit("WARC/1.1\r\n"), header("WARC-Type", F.col("warc_type")), header("WARC-Record-ID", F.col("record_id")),
         header("WARC-Date", F.col("warc_date")), header("WARC-Target-URI", F.col("target_uri")),
         header("WARC-Refers-To", F.col("refers_to")), header("WARC-Concurrent-To", F.col("concurrent_to")),
+        header("WARC-Source-Payload-Digest", F.col("source_payload_digest")), source,
         header("WARC-Block-Digest", F.col("block_digest")), header("Content-Type", F.col("content_type")),
         header("Content-Length", F.col("content_length").cast("string")), F.lit("\r\n"), F.col("content"),
         F.lit("\r\n\r\n"))
