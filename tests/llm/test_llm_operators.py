@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,9 @@ def test_warc_derivatives_link_and_digest(spark):
         "page_id = 1 AND warc_type = 'conversion'")).first()["record"]
     head, body = record.split("\r\n\r\n", 1)
     assert head.startswith("WARC/1.1\r\nWARC-Type: conversion\r\n") and body == "un\ndeux\ntrois\r\n\r\n"
+    assert "WARC-Source-Payload-Digest: " + text["source_payload_digest"] + "\r\n" in head + "\r\n"
+    assert ("WARC-Source-Header: HTTP/1.1 200 OK\r\nWARC-Source-Header: Content-Type: text/html; charset=utf-8\r\n"
+            f"WARC-Source-Header: Content-Length: {len(page.encode())}\r\n") in head + "\r\n"
     assert warc_derivatives.derivatives(records.limit(0)).count() == 0
 
 
@@ -209,14 +213,22 @@ def test_exact_duplicates(awkward, block_bytes, weak):
     groups = {}
     for i, t in rows:
         groups.setdefault(_normal(t), []).append(i)
-    want = set()
+    want = []
     for t, ids in groups.items():
         keep = min((i for i in ids if i is not None), default=None)
-        for i in set(ids):
-            want.add((i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()))
+        for i in ids:
+            want.append((i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()))
     options = {"block_hash": lambda b: F.length(b).cast("long")} if weak else {}
     got = block_naming.exact_duplicates(awkward, block_bytes=block_bytes, **options).collect()
-    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert Counter(tuple(r) for r in got) == Counter(want)
+
+
+def test_one_row_repeated_often(spark, monkeypatch):
+    monkeypatch.setattr(block_naming, "REPEATS", 7)
+    docs = spark.createDataFrame([(1, "a  b")] * 20 + [(2, "a b")] * 3 + [(3, "c")], "doc_id long, text string")
+    got = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in block_naming.exact_duplicates(docs).collect())
+    assert got == {(1, 1, 23, True): 20, (2, 1, 23, False): 3, (3, 3, 1, True): 1}
+    assert sorted(r["doc_id"] for r in block_naming.drop_exact_duplicates(docs).collect()) == [1, 3]
 
 
 def test_drop_exact_duplicates_keeps_one_row(awkward, empty):
@@ -238,16 +250,78 @@ def _base(rows, train):
                    for (i, _), ws, learn in zip(rows, tokens, train))
 
 
+def _class_model(rows, train, classes, kinds):
+    """Every row's score by plain counting, given each word's training count and class; and the sum of one class's events."""
+    end, new = classes, classes + 1
+    once = sum(n == 1 for n, _ in kinds.values())
+    of = Counter()
+    for n, c in kinds.values():
+        of[c] += n
+    of[end] = sum(train)
+    steps = Counter()
+    known = {w: c for w, (_, c) in kinds.items()}
+    for (_, text), learn in zip(rows, train):
+        ws = _words(text, True)
+        path = [end, *(known.get(w, new) for w in ws), end]
+        if learn:
+            steps.update(zip(path, path[1:]))
+            rare = [False, *(kinds[w][0] == 1 for w in ws), False]
+            for k in range(1, len(path) - 1):
+                if rare[k]:
+                    steps[path[k - 1], new] += 1
+                    steps[new, path[k + 1]] += 1
+                    steps[new, new] += rare[k - 1]
+    total = sum(of.values())
+
+    def step(a, b):
+        out = sum(steps[a, c] for c in range(classes + 1))
+        fresh = min(0.9, (steps[a, new] + 0.5) / (out + 1))
+        return fresh if b == new else (1 - fresh) * (steps[a, b] + of[b] / total) / (out + 1)
+
+    def score(text):
+        path, p = end, 0.0
+        for w in _words(text, True):
+            n, c = kinds.get(w, (1, new))
+            p += math.log10(step(path, c)) + math.log10(n / of[c] if c != new else 1 / (once + 1))
+            path = c
+        return p + math.log10(step(path, end))
+
+    after = sum(step(0, c) * (n / of[c]) for n, c in kinds.values()) + step(0, end) + (once + 1) * step(0, new) / (once + 1)
+    return [score(t) for _, t in rows], after
+
+
 def test_class_scores(spark, awkward, documents):
+    from millrace.llm.common import hash_strings
     for docs in (awkward.select("doc_id", "text"), documents.select("doc_id", "text")):
         docs = docs.withColumn("train", F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True)))
         rows = [(r["doc_id"], r["text"], r["train"]) for r in docs.collect()]
-        got = class_lm.class_scores(docs, classes=6, seeds=60).collect()
-        want = _base([r[:2] for r in rows], [r[2] for r in rows])
-        assert Counter((*tuple(r)[:5], round(r["base_score"], 5)) for r in got) == want
-        assert all(r["score"] < 0 for r in got)
+        model = class_lm.fit_classes(docs, classes=6, seeds=60)
+        got = class_lm.score_texts(model).collect()
+        pairs, train = [r[:2] for r in rows], [r[2] for r in rows]
+        assert Counter((*tuple(r)[:5], round(r["base_score"], 5)) for r in got) == _base(pairs, train)
+        of_hash = {r["word"]: (r["n"], r["class"]) for r in class_lm.word_classes(model).collect()}
+        words = sorted({w for (_, t), learn in zip(pairs, train) if learn for w in _words(t, True)})
+        hashes = hash_strings(pa.array([w.decode() for w in words])).view("int64")
+        assert len(of_hash) == len(words)
+        want, after = _class_model(pairs, train, 6, {w: of_hash[int(h)] for w, h in zip(words, hashes)})
+        assert abs(after - 1) < 1e-9
+        assert (sorted((_key(r["doc_id"]), round(r["score"], 4)) for r in got)
+                == sorted((_key(i), round(x, 4)) for (i, _), x in zip(pairs, want)))
     held = [r for r in got if not r["train"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    bits = got[0]["information"]
+    assert len(bits) == class_lm.MOVES + 1 and bits[-1] > bits[0]
+
+
+def test_invented_words_score_below_documents(spark, documents):
+    rng = random.Random(3)
+    made = [(-i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=9)) for _ in range(100))) for i in range(1, 6)]
+    docs = documents.select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0).alias("train"))
+    got = class_lm.class_scores(docs.unionByName(spark.createDataFrame(made, "doc_id long, text string").withColumn(
+        "train", F.lit(False)))).collect()
+    held = [(r["doc_id"], r["score"] / r["n_tokens"], r["n_known"] / r["n_tokens"]) for r in got if not r["train"]]
+    worst = max(x for i, x, _ in held if i < 0)
+    assert worst < -4 and all(x > worst for i, x, known in held if i >= 0 and known >= 0.8)
 
 
 def test_class_scores_without_training(awkward, empty):
