@@ -655,6 +655,23 @@ def q_shards(spark, sf):
     return shard(_ranked(spark, sf)).select("doc_id", "rank", "shard", "pos")
 
 
+SHARD_FILE_ROWS = 100
+
+
+@register("shard_files", _FEED_SQL + f"""
+SELECT CAST(rank % {C.DATA_PARALLEL} AS BIGINT) AS shard, CAST(rank // {C.DATA_PARALLEL} // {SHARD_FILE_ROWS} AS BIGINT) AS file,
+       count(*) AS n_rows, CAST(sum(n_tokens) AS BIGINT) AS n_tokens, min(rank) AS first_rank, max(rank) AS last_rank
+FROM o, n WHERE rank < n.n - n.n % {C.DATA_PARALLEL} GROUP BY ALL
+""")
+def q_shard_files(spark, sf):
+    """The manifest of the reader shards, written as files."""
+    from millrace.operators.shards import write_shards
+    from millrace.session import checkpoint_path
+    ranked = _ranked(spark, sf).select("doc_id", "n_tokens", "rank")
+    return write_shards(ranked, checkpoint_path(spark, "shards"), len_col="n_tokens", rows_per_file=SHARD_FILE_ROWS).select(
+        "shard", "file", "n_rows", "n_tokens", "first_rank", "last_rank")
+
+
 @register("batches", _FEED_SQL + f"""
 SELECT CAST(e.epoch AS INTEGER) AS epoch, CAST(rank // {BATCH_SIZE} AS BIGINT) AS batch, doc_id
 FROM o, n, (SELECT range AS epoch FROM range({EPOCHS})) e

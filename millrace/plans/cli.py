@@ -25,6 +25,7 @@ from millrace.operators.packing import BUCKET_DIGITS
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="millrace")
     p.add_argument("--config", help="JSON file with default parameters")
+    p.add_argument("--cache_dir", help="shared folder of parsed chat files: unchanged files are not parsed again")
     p.add_argument("--master", help="Spark master for a local run (omit under spark-submit)")
     sub = p.add_subparsers(dest="job", required=True)
 
@@ -82,12 +83,12 @@ def build_job(args: argparse.Namespace):
     from millrace.plans.jobs import DecontaminateJob, DeduplicateJob, PackJob, PrepareSplitJob, TokenizeJob
     if args.job == "decontaminate":
         return DecontaminateJob(args.target_data, args.contaminant_source, args.output_file_prefix,
-                                args.threshold, args.output_format, _loader(args.encoder))
+                                args.threshold, args.output_format, _loader(args.encoder), args.cache_dir)
     if args.job == "deduplicate":
         return DeduplicateJob(args.target_data, args.output_file_prefix, args.threshold, args.output_format,
-                              _loader(args.encoder))
+                              _loader(args.encoder), args.cache_dir)
     if args.job == "prepare":
-        return PrepareSplitJob(args.json_file_paths, args.output_dir, args.merges_file, args.seq_length)
+        return PrepareSplitJob(args.json_file_paths, args.output_dir, args.merges_file, args.seq_length, args.cache_dir)
     if args.job == "tokenize":
         return TokenizeJob(args.input_path, args.output_dir, args.merges_file, args.vocab_file, args.seq_length,
                            args.handler, args.id_col)

@@ -23,10 +23,11 @@ from millrace.operators.reports import flag_rate, length_histogram
 from millrace.operators.similarity import ivf_knn, ivf_sizes, knn
 from millrace.plans.prepare import instruct_records
 from millrace.session import cut_lineage, ensure_checkpoint_dir
-from millrace.sources.chats import benchmark_from_map, read_chat_jsonl
+from millrace.sources.cache import read_chats
+from millrace.sources.chats import benchmark_from_map
 
 
-def _questions(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _questions(spark: SparkSession, paths: list[str], cache_dir: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(targets, rejected, copies)`` of chat files, read once.
 
     ``targets`` has one row per distinct question (the first line wins),
@@ -34,7 +35,7 @@ def _questions(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFr
     question or that are no JSON, as they stood. Every input row is in one of
     the three.
     """
-    chats = read_chat_jsonl(spark, paths)
+    chats = read_chats(spark, paths, cache_dir).drop("file_name")
     q = chats.select("*", question_of("conversations").alias("question"))
     q = cut_lineage(q.withColumn("question_id", content_id(F.col("question"))), "questions")
     bad = F.col("question").isNull()
@@ -74,6 +75,7 @@ class DecontaminateJob:
     threshold: float = C.SIM_THRESHOLD
     output_format: str = "json"
     encoder: Callable[[], object] | None = None
+    cache_dir: str | None = None
 
     def _matches(self, targets: DataFrame, bench: DataFrame) -> DataFrame:
         if self.encoder is None:
@@ -85,7 +87,7 @@ class DecontaminateJob:
             F.col("tid").alias("question_id"), F.col("iid").alias("match_id"), "score")
 
     def plan(self, spark: SparkSession) -> dict[str, DataFrame]:
-        targets, rejected, copies = _questions(spark, self.target_paths)
+        targets, rejected, copies = _questions(spark, self.target_paths, self.cache_dir)
         bench = benchmark_from_map(spark, self.benchmark_path)
         m = cut_lineage(self._matches(targets, bench), "matches")
         report = (m.join(targets.select("question_id", "question"), "question_id")
@@ -113,6 +115,7 @@ class DeduplicateJob:
     threshold: float = C.SIM_THRESHOLD
     output_format: str = "json"
     encoder: Callable[[], object] | None = None
+    cache_dir: str | None = None
 
     def _pairs(self, targets: DataFrame) -> DataFrame:
         if self.encoder is None:
@@ -127,7 +130,7 @@ class DeduplicateJob:
             F.col("tid").alias("question_id"), F.col("iid").alias("match_id"), "score")
 
     def plan(self, spark: SparkSession) -> dict[str, DataFrame]:
-        targets, rejected, copies = _questions(spark, self.target_paths)
+        targets, rejected, copies = _questions(spark, self.target_paths, self.cache_dir)
         pairs = cut_lineage(self._pairs(targets), "duplicates")
         names = targets.select("question_id", "question")
         report = (pairs.join(names, "question_id")
@@ -156,6 +159,7 @@ class PrepareSplitJob:
     output_dir: str
     merges_path: str
     seq_length: int = C.SEQ_LENGTH
+    cache_dir: str | None = None
 
     def plan(self, spark: SparkSession) -> dict[str, DataFrame]:
         from millrace.operators.tokenize import token_counts_bpe
@@ -165,10 +169,10 @@ class PrepareSplitJob:
         def count(df: DataFrame, text_col: str, out: str) -> DataFrame:
             return token_counts_bpe(df, df.columns, text_col, merges).withColumnRenamed("n_tokens", out)
 
-        chats = read_chat_jsonl(spark, self.input_paths)
+        chats = read_chats(spark, self.input_paths, self.cache_dir)
         pos = F.col("source_pos")
         pairs = chats.select(F.concat_ws("#", pos["file"], pos["block"], pos["row"]).alias("record_id"),
-                             "source_path", F.col("_metadata.file_name").alias("file_name"), "_corrupt_record",
+                             "source_path", "file_name", "_corrupt_record",
                              question_of("conversations").alias("question"),
                              answer_of("conversations").alias("answer"))
         pairs = cut_lineage(pairs, "pairs")

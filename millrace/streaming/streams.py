@@ -5,7 +5,8 @@
   (``foreachBatch`` runs the batch operator; records are independent, so a
   stream equals its batch form).
 * ST3: exact dedup by content id with bounded state (a watermark on an
-  ingest timestamp), or unbounded ``dropDuplicates`` when none is given.
+  ingest timestamp), or unbounded ``dropDuplicates`` when none is given, or
+  exactly with its ids in files (``dedup_batches``): no copy passes however late.
 * ST4: running token-length histogram over fixed bin edges (complete mode).
 """
 
@@ -40,6 +41,32 @@ def dedup_stream(stream: DataFrame, key: str = "question_id", event_time: str |
     return stream.dropDuplicates([key])
 
 
+def dedup_batches(out_kept: str, ids_dir: str, key: str = "question_id"):
+    """``foreachBatch`` function: keep the first row of each key of the whole stream, with the ids in files.
+
+    Each epoch owns a folder (``epoch=<n>``) of kept rows and one of their ids. An
+    epoch meets only the ids of earlier epochs and replaces its own folders, so a
+    retried epoch or a restarted stream gives the same keys once. Executors hold no
+    state: an epoch reads the earlier ids (one narrow column, as large as the
+    distinct keys so far) and shuffles them against its own keys; late copies are
+    dropped whatever their age. Of copies in one batch any one stays. A null key is
+    a key of its own.
+    """
+    from millrace.session import cut_lineage
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.dropDuplicates([key])
+        if epoch_id > 0:
+            ids = spark.read.parquet(ids_dir).filter(F.col("epoch") < epoch_id).select(F.col(key).alias("__seen"))
+            kept = kept.join(ids, F.col(key).eqNullSafe(F.col("__seen")), "left_anti")
+        kept = cut_lineage(kept, "stream-new")
+        kept.write.mode("overwrite").parquet(f"{out_kept.rstrip('/')}/epoch={epoch_id}")
+        kept.select(key).write.mode("overwrite").parquet(f"{ids_dir.rstrip('/')}/epoch={epoch_id}")
+
+    return run
+
+
 def decontaminate_batches(benchmark: DataFrame, threshold: float, out_flagged: str, out_kept: str,
                           id_col: str = "question_id", text_col: str = "question"):
     """``foreachBatch`` function: flag each micro-batch against the static benchmark and write both outputs.
