@@ -171,7 +171,7 @@ class PrepareSplitJob:
 
         chats = read_chats(spark, self.input_paths, self.cache_dir)
         pos = F.col("source_pos")
-        pairs = chats.select(F.concat_ws("#", pos["file"], pos["block"], pos["row"]).alias("record_id"),
+        pairs = chats.select(F.concat_ws("#", pos["file"], pos["offset"]).alias("record_id"),
                              "source_path", "file_name", "_corrupt_record",
                              question_of("conversations").alias("question"),
                              answer_of("conversations").alias("answer"))

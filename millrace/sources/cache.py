@@ -44,7 +44,7 @@ def _literal(path: str) -> str:
 
 def _parse(spark: SparkSession, paths: list[str]) -> DataFrame:
     chats = read_chat_jsonl(spark, paths)
-    return chats.select("*", F.col("_metadata.file_name").alias("file_name"))
+    return chats.withColumn("file_name", F.element_at(F.split("source_path", "/"), -1))
 
 
 def read_chats(spark: SparkSession, paths, cache_dir: str | None = None) -> DataFrame:
@@ -81,8 +81,7 @@ def read_chats(spark: SparkSession, paths, cache_dir: str | None = None) -> Data
 
 
 def _parsed_schema() -> T.StructType:
-    pos = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()),
-                        T.StructField("row", T.LongType())])
+    pos = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType())])
     return T.StructType([*CHAT_SCHEMA.fields, T.StructField("source_path", T.StringType()),
                          T.StructField("source_mtime", T.TimestampType()), T.StructField("source_pos", pos),
                          T.StructField("file_name", T.StringType())])

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.lines import SPLIT_BYTES, read_lines
+
 TURN = T.StructType([
     T.StructField("from", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -32,30 +34,23 @@ MESSAGE = T.StructType([
 ])
 
 
-def read_chat_jsonl(spark: SparkSession, paths, schema: T.StructType = CHAT_SCHEMA) -> DataFrame:
+def read_chat_jsonl(spark: SparkSession, paths, schema: T.StructType = CHAT_SCHEMA,
+                    split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """JSONL chat scan with an explicit schema (no inference pass).
 
     Several paths are one job; ``source_path`` keeps the file each record
     came from (used to choose the prompt) and ``source_pos`` is the record's
-    position: (file path, start of its file block, id within the split),
-    which orders lines as they appear in each file whatever the split
-    layout, and files by path. Bad lines land in ``_corrupt_record``
-    instead of failing the job.
+    position: (file path, offset of its first byte). It orders lines as they
+    appear in each file, files by path, and is the same under any split size,
+    so a later run names the same records. Bad lines land in
+    ``_corrupt_record`` instead of failing the job; blank lines are no records.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    df = (spark.read.schema(schema)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .json(list(paths)))
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_path"),
-        F.col("_metadata.file_modification_time").alias("source_mtime"),
-        F.struct(F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("row")).alias("source_pos"),
-    )
+    lines = read_lines(spark, paths, split_bytes)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return lines.select(
+        F.from_json("line", schema, options).alias("record"), "source_path", "source_mtime",
+        F.struct(F.col("source_path").alias("file"), "offset").alias("source_pos"),
+    ).select("record.*", "source_path", "source_mtime", "source_pos")
 
 
 def read_json_map(spark: SparkSession, path: str, key: str = "key", value: str = "value",
