@@ -4,9 +4,10 @@ A text is the set of its paragraphs' 64-bit digests. A sketch spreads each diges
 over three cells, one in each third; a cell holds a count, the xor of its digests
 and the xor of their checks. Sketches of two versions subtract cell by cell, what
 they share cancels, and peeling cells that hold one digest recovers the digests
-that differ. Where the fixed-size fingerprints cannot be peeled, the pair is
-tried again with larger sketches: one per group of digests, as many groups as the
-two versions need, and larger cells' tables for a group that fails again.
+that differ. Where the fixed-size fingerprints cannot be peeled, each version makes a
+larger sketch of its own: as many blocks (a digest's leading bits choose one) as the
+unpeeled cells let expect differences. Blocks subtract and peel one by one; a block that fails
+is made anew by both versions with twice the cells, and so on.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from millrace.llm.common import read, shuffle_parts
 PARAGRAPH = r"[^\n]{120,400}?[.!?]+|[^\n]{1,400}"
 #: log2 of the cells in a third of the fingerprint, and the first digest bit they use.
 BASE = (3, 0)
-#: The same for the tries of a group: 6, 12, 24, 48 and 96 cells.
+#: The same for the tries of a block: 6, 12, 24, 48 and 96 cells.
 RETRIES = ((1, 9), (2, 12), (3, 18), (4, 27), (5, 39))
-#: Digests (of both versions) that a group of the larger sketches holds on average, at most.
-GROUP_DIGESTS = 2
+#: Differing digests that a block of the larger sketches is expected to hold, at most.
+BLOCK_DIGESTS = 2
 ROUNDS = 8
 
 
@@ -59,86 +60,111 @@ def _cells_with(begin: Column, entries: Column, factor: int) -> Column:
                                 acc["c"].bitwiseXOR(x["c"]).alias("c"))))
 
 
-def _sketch(signed: Column, size: tuple[int, int]) -> Column:
-    """Cells of an array of (d, s): digests with the sign of their version."""
+def _sketch(ds: Column, size: tuple[int, int]) -> Column:
+    """Cells of one version's digests."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
-    return _let(F.transform(signed, lambda x: _placed(x["d"], x["s"], _check(x["d"]), size)),
+    return _let(F.transform(ds, lambda d: _placed(d, F.lit(1), _check(d), size)),
                 lambda entries: _cells_with(F.array_repeat(zero, 3 << size[0]), entries, 1))
 
 
-def _signed(ds: Column, sign: int) -> Column:
-    return F.transform(ds, lambda d: F.struct(d.alias("d"), F.lit(sign).alias("s")))
-
-
 def _subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"),
                                                   x["c"].bitwiseXOR(y["c"]).alias("c")))
 
 
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
+
+
 def _peel(cells: Column, size: tuple[int, int]) -> Column:
-    """struct(ok, only_a, only_b): how many differing digests were recovered, and whether nothing is left."""
+    """struct(ok, only_a, only_b): the differing digests that were recovered, and whether nothing is left."""
     def pure(state: Column) -> Column:
         return F.array_distinct(F.transform(
             F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["c"])),
             lambda c: _placed(c["k"], c["n"], c["c"], size)))
 
+    def of(found: Column, sign: int) -> Column:
+        return F.transform(F.filter(found, lambda x: x["s"] == sign), lambda x: x["d"])
+
     def without(state: Column, found: Column) -> Column:
         return F.when(F.size(found) == 0, F.struct(
             state["cells"].alias("cells"), state["a"].alias("a"), state["b"].alias("b"), F.lit(False).alias("go"))
         ).otherwise(F.struct(
-            _cells_with(state["cells"], found, -1).alias("cells"),
-            (state["a"] + F.size(F.filter(found, lambda x: x["s"] == 1))).alias("a"),
-            (state["b"] + F.size(F.filter(found, lambda x: x["s"] == -1))).alias("b"), F.lit(True).alias("go")))
+            _cells_with(state["cells"], found, -1).alias("cells"), F.concat(state["a"], of(found, 1)).alias("a"),
+            F.concat(state["b"], of(found, -1)).alias("b"), F.lit(True).alias("go")))
 
     def step(state: Column, _: Column) -> Column:
         return F.when(state["go"], _let(pure(state), lambda found: without(state, found))).otherwise(state)
 
-    begin = F.struct(cells.alias("cells"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(True).alias("go"))
+    begin = F.struct(cells.alias("cells"), _none().alias("a"), _none().alias("b"), F.lit(True).alias("go"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), begin, step, lambda s: F.struct(
         (~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["c"] != 0))).alias("ok"),
         s["a"].alias("only_a"), s["b"].alias("only_b")))
 
 
-def _by_group(signed: Column) -> Column:
-    """Cut signed digests into groups by their leading bits; equal digests share a group."""
-    def cut(xs: Column, shift: Column) -> Column:
-        # each digest's leading bits, in order of the digests; a group ends where they change
-        lead = F.transform(xs, lambda x: F.call_function("shiftright", F.shiftright(x["d"], 33), shift))
-        return _let(lead, lambda bits: _let(
-            F.filter(F.sequence(F.lit(1), F.size(xs)), lambda i: (i == F.size(xs)) | (bits[i - 1] != F.get(bits, i))),
+def _expected_difference(cells: Column, n_a: Column, n_b: Column) -> Column:
+    """How many digests differ, as the subtracted cells let expect.
+
+    A third of m cells has sum(n^2) = D * (1 - 1/m) + (n_a - n_b)^2 / m on average. The
+    estimate only sets the size of the next sketch.
+    """
+    m = 1 << BASE[0]
+    squares = F.aggregate(cells, F.lit(0).cast("long"), lambda s, c: s + c["n"].cast("long") * c["n"]) / 3
+    more = F.abs(n_a - n_b).cast("long")
+    return F.least(F.greatest((squares - more * more / m) / (1 - 1 / m), more.cast("double"), F.lit(1.0)),
+                   (n_a + n_b).cast("double"))
+
+
+def _blocks(ds: Column, bits: Column, side: int) -> Column:
+    """A version's digests by block (their leading bits): array of (block, side, digests), none of them empty."""
+    def cut(xs: Column) -> Column:
+        lead = F.transform(xs, lambda x: F.call_function("shiftright", F.shiftright(x, 33), F.lit(31) - bits))
+        return _let(lead, lambda names: _let(
+            F.filter(F.sequence(F.lit(1), F.size(xs)), lambda i: (i == F.size(xs)) | (names[i - 1] != F.get(names, i))),
             lambda ends: F.transform(ends, lambda e, j: _let(
                 F.when(j == 0, F.lit(0)).otherwise(ends[F.greatest(j - 1, F.lit(0))]),
-                lambda begin: F.slice(xs, begin + 1, e - begin)))))
+                lambda begin: F.struct(names[e - 1].alias("block"), F.lit(side).alias("side"),
+                                       F.slice(xs, begin + 1, e - begin).alias("ds"))))))
 
-    count = F.greatest(F.size(signed) / GROUP_DIGESTS, F.lit(1.0))
-    shift = F.lit(31) - F.least(F.ceil(F.log2(count)), F.lit(30)).cast("int")
-    return F.when(F.size(signed) == 0, F.array().cast("array<array<struct<d:bigint,s:int>>>")).otherwise(
-        _let(F.sort_array(signed), lambda xs: _let(shift, lambda n: cut(xs, n))))
+    return F.when(F.size(ds) == 0, F.array().cast("array<struct<block:bigint,side:int,ds:array<bigint>>>")).otherwise(
+        _let(F.sort_array(ds), cut))
 
 
-def _solve(group: Column) -> Column:
-    """Differing digests of one group, with larger sketches after each failure.
+def _facing(blocks: Column) -> Column:
+    """Blocks of both versions by name: array of (a, b), an empty array where a version has no digest in a block."""
+    def face(xs: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(xs) - 1),
+                          lambda i: (i == 0) | (xs[F.greatest(i - 1, F.lit(0))]["block"] != xs[i]["block"]))
+        return F.transform(begins, lambda i: _let(
+            F.struct(xs[i].alias("x"), F.get(xs, i + 1).alias("y")), lambda p: F.struct(
+                F.when(p["x"]["side"] == 0, p["x"]["ds"]).otherwise(_none()).alias("a"),
+                F.when(p["x"]["side"] == 1, p["x"]["ds"])
+                .when(p["y"]["block"] == p["x"]["block"], p["y"]["ds"]).otherwise(_none()).alias("b"))))
 
-    A group that the largest sketch cannot peel (two digests that share all cells of
-    every size) is settled by its digests themselves.
-    """
-    def exact() -> Column:
-        def side(s: int) -> Column:
-            return F.transform(F.filter(group, lambda x: x["s"] == s), lambda x: x["d"])
-        return F.struct(F.lit(True).alias("ok"), F.size(F.array_except(side(1), side(-1))).alias("only_a"),
-                        F.size(F.array_except(side(-1), side(1))).alias("only_b"))
+    return F.when(F.size(blocks) == 0, F.array().cast("array<struct<a:array<bigint>,b:array<bigint>>>")).otherwise(
+        _let(F.sort_array(blocks), face))
 
-    def attempt(tries: tuple) -> Column:
-        if not tries:
-            return exact()
-        return _let(_peel(_sketch(group, tries[0]), tries[0]),
-                    lambda r: F.when(r["ok"], r).otherwise(attempt(tries[1:])))
 
-    return attempt(RETRIES)
+def _solve(block: Column) -> Column:
+    """Differing digests of one block: both versions sketch it, with more cells after each failure.
+
+    ``tries`` tells how many sketches it took. A block that the largest sketch cannot peel (digests that share
+    all cells of every size) is settled by its digests themselves and counts one try more.
+    """
+    def attempt(k: int) -> Column:
+        if k == len(RETRIES):
+            return F.struct(F.lit(k + 1).alias("tries"), F.array_except(block["a"], block["b"]).alias("only_a"),
+                            F.array_except(block["b"], block["a"]).alias("only_b"))
+        size = RETRIES[k]
+        return _let(_peel(_subtract(_sketch(block["a"], size), _sketch(block["b"], size)), size),
+                    lambda r: F.when(r["ok"], F.struct(F.lit(k + 1).alias("tries"), r["only_a"].alias("only_a"),
+                                                       r["only_b"].alias("only_b"))).otherwise(attempt(k + 1)))
+
+    return attempt(0)
 
 
 def fingerprint_cells(ds: Column) -> Column:
-    return _sketch(_signed(ds, 1), BASE)
+    return _sketch(ds, BASE)
 
 
 def fingerprint_text(ds: Column, cells: Column) -> Column:
@@ -147,30 +173,41 @@ def fingerprint_text(ds: Column, cells: Column) -> Column:
         F.hex(c["n"]), F.lit("."), F.hex(c["k"]), F.lit("."), F.hex(c["c"].bitwiseAND(F.lit(0xFFFFFFFF))))), "-"))
 
 
-def with_likeness(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
-    """Add the share of two texts' paragraphs that did not differ (1 for equal sets, also for two empty ones).
+def with_difference(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
+    """Add ``out``: struct(tries, only_a, only_b), the digests that only one of two versions has.
 
-    ``a`` and ``b`` are digest columns (they stand for the sketches of every
-    size), the cells their fingerprints, which are subtracted and peeled first.
+    ``a`` and ``b`` are digest columns without repeats, the cells their fingerprints, which are subtracted
+    and peeled first (``tries`` 0). Otherwise ``tries`` is the most sketches that a block took.
+    The order inside the two arrays is of no meaning.
     """
-    base = _peel(_subtract(F.col(a_cells), F.col(b_cells)), BASE)
-    groups = _by_group(F.concat(_signed(F.col(a), 1), _signed(F.col(b), -1)))
     # steps of their own: each is evaluated once and stays small
-    df = df.withColumn("__base", base)
-    df = df.withColumn("__groups", F.when(~F.col("__base.ok"), groups))
-    none = F.struct(F.lit(0).alias("only_a"), F.lit(0).alias("only_b"))
-    larger = F.aggregate(F.transform("__groups", _solve), none, lambda s, g: F.struct(
-        (s["only_a"] + g["only_a"]).alias("only_a"), (s["only_b"] + g["only_b"]).alias("only_b")))
-    df = df.withColumn("__found", F.when(F.col("__base.ok"), F.struct(
-        F.col("__base.only_a").alias("only_a"), F.col("__base.only_b").alias("only_b"))).otherwise(larger))
+    df = df.withColumn("__cells", _subtract(F.col(a_cells), F.col(b_cells)))
+    df = df.withColumn("__base", _peel(F.col("__cells"), BASE))
+    expected = _expected_difference(F.col("__cells"), F.size(a), F.size(b))
+    bits = F.least(F.ceil(F.log2(F.greatest(expected / BLOCK_DIGESTS, F.lit(1.0)))), F.lit(30)).cast("int")
+    df = df.withColumn("__bits", F.when(~F.col("__base.ok"), bits))
+    df = df.withColumn("__blocks", F.when(~F.col("__base.ok"), F.concat(
+        _blocks(F.col(a), F.col("__bits"), 0), _blocks(F.col(b), F.col("__bits"), 1))))
+    df = df.withColumn("__facing", F.when(~F.col("__base.ok"), _facing(F.col("__blocks"))))
+    df = df.withColumn("__solved", F.transform("__facing", _solve))
+    found = F.when(F.col("__base.ok"), F.struct(F.lit(0).alias("tries"), F.col("__base.only_a").alias("only_a"),
+                                                F.col("__base.only_b").alias("only_b"))).otherwise(
+        F.struct(F.array_max(F.transform("__solved", lambda r: r["tries"])).alias("tries"),
+                 F.flatten(F.transform("__solved", lambda r: r["only_a"])).alias("only_a"),
+                 F.flatten(F.transform("__solved", lambda r: r["only_b"])).alias("only_b")))
+    return df.withColumn(out, found).drop("__cells", "__base", "__bits", "__blocks", "__facing", "__solved")
+
+
+def with_likeness(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
+    """Add the share of two texts' paragraphs that did not differ (1 for equal sets, also for two empty ones)."""
+    df = with_difference(df, a, b, a_cells, b_cells, "__found")
     total = F.size(a) + F.size(b)
     return df.withColumn(out, F.when(total == 0, F.lit(1.0)).otherwise(
-        F.lit(1.0) - (F.col("__found.only_a") + F.col("__found.only_b")).cast("double") / total)).drop(
-        "__base", "__groups", "__found")
+        F.lit(1.0) - (F.size("__found.only_a") + F.size("__found.only_b")).cast("double") / total)).drop("__found")
 
 
 def _ranges(ids: DataFrame, column: str, parts: int) -> Column:
-    """Range number of an id: quantile bounds (at most ``parts``), found by a two-level search."""
+    """Range number of an id that is not null, below ``parts``: quantile bounds, found by a two-level search."""
     bounds = sorted(set(ids.approxQuantile(column, [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
     if not bounds:
         return F.lit(0)
@@ -180,21 +217,24 @@ def _ranges(ids: DataFrame, column: str, parts: int) -> Column:
     value = F.col(column).cast("double")
     before = F.size(F.filter(coarse, lambda b: b <= value)) * step
     found = before + F.size(F.filter(F.slice(fine, before + 1, F.lit(step)), lambda b: b <= value))
-    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
+    return found
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """``id``, ``text`` and the text of the next row by id (``next_text``); after the last comes the first.
 
-    Rows are dealt out by ranges of the id (numeric; null ids come last), so order
-    holds without one task for all. Each range gets a copy of the row that follows
+    Rows are dealt out by ranges of the id (numeric; null ids come last, by ranges of a hash
+    of their text), so order holds without one task for all. Each range gets a copy of the row that follows
     it: at most one row per range travels twice. Rows that repeat an id are ordered
     by a hash of their text. Null texts are empty.
     """
     parts = parts or shuffle_parts(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     number = _ranges(rows.filter(F.col("id").isNotNull()).select("id"), "id", parts)
-    dealt = rows.withColumn("__range", number).withColumn("__tie", F.xxhash64("text"))
+    # rows without an id are in order of the tie alone, a uniform hash: its leading bits are their ranges
+    later = F.lit(parts) + F.floor((F.shiftright("__tie", 48) + 32768) * parts / 65536).cast("int")
+    dealt = rows.withColumn("__tie", F.xxhash64("text")).withColumn(
+        "__range", F.when(F.col("id").isNull(), later).otherwise(number))
     order = [F.col("id").asc_nulls_last(), F.col("__tie")]
     # the first row of each range, one narrow row per range
     heads = (dealt.groupBy("__range").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "__tie")).alias("h"))

@@ -388,15 +388,57 @@ def test_paragraphs_are_cut_after_120_characters(spark):
     assert len(row["a"]) == 4 and row["near"] == pytest.approx(0.75) and len(row["long"]) == 1
 
 
+def _with_cells(df):
+    df = df.select("*", *[F.transform(c + "0", lambda x: F.xxhash64(x)).alias(c) for c in "ab"])
+    return df.select("*", *[bloom_lookup.fingerprint_cells(F.col(c)).alias(c + "c") for c in "ab"])
+
+
 def test_sketch_peels_larger_differences(spark):
     a, b = list(range(300)), list(range(40, 420))
-    df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
-        *[F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in "ab"])
-    df = df.select("a", "b", *[bloom_lookup.fingerprint_cells(F.col(c)).alias(c + "c") for c in "ab"])
+    df = _with_cells(spark.createDataFrame([(a, b)], "a0 array<long>, b0 array<long>"))
     near = bloom_lookup.with_likeness(df, "a", "b", "ac", "bc", "near").first()["near"]
     assert near == pytest.approx(1 - (40 + 120) / (300 + 380))
 
 
+def test_peeling_recovers_the_digests(spark):
+    """Every differing digest comes back, by sketches alone; small differences already by the fingerprints."""
+    rng = random.Random(4)
+    pairs = [([], []), ([], list(range(50))), (list(range(700)), []), (list(range(900)), list(range(900)))]
+    for n in (1, 3, 8, 20, 60, 200, 600):
+        for share in (0.02, 0.3, 0.9, 1.0):
+            both = rng.sample(range(10**9), 2 * n)
+            kept = [x for x in both[:n] if rng.random() > share]
+            pairs.append((both[:n], kept + both[n:n + int(n * share)]))
+    df = _with_cells(spark.createDataFrame(pairs, "a0 array<long>, b0 array<long>"))
+    rows = bloom_lookup.with_difference(df, "a", "b", "ac", "bc", "found").select("a", "b", "found").collect()
+    for r in rows:
+        only_a, only_b = r["found"]["only_a"], r["found"]["only_b"]
+        assert sorted(only_a) == sorted(set(r["a"]) - set(r["b"])) and sorted(only_b) == sorted(set(r["b"]) - set(r["a"]))
+    tries = [r["found"]["tries"] for r in rows]
+    assert max(tries) <= len(bloom_lookup.RETRIES) and min(tries) == 0 and len(rows) == 32
+
+
+def test_failed_blocks_are_settled(spark, monkeypatch):
+    """With the smallest sketches alone, blocks that fail are settled by their digests."""
+    monkeypatch.setattr(bloom_lookup, "RETRIES", bloom_lookup.RETRIES[:1])
+    monkeypatch.setattr(bloom_lookup, "BLOCK_DIGESTS", 16)
+    df = _with_cells(spark.createDataFrame([(list(range(300)), list(range(100, 500)))], "a0 array<long>, b0 array<long>"))
+    found = bloom_lookup.with_difference(df, "a", "b", "ac", "bc", "found").first()["found"]
+    assert found["tries"] == 2 and len(found["only_a"]) == 100 and len(found["only_b"]) == 200
+
+
+def test_next_of_rows_without_an_id(spark):
+    """Rows without an id follow each other in one circle with the rest, over many ranges."""
+    docs = spark.createDataFrame([(None, f"n{k}") for k in range(60)] + [(k, f"d{k}") for k in range(20)],
+                                 "doc_id long, text string")
+    after = {r["text"]: r["next_text"] for r in bloom_lookup.with_next(docs, parts=4).collect()}
+    at, seen = "d0", []
+    for _ in range(80):
+        seen.append(at)
+        at = after[at]
+    assert at == "d0" and len(set(seen)) == 80 and seen[:20] == [f"d{k}" for k in range(20)]
+
+
 # 7 pieces
 
 @pytest.fixture(scope="module")
