@@ -1150,16 +1150,68 @@ SELECT conv_id, turn,
          || '<|im_end|>' AS output,
        {sql_str(C.SYSTEM_PROMPT)} || replace(CASE WHEN turn % 2 = 0 THEN {sql_str(C.USER_PROMPT_MATH)} ELSE {sql_str(C.USER_PROMPT)} END,
          '{{{{content}}}}', text) AS instruction, turn % 2 = 0 AS is_math
-FROM conversations WHERE text IS NOT NULL AND text NOT LIKE '%<think>%' AND text NOT LIKE '%</answer>%'
+FROM conversations WHERE text IS NOT NULL
 """)
 def q_record_rules(spark, sf):
     """Tag repair, prompt choice by source path, end of turn and the math flag (P4, P6, P7, P8, P11)."""
     from millrace.functions.text import is_math, repair_tags
     from millrace.plans.prepare import instruct_records
-    conv = table(spark, sf, "conversations").filter(
-        "text IS NOT NULL AND text NOT LIKE '%<think>%' AND text NOT LIKE '%</answer>%'")
+    conv = table(spark, sf, "conversations")
     path = F.when(F.col("turn") % 2 == 0, "/data/math_a.jsonl").otherwise("/data/code.jsonl")
     pairs = conv.select("conv_id", "turn", path.alias("source_path"), F.col("text").alias("question"),
                         F.concat(F.lit("<think>"), "text", F.lit("</answer><think>")).alias("answer"))
     ok, _ = instruct_records(pairs, path_col="source_path")
     return ok.select("conv_id", "turn", "output", "instruction", is_math("instruction").alias("is_math"))
+
+
+# ---------------------------------------------------------------------------
+# files: chats as JSON lines, the benchmark as one JSON object
+# ---------------------------------------------------------------------------
+
+#: Small splits, so that lines are cut by splits on the test tables too.
+LINE_SPLIT_BYTES = 1 << 16
+
+
+@register("jsonl_chats", """
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns, list(text ORDER BY turn)[1] AS question,
+       list(text ORDER BY turn)[2] AS answer,
+       md5(string_agg(coalesce(role, '') || chr(31) || coalesce(text, ''), chr(30) ORDER BY turn)) AS chat_md5,
+       true AS own_place
+FROM conversations GROUP BY conv_id
+""")
+def q_jsonl_chats(spark, sf):
+    """All chats through JSON lines: written, read by byte ranges, each record at an offset of its own."""
+    from pyspark.sql import types as T
+
+    from millrace.functions.text import answer_of, question_of
+    from millrace.session import checkpoint_path
+    from millrace.sources.chats import CHAT_SCHEMA, assemble_chats, read_chat_jsonl
+    conv = table(spark, sf, "conversations")
+    turns = F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value")))
+    path = checkpoint_path(spark, "chats-jsonl")
+    assemble_chats(conv).select("conv_id", turns.alias("conversations")).write.json(path)
+    schema = T.StructType([conv.schema["conv_id"], *CHAT_SCHEMA.fields])
+    chats = read_chat_jsonl(spark, path, schema, LINE_SPLIT_BYTES)
+    places = chats.groupBy("source_pos").agg(F.count(F.lit(1)).alias("n_here"))
+    whole = F.array_join(F.transform("conversations", lambda t: F.concat(
+        F.coalesce(t["from"], F.lit("")), F.lit("\x1f"), F.coalesce(t["value"], F.lit("")))), "\x1e")
+    return chats.join(places, "source_pos").select(
+        "conv_id", F.size("conversations").alias("n_turns"), question_of().alias("question"),
+        answer_of().alias("answer"), F.md5(whole).alias("chat_md5"),
+        ((F.col("n_here") == 1) & F.col("_corrupt_record").isNull()).alias("own_place"))
+
+
+@register("benchmark_map", """
+SELECT CAST(item_id AS VARCHAR) AS item_id, text, substr(sha256(text), 1, 16) AS question_id
+FROM benchmark WHERE item_id IS NOT NULL
+""")
+def q_benchmark_map(spark, sf):
+    """The benchmark through a JSON object file ``{id: text}`` (one object: the benchmark is the bounded side)."""
+    from millrace.functions.text import content_id
+    from millrace.session import checkpoint_path
+    from millrace.sources.chats import benchmark_from_map
+    items = table(spark, sf, "benchmark").filter("item_id IS NOT NULL")
+    path = checkpoint_path(spark, "benchmark-map")
+    items.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("item_id").cast("string"), "text"))))
+              .alias("value")).write.text(path)
+    return benchmark_from_map(spark, path).select("item_id", "text", content_id(F.col("text")).alias("question_id"))
