@@ -757,8 +757,7 @@ def q_score_pivot(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# rows-only: byte-level BPE, approximate vector search
-# (checked against brute force / the exact path in tests)
+# byte-level BPE, approximate vector search
 # ---------------------------------------------------------------------------
 
 N_MERGES = 300
@@ -771,7 +770,46 @@ def bpe_model(spark, sf):
     return merges, vocab_from_merges(merges)
 
 
-@register("bpe_encode")
+def _cut_sql(col: str) -> str:
+    """Pre-tokens of a text. A mark (chr 1) stands where the look-ahead would end a run of blanks; it goes again."""
+    marked = f"regexp_replace(nfc_normalize({col}), '(\\s)([^\\S\\r\\n])(\\S)', '\\1' || chr(1) || '\\2\\3', 'g')"
+    cut = f"regexp_extract_all({marked}, {sql_str(_RE2_PRETOKEN)})"
+    return f"list_filter(list_transform({cut}, lambda x: replace(x, chr(1), '')), lambda x: x <> '')"
+
+
+def _bpe_sql(source: str, keys: str) -> str:
+    """CTEs ``src`` (rn, keys, text), ``tk`` (rn, tok, pos) and ``en`` (tok, syms, ids), symbols as hexadecimal bytes.
+
+    The learned table merges single bytes alone, so a pre-token is encoded by applying the
+    merges one after the other. The texts of the tables hold no special tokens.
+    """
+    return f"""
+WITH byte AS (SELECT b, b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b >= 174 AS kept FROM range(256) t(b)),
+sym AS (SELECT b, printf('%02X', b) AS h, chr(CAST(CASE WHEN kept THEN b
+          ELSE 255 + row_number() OVER (PARTITION BY kept ORDER BY b) END AS INTEGER)) AS s FROM byte),
+bt AS (SELECT tok, count(*) AS f FROM (SELECT unnest({_cut_sql('text')}) AS tok FROM benchmark) GROUP BY tok),
+pr AS (SELECT substr(h, 2 * i + 1, 2) AS l, substr(h, 2 * i + 3, 2) AS r, sum(f) AS freq
+       FROM (SELECT hex(encode(tok)) AS h, f, unnest(range(strlen(tok) - 1)) AS i FROM bt) GROUP BY 1, 2),
+mg AS (SELECT l || r AS m, row_number() OVER (ORDER BY freq DESC, a.s, b.s) - 1 AS rank
+       FROM pr JOIN sym a ON a.h = l JOIN sym b ON b.h = r QUALIFY rank < {N_MERGES}),
+ms AS (SELECT list(m ORDER BY rank) AS merges FROM mg),
+vo AS (SELECT map(list(k ORDER BY id), list(id ORDER BY id)) AS vocab
+       FROM (SELECT h AS k, b AS id FROM sym UNION ALL SELECT m, 256 + rank FROM mg)),
+src AS (SELECT row_number() OVER () AS rn, {keys}, text FROM {source}),
+tk AS (SELECT rn, unnest(c) AS tok, generate_subscripts(c, 1) AS pos FROM (SELECT rn, {_cut_sql('text')} AS c FROM src)),
+dk AS (SELECT tok, list_reduce(list_prepend(regexp_replace(hex(encode(tok)), '(..)', '<\\1>', 'g'), merges),
+         lambda done, m: replace(done, '<' || substr(m, 1, 2) || '><' || substr(m, 3, 2) || '>', '<' || m || '>')) AS s
+       FROM (SELECT DISTINCT tok FROM tk), ms),
+en AS (SELECT tok, regexp_extract_all(s, '[0-9A-F]+') AS syms,
+         list_transform(regexp_extract_all(s, '[0-9A-F]+'), lambda x: vocab[x]) AS ids FROM dk, vo)
+"""
+
+
+@register("bpe_encode", _bpe_sql("conversations", "conv_id, turn") + """
+SELECT conv_id, turn, CAST(coalesce(sum(len(ids)), 0) AS INTEGER) AS n_tokens,
+       coalesce(string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '') AS ids
+FROM src LEFT JOIN tk USING (rn) LEFT JOIN en USING (tok) GROUP BY rn, conv_id, turn
+""")
 def q_bpe_encode(spark, sf):
     from millrace.operators.tokenize import bpe_encode
     merges, vocab = bpe_model(spark, sf)
@@ -780,7 +818,10 @@ def q_bpe_encode(spark, sf):
     return enc.select("conv_id", "turn", "n_tokens", _csv(F.col("ids")).alias("ids"))
 
 
-@register("bpe_token_counts")
+@register("bpe_token_counts", _bpe_sql("documents", "doc_id") + """
+SELECT doc_id, CAST(coalesce(sum(len(ids)), 0) AS BIGINT) AS n_tokens
+FROM src LEFT JOIN tk USING (rn) LEFT JOIN en USING (tok) GROUP BY rn, doc_id
+""")
 def q_bpe_token_counts(spark, sf):
     from millrace.operators.tokenize import token_counts_bpe
     merges, _ = bpe_model(spark, sf)
@@ -899,7 +940,13 @@ def q_string_id_dups(spark, sf):
     return d.select("vec_key", F.col("match_id").alias("match_key"), F.round("score", 6).alias("score"))
 
 
-@register("bpe_roundtrip")
+@register("bpe_roundtrip", _bpe_sql("conversations", "conv_id, turn") + """
+SELECT conv_id, turn, CAST(coalesce(sum(len(ids)), 0) AS INTEGER) AS n_tokens,
+       CAST(coalesce(sum(len(list_filter(ids, lambda x: x IS NULL))), 0) AS INTEGER) AS n_oov,
+       coalesce(nfc_normalize(any_value(text)), '')
+         = decode(unhex(coalesce(string_agg(array_to_string(syms, ''), '' ORDER BY pos), ''))) AS roundtrip_ok
+FROM src LEFT JOIN tk USING (rn) LEFT JOIN en USING (tok) GROUP BY rn, conv_id, turn
+""")
 def q_bpe_roundtrip(spark, sf):
     """Round-trip / OOV report per chat turn: decode(encode(x)) against NFC(x)."""
     from millrace.operators.tokenize import bpe_encode, decode_bpe, nfc
