@@ -229,7 +229,7 @@ class ByteEncoder:
     emptied when full.
     """
 
-    MEMO = 200_000
+    MEMO = 30_000
     MEMO_LENGTH = 64
 
     def __init__(self, ranks: dict):
@@ -282,6 +282,23 @@ def merge_ranks(merges: DataFrame) -> dict:
     return {(a, b): int(r) for a, b, r in zip(mp["left"], mp["right"], mp["rank"])}
 
 
+#: Bytes of text, or of ids, that a narrow pass turns into Python objects at once.
+NARROW_BYTES = 1 << 20
+
+
+def _pieces(batch: pa.RecordBatch, col: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``NARROW_BYTES`` in ``col`` (a row is never cut)."""
+    values = batch.column(col)
+    size = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + NARROW_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _narrow(df: DataFrame, keys: list[str], text_col: str, fields: list[T.StructField], encode) -> DataFrame:
     """``keys`` and what ``encode(texts)`` gives for each batch, one narrow Arrow pass."""
     schema = T.StructType([*(df.schema[k] for k in keys), *fields])

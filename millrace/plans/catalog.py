@@ -952,7 +952,9 @@ def q_bpe_roundtrip(spark, sf):
     from millrace.operators.tokenize import bpe_encode, decode_bpe, nfc
     merges, vocab = bpe_model(spark, sf)
     conv = table(spark, sf, "conversations").select("conv_id", "turn", nfc("text").alias("text"))
-    enc = bpe_encode(conv, ["conv_id", "turn"], "text", merges, vocab)
+    # read by the decoder and the report: made once, and no task runs the encoder and the decoder side by side
+    conv = cut_lineage(conv, "nfc-turns")
+    enc = cut_lineage(bpe_encode(conv, ["conv_id", "turn"], "text", merges, vocab), "encoded-turns")
     dec = decode_bpe(enc, ["conv_id", "turn"], "ids", vocab, out="decoded")
     j = conv.join(enc, ["conv_id", "turn"]).join(dec, ["conv_id", "turn"])
     return j.select("conv_id", "turn", "n_tokens",
