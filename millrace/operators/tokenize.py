@@ -300,13 +300,14 @@ def _pieces(batch: pa.RecordBatch, col: str) -> Iterator[pa.RecordBatch]:
 
 
 def _narrow(df: DataFrame, keys: list[str], text_col: str, fields: list[T.StructField], encode) -> DataFrame:
-    """``keys`` and what ``encode(texts)`` gives for each batch, one narrow Arrow pass."""
+    """``keys`` and what ``encode(texts)`` gives, slice by slice, in one narrow Arrow pass."""
     schema = T.StructType([*(df.schema[k] for k in keys), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keys), *encode(batch.column("__text").to_pylist())], schema.fieldNames())
+        for whole in batches:
+            for batch in _pieces(whole, "__text"):
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k) for k in keys), *encode(batch.column("__text").to_pylist())], schema.fieldNames())
 
     return df.select(*keys, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import table
+from millrace.session import cut_lineage, table
 
 DECON_THRESHOLD = 0.6     # term-frequency cosine is coarser than a model; see SURVEY 7.4
 NEAR_DUP_THRESHOLD = 0.3  # embedding pair cosines of the test data stay below 0.52
@@ -1050,7 +1050,8 @@ def _chat_packs(spark, sf):
     from millrace.operators.labels import build_labels, split_valid
     from millrace.operators.packing import materialize_packs, pack_plan
     ok, _rejected = split_valid(build_labels(_chat_ids(spark, sf), limit=CHAT_PACK_LENGTH))
-    ok = ok.select(F.col("conv_id").alias("id"), "input_ids", "labels")
+    # the plan and the arrays both read the samples: made once
+    ok = cut_lineage(ok.select(F.col("conv_id").alias("id"), "input_ids", "labels"), "chat-samples")
     plan, _oversize = pack_plan(ok.select("id", F.size("input_ids").alias("len")), "id", "len",
                                 seq_length=CHAT_PACK_LENGTH + 2, digits=PACK_DIGITS)
     return materialize_packs(plan, ok, "id", seq_length=CHAT_PACK_LENGTH + 2)
