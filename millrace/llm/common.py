@@ -33,9 +33,9 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, read back with its own schema."""
-    return cut_lineage(df, name)
+    return cut_lineage(df, name, options)
 
 
 def crc_mod(col: Column, n: int) -> Column:

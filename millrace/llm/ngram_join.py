@@ -4,8 +4,9 @@ Documents are sets of word-shingle hashes. Two sets link when their Jaccard
 similarity reaches ``num / den``. The join narrows exactly, never by a cap:
 
 1. In hash order, a set that links with another shares a known number of tokens
-   with it among the first ones of both (prefix bound). Sets with fewer recurring
-   tokens there link with nothing. What recurs is known from a bitmap of fixed size.
+   with it among the first ones of both (prefix bound). Sets with fewer tokens there
+   that another set has as well link with nothing. Tokens are counted in shards; a
+   bitmap of fixed size names the sets that go on, so it fills with sets, not tokens.
 2. The frequency of each remaining set's tokens is counted; rare tokens come
    first, and sets that share a token of their (shorter) prefixes are candidates.
 3. Each group of candidates is searched with inverted lists: the lists of a query
@@ -33,6 +34,7 @@ from millrace.llm.common import (connected_components, hash_strings, lower_ascii
 
 WORDS = 4
 SIMILARITY = (85, 100)
+#: Bits of the map of sets that may link.
 BITMAP_BITS = 1 << 26
 #: Tokens of candidate sets that one search task holds.
 BLOCK_TOKENS = 2_000_000
@@ -217,19 +219,72 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          *([F.xxhash64(F.col(text_col)).alias("tie")] if tie else []))
     ties = ["ties"] if tie else []
 
-    def count_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order by shard, and where each shard begins and ends in it."""
+        order = np.argsort(shard, kind="stable")
+        return order, np.searchsorted(shard[order], np.arange(parts + 1))
+
+    def send_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """To each shard its tokens of the long prefixes with the names of their sets, and its sets with what they need."""
         for batch in batches:
             for piece in slices(batch, "text", TEXT_BYTES):
                 row, token, size = shingle_sets(piece.column("text"), words)
-                prefix, _ = _long_prefix(size, similarity)
+                prefix, least = _long_prefix(size, similarity)
+                name = _set_hash(row, token, size)
+                own, at = np.unique(np.where(size > 0, name, 0), return_index=True)
+                own, at = own[size[at] > 0], at[size[at] > 0]
+                first = np.zeros(len(size), bool)
+                first[at] = True
                 rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
-                found, n = np.unique(token[rank < prefix[row]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 ["key", "n"])
+                use = first[row] & (rank < prefix[row])
+                token, name = token[use], name[row[use]]
+                order, ends = cut((token % np.uint64(parts)).astype(np.int64))
+                token, name = token[order], name[order]
+                order, set_ends = cut((own % np.uint64(parts)).astype(np.int64))
+                own, need = own[order], least[at][order]
+                to = [s for s in range(parts) if ends[s + 1] > ends[s] or set_ends[s + 1] > set_ends[s]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to, pa.int32()), *(pa.array([_pack(x[e[s]:e[s + 1]]) for s in to], pa.binary())
+                                                 for x, e in ((token, ends), (name, ends), (own, set_ends), (need, set_ends)))],
+                    ["shard", "tokens", "names", "sets", "least"])
         release_memory()
 
-    bitmap = spark.sparkContext.broadcast(
-        recurring_bitmap(source.select("text").mapInArrow(count_prefix, "key long, n long"), bits))
+    def joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table[column]])
+
+    def recurring_names(table: pa.Table) -> pa.Table:
+        """Names with each of their tokens that other sets of the shard have as well, by the shard of the name."""
+        token, name = joined(table, "tokens", np.uint64), joined(table, "names", np.uint64)
+        order = np.lexsort((name, token))
+        token, name = token[order], name[order]
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        once = new.copy()
+        once[1:] |= name[1:] != name[:-1]  # a copy of a set is the same set
+        token, name, new = token[once], name[once], new[once]
+        several = np.diff(np.append(np.flatnonzero(new), len(new))) > 1
+        name = name[several[np.cumsum(new) - 1]] if len(name) else name
+        order, ends = cut((name % np.uint64(parts)).astype(np.int64))
+        name = name[order]
+        to = [s for s in range(parts) if ends[s + 1] > ends[s]]
+        here = int(table["shard"][0].as_py())
+        return pa.table({
+            "shard": pa.array([*to, here], pa.int32()),
+            "names": pa.array([*(_pack(name[ends[s]:ends[s + 1]]) for s in to), b""], pa.binary()),
+            "sets": pa.array([*(b"" for _ in to), _pack(joined(table, "sets", np.uint64))], pa.binary()),
+            "least": pa.array([*(b"" for _ in to), _pack(joined(table, "least", np.int64))], pa.binary())})
+
+    def linkable(table: pa.Table) -> pa.Table:
+        """Names of the sets that have enough recurring tokens."""
+        own, at = np.unique(joined(table, "sets", np.uint64), return_index=True)
+        found, n = np.unique(joined(table, "names", np.uint64), return_counts=True)
+        enough = own[np.searchsorted(own, found)[n >= joined(table, "least", np.int64)[at][np.searchsorted(own, found)]]]
+        return pa.table({"key": pa.array(enough.view(np.int64)), "n": pa.array(np.full(len(enough), 2), pa.int64())})
+
+    kept = (source.select("text").mapInArrow(send_prefixes, "shard int, tokens binary, names binary, sets binary, least binary")
+            .groupBy("shard").applyInArrow(recurring_names, "shard int, names binary, sets binary, least binary")
+            .groupBy("shard").applyInArrow(linkable, "key long, n long"))
+    bitmap = spark.sparkContext.broadcast(recurring_bitmap(kept, bits))
 
     block_schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)),
@@ -242,12 +297,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for piece in slices(batch, "text", TEXT_BYTES):
                 row, token, size = shingle_sets(piece.column("text"), words)
-                prefix, least = _long_prefix(size, similarity)
-                rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
-                head = np.flatnonzero(rank < prefix[row])
-                recurring = np.bincount(row[head], may_recur(token[head], bitmap.value), len(size))
                 name = _set_hash(row, token, size)
-                keep = (size > 0) & (recurring >= least)
+                keep = (size > 0) & may_recur(name, bitmap.value)
                 first = np.zeros(len(size), bool)
                 first[np.unique(name, return_index=True)[1]] = True
                 keep &= first | (size == 0)
@@ -265,7 +316,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 serial += 1
         release_memory()
 
-    blocks = written(source.withColumn("part", F.spark_partition_id()).mapInArrow(to_blocks, block_schema), "shingles")
+    # a row is megabytes of hashes: without these, a page or a row group is a hundred rows at least
+    blocks = written(source.withColumn("part", F.spark_partition_id()).mapInArrow(to_blocks, block_schema), "shingles", {
+        "compression": "uncompressed", "parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1",
+        "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1"})
 
     def shares(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct tokens of a block in order of their shard: tokens, counts, cuts, and each token's place."""
